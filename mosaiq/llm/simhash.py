@@ -36,8 +36,9 @@ from .components import components
 
 #: Fingerprints in the sample to which the tree is fitted.
 SAMPLE = 20_000
-#: Points that a shard is meant to hold.
-SHARD = 2_000
+#: A shard is meant to hold this many points times the points' number to the
+#: power 0.4: larger shards compare more pairs, smaller ones are asked by more guests.
+SHARD = 30
 #: Points above which a shard that the metric cannot split is dealt by hash.
 DEAL = 20_000
 #: Share of points asking both sides beyond which a split is not worth it.
@@ -110,11 +111,12 @@ def distances(points: np.ndarray, one: np.ndarray) -> np.ndarray:
     return d
 
 
-def build(sample: np.ndarray, total: int, radius: int, *, shard: int = SHARD, deal: int = DEAL) -> Tree:
+def build(sample: np.ndarray, total: int, radius: int, *, shard: float | None = None, deal: int = DEAL) -> Tree:
     """A tree for ``total`` points of which ``sample`` are known. The first of
     a node's sampled points is its vantage point (the sample is in hash
     order), the median distance its limit."""
     tree = Tree(radius, Node())
+    shard = SHARD * total**0.4 if shard is None else shard
     scale = total / max(1, len(sample))
 
     def leaf(node: Node, points: np.ndarray) -> None:
