@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, simhash, toxicity, url_filter
+from . import decontaminate, mixing, pii, simhash, syncmers, toxicity, url_filter
 from .common import count_words, materialize, table
 
 
@@ -62,6 +62,34 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", F.col("positions.position").alias("positions"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document and each benchmark item that leaks into it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.leak_rows(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.col("item").alias("item_id"), "windows", "share", "changed")
+
+
+def op5_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.compare_edited(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = materialize(pii.with_candidates(docs).select("doc_id", "base", "proposed"), "candidates")
+    spans = pii.select_spans(found, pii.fit(found))
+    count = {f"n_{k}": F.size(F.filter("base", _is_kind(k))).cast("long") for k in pii.KINDS[:4]}
+    return spans.select(
+        "doc_id",
+        *[c.alias(n) for n, c in count.items()],
+        F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"),
+        pii.span_text(F.col("spans")).alias("spans"),
+    )
+
+
+def _is_kind(kind: str):
+    return lambda s: s["kind"] == kind
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
@@ -72,6 +100,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_url_filter": op2_url_filter,
     "op3_mixing": op3_mixing,
+    "op4_decontaminate": op4_decontaminate,
+    "op5_syncmers": op5_syncmers,
+    "op7_pii": op7_pii,
     "op9_toxicity": op9_toxicity,
 }
 
