@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, pii, simhash, syncmers, toxicity, url_filter
+from . import cotraining, decontaminate, html_text, mixing, pii, simhash, syncmers, toxicity, url_filter, warc
 from .common import count_words, materialize, table
 
 
@@ -73,6 +73,14 @@ def op5_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.compare_edited(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; labels are learnt from rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    model = cotraining.fit(docs, table(spark, sf_dir, "labels"), ~toxicity.held_out(F.col("doc_id")))
+    scored = cotraining.score_quality(docs, model).withColumn("held_out", toxicity.held_out(F.col("doc_id")))
+    return scored.select("doc_id", "held_out", "content_score", "metadata_score", "score", "predicted")
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = materialize(pii.with_candidates(docs).select("doc_id", "base", "proposed"), "candidates")
@@ -90,20 +98,38 @@ def _is_kind(kind: str):
     return lambda s: s["kind"] == kind
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract_main_text(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
     return toxicity.score_toxicity(docs, model).select("doc_id", "held_out", "score", "predicted")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metadata and conversion records of every page's response record."""
+    source = warc.responses(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    made = warc.derive(source, keep=("page_id",))
+    return made.select(
+        "page_id", "record_type", "record_id", "refers_to", "target_uri", "date", "content_type", "block_digest", "refers_to_payload_digest", "content_length",
+        F.decode("block", "UTF-8").alias("content"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_url_filter": op2_url_filter,
     "op3_mixing": op3_mixing,
     "op4_decontaminate": op4_decontaminate,
     "op5_syncmers": op5_syncmers,
+    "op6_quality": op6_quality,
     "op7_pii": op7_pii,
+    "op8_html": op8_html,
     "op9_toxicity": op9_toxicity,
+    "op10_warc": op10_warc,
 }
 
 SQL: dict[str, str] = {"op2_url_filter": OP2_SQL}
