@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from .common import count_words, fresh, materialize, unit_hash
 
 #: Documents that one hash range of a source holds, about.
-RANGE = 20_000
+RANGE = 4_000
 
 
 def schedule_expr(knots: Sequence[tuple[float, float]]) -> tuple[list[tuple], float]:
