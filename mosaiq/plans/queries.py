@@ -1,26 +1,8 @@
-"""The engine's registered queries, and the same in SQL."""
+"""All registered queries of the engine, and the same in SQL."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from .suite import QUERIES, SQL, aggregates, changes, documents, joins, rows, scalars, streams, windows
 
-from pyspark.sql import DataFrame, SparkSession
-
-FLAGSHIP = """
-SELECT n_name, o_orderpriority, COUNT(*) AS order_cnt,
-       CAST(SUM(l_extendedprice * (1 - l_discount)) AS DECIMAL(18,2)) AS revenue
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-     JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-WHERE l_quantity BETWEEN 5 AND 30 AND o_orderstatus IN ('F','O')
-GROUP BY n_name, o_orderpriority HAVING COUNT(*) >= 2
-"""
-
-
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    for name in ("lineitem", "orders", "customer", "nation"):
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
-    return spark.sql(FLAGSHIP)
-
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"flagship": flagship}
-SQL: dict[str, str] = {"flagship": FLAGSHIP}
+__all__ = ["QUERIES", "SQL"]
+MODULES = (rows, joins, aggregates, windows, scalars, documents, changes, streams)
