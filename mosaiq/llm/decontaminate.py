@@ -31,7 +31,7 @@ from .common import fresh, materialize
 #: Windows of the benchmark that are broadcast at most.
 BROADCAST = 500_000
 
-NUM, UNIT, NAME, MARK = "\ue000", "\ue001", "\ue002", "\ue003"
+NUM, UNIT, NAME = "\ue000", "\ue001", "\ue002"
 _WS = r"\x20\x09-\x0D"
 #: Units of measure and currency that may follow a number.
 UNITS = (
@@ -47,15 +47,19 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+#: ASCII and general punctuation and symbols, inside a character class.
+_PUNCT = r"!-/:-@\[-`{-~\u00a1-\u00a9\u00ab-\u00b1\u00b4\u00b6-\u00b8\u00bb\u00bf\u2010-\u2027\u2030-\u205e\u3001-\u3003\u3008-\u3011"
+
+
 def canonical(text: Column) -> Column:
-    """The text with placeholders; white space, and so the number of words, stays."""
-    literal = rf"\p{{L}}\p{{M}}\p{{N}}{NUM}-{MARK}{_WS}"
-    t = F.coalesce(text, F.lit(""))
-    t = F.regexp_replace(t, rf"(?<=[\p{{Ll}},;:][{_WS}])\p{{Lu}}[\p{{L}}\p{{M}}'’-]*", NAME)
-    t = F.regexp_replace(t, r"[0-9]+(?:[.,:/][0-9]+)*", NUM)
-    t = F.regexp_replace(t, rf"(?i)(?<={NUM}|{NUM}[{_WS}])(?:{UNITS})(?!\p{{L}})", UNIT)
-    t = F.regexp_replace(t, rf"(?<![^{_WS}])[^{literal}]+(?![^{_WS}])", MARK)
-    t = F.regexp_replace(t, rf"[^{literal}]+", "")
+    """The text with placeholders and without punctuation that touches a word;
+    white space, and so the number of words, stays. The patterns begin with
+    the character that is rare, so most positions fail at once."""
+    t = F.regexp_replace(text, rf"\p{{Lu}}(?<=[\p{{Ll}},;:][{_WS}]\p{{Lu}})[\p{{L}}\p{{M}}'’-]*+", NAME)
+    t = F.regexp_replace(t, r"[0-9]++(?:[.,:/][0-9]++)*+", NUM)
+    units = lambda x: F.regexp_replace(x, rf"(?i)(?<={NUM}|{NUM}[{_WS}])(?:{UNITS})(?!\p{{L}})", UNIT)
+    t = let(t, lambda x: F.when(F.contains(x, F.lit(NUM)), units(x)).otherwise(x))
+    t = F.regexp_replace(t, rf"[{_PUNCT}]++(?=[^{_WS}{_PUNCT}])|[{_PUNCT}](?<=[^{_WS}{_PUNCT}][{_PUNCT}])[{_PUNCT}]*+", "")
     return F.lower(t)
 
 
@@ -64,34 +68,35 @@ def _words(text: Column) -> Column:
 
 
 def windows(text: Column, width: int) -> Column:
-    """Array of (``pos``, ``key``, ``slots``); one window if there are fewer words, none without words."""
+    """Array of (``pos``, ``key``, ``slots``); one window if there are fewer
+    words, null without words. ``slots`` is null where there are none."""
     slot = rf"[{NUM}-{NAME}]"
+    none = F.lit(None).cast("array<string>")
+
+    def positions(keys: Column, n: Column) -> Column:
+        return F.sequence(F.lit(1), F.size(keys) - n + 1)
+
+    def literal(k: Column, n: Column) -> Column:
+        return F.transform(positions(k, n), lambda i: F.struct(i.alias("pos"), F.xxhash64(F.slice(k, i, n)).alias("key"), none.alias("slots")))
 
-    def made(raw: Column, words: Column) -> Column:
-        keys = F.transform(words, lambda w: F.xxhash64(w))
+    def slotted(k: Column, words: Column, raw: Column, n: Column) -> Column:
         plain = F.transform(raw, lambda w: F.xxhash64(F.lower(w)))
-        values = F.when(F.array_join(words, "").rlike(slot), F.zip_with(words, raw, lambda w, r: F.when(w.rlike(slot), r)))
+        values = F.zip_with(words, raw, lambda w, r: F.when(w.rlike(slot), r))
 
-        def at(k: Column, p: Column, v: Column) -> Column:
-            n = F.least(F.size(k), F.lit(width))
+        def window(i: Column, p: Column, v: Column) -> Column:
+            key = lambda s: F.when(F.size(s) * 2 <= n, F.xxhash64(F.slice(k, i, n))).otherwise(F.xxhash64(F.slice(p, i, n), F.lit(1)))
+            return let(F.array_compact(F.slice(v, i, n)), lambda s: F.struct(i.alias("pos"), key(s).alias("key"), F.when(F.size(s) > 0, s).alias("slots")))
 
-            def window(i: Column) -> Column:
-                slots = F.coalesce(F.array_compact(F.slice(v, i, n)), F.array().cast("array<string>"))
-                return let(
-                    slots,
-                    lambda s: F.struct(
-                        i.alias("pos"),
-                        F.when(F.size(s) * 2 <= n, F.xxhash64(F.slice(k, i, n))).otherwise(F.xxhash64(F.slice(p, i, n), F.lit(1))).alias("key"),
-                        s.alias("slots"),
-                    ),
-                )
+        return let(plain, lambda p: let(values, lambda v: F.transform(positions(k, n), lambda i: window(i, p, v))))
 
-            return F.transform(F.sequence(F.lit(1), F.size(k) - n + 1), window)
+    def made(canon: Column, words: Column) -> Column:
+        def keyed(k: Column) -> Column:
+            either = lambda n: F.when(canon.rlike(slot), slotted(k, words, _words(text), n)).otherwise(literal(k, n))
+            return F.when(F.size(k) > 0, let(F.least(F.size(k), F.lit(width)), either))
 
-        return let(keys, lambda k: let(plain, lambda p: let(values, lambda v: at(k, p, v))))
+        return let(F.transform(words, lambda w: F.xxhash64(w)), keyed)
 
-    found = let(_words(F.coalesce(text, F.lit(""))), lambda raw: let(_words(canonical(text)), lambda words: made(raw, words)))
-    return F.when(F.coalesce(text, F.lit("")).rlike(rf"[^{_WS}]"), found)
+    return let(canonical(text), lambda canon: let(_words(canon), lambda words: made(canon, words)))
 
 
 def find_leaks(
@@ -109,8 +114,9 @@ def find_leaks(
     side = F.broadcast(own) if small else own
     rows = docs.select(F.xxhash64(text).alias("text_hash"), F.inline(windows(F.col(text), width)))
     hits = rows.join(side, "key").select("text_hash", "item", "item_pos", "slots", "item_slots", (F.col("pos") - F.col("item_pos")).alias("shift"))
-    # copies of a text give the same hits
-    hits = hits.groupBy("text_hash", "item", "shift", "item_pos").agg(F.first(F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b"))).alias("pairs"))
+    # windows of one key have as many slots; copies of a text give the same hits
+    zipped = F.coalesce(F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b")), F.array().cast("array<struct<a:string,b:string>>"))
+    hits = hits.groupBy("text_hash", "item", "shift", "item_pos").agg(F.first(zipped).alias("pairs"))
     pairs = F.array_distinct(F.flatten(F.collect_list("pairs")))
     lines = hits.groupBy("text_hash", "item", "shift").agg(F.count(F.lit(1)).alias("n"), pairs.alias("pairs"))
     one = lambda c: F.size(F.array_distinct(F.transform("pairs", lambda p: p[c])))
