@@ -48,7 +48,7 @@ class Boosted:
         return out
 
     def probability(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-(self.slope * self.margin(x) + self.shift)))
+        return 1 / (1 + np.exp(-np.clip(self.slope * self.margin(x) + self.shift, -500, 500)))
 
     def column(self, features: list[Column]) -> Column:
         """The calibrated probability as an expression."""
