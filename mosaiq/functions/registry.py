@@ -131,6 +131,32 @@ COMPOSED = {
     "TIME_ADD": lambda t, i: t + i,
     "TIME_SUB": lambda t, i: t - i,
     "TIMESTAMP_SUB": lambda t, i: t - i,
+    "CONVERT_ORACLE": lambda a, charset: F.decode(F.encode(a, compat.plain(charset)), compat.plain(charset)),
+    "IN": lambda a, *values: a.isin(*values),
+    "NOT_IN": lambda a, *values: ~a.isin(*values),
+    "DRUID_IN": lambda a, *values: a.isin(*values),
+    "DRUID_NOT_IN": lambda a, *values: ~a.isin(*values),
+    "SOME": lambda a, test: F.exists(a, test),
+    "ALL": lambda a, test: F.forall(a, test),
+    "PREV": lambda a, n=1: F.lag(a, n),
+    "NEXT": lambda a, n=1: F.lead(a, n),
+    "INTERVAL": lambda days=0, hours=0, minutes=0, seconds=0: F.make_dt_interval(F.lit(days), F.lit(hours), F.lit(minutes), F.lit(seconds)),
+    "LITERAL_AGG": lambda value: compat.col(value),
+    "LITERAL_CHAIN": compat.concat_null,
+    "REINTERPRET": lambda a, kind: a.cast(compat.plain(kind)),
+    "MAP_QUERY_CONSTRUCTOR": lambda k, v: F.map_from_entries(F.array_sort(F.collect_list(F.struct(k, v)))),
+    "PERCENTILE_CONT": lambda a, p: F.percentile(a, p),
+    "PERCENTILE_DISC": compat.percentile_disc,
+    "SINGLE_VALUE": compat.single_value,
+    "JSON_TYPE": lambda a: F.schema_of_variant(F.parse_json(a)),
+    "JSON_VALUE_EXPRESSION": lambda a: F.parse_json(a),
+    "TUMBLE_START": lambda ts, size: F.window(ts, size)["start"],
+    "TUMBLE_END": lambda ts, size: F.window(ts, size)["end"],
+    "HOP_START": lambda ts, size, slide: F.window(ts, size, slide)["start"],
+    "HOP_END": lambda ts, size, slide: F.window(ts, size, slide)["end"],
+    "SESSION_START": lambda w: w["start"],
+    "SESSION_END": lambda w: w["end"],
+    "EXTRACT": lambda part, a: compat.part(a, part),
     "UNIX_MILLIS": lambda t: F.unix_millis(t.cast("timestamp")),
 }
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ...operators.windows import hop, session, tumble
 from ...streaming.windows import deduplicated, follow, run_once, run_to, sessions_with_state, windowed
-from . import SQL, query
+from . import SQL, query, windows  # noqa: F401  the batch queries' SQL is the streams' too
 
 
 def _shared(e) -> str:
@@ -32,9 +32,6 @@ def _plain(df):
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in _NTZ})
 
 
-from . import windows  # noqa: E402,F401  the batch queries' SQL is the streams' too
-
-
 @query("stream_tumble", SQL["tumble_events"])
 def stream_tumble(e, folder):
     out = windowed(_instants(_events(e, folder)), "ts", tumble("ts", "1 hour"), ["event_type"], n=F.count(F.lit(1)))

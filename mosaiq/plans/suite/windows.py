@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ...operators.matching import match_recognize
 from ...operators.windows import UNBOUNDED_AFTER, UNBOUNDED_BEFORE, hop, match_runs, over, session, snapshot, tumble
 from ...streaming.windows import windowed
 from . import query
@@ -73,3 +74,15 @@ k AS (SELECT o_custkey, g, MIN(o_orderdate) AS first_at, MAX(o_orderdate) AS las
 SELECT o_custkey, first_at, last_at, length, CAST(ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY first_at, g) AS INTEGER) AS match_number FROM k""")(
     lambda e: match_runs(e.set("orders").df, ["o_custkey"], ["o_orderdate", "o_orderkey"], F.col("o_totalprice") > F.lag("o_totalprice").over(_orders(e)), least=2)
 )
+
+
+_UP = "FROM (SELECT o_custkey, o_orderdate, o_orderkey, coalesce(o_totalprice > LAG(o_totalprice) OVER w, FALSE) AS up, ROW_NUMBER() OVER w AS n FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)) t"
+query("match_pattern", f"""
+WITH m AS (SELECT *, n - ROW_NUMBER() OVER (PARTITION BY o_custkey, up ORDER BY n) AS g {_UP}),
+r AS (SELECT o_custkey, MIN(n) AS b, MAX(n) AS e, arg_min(o_orderkey, n) AS first_o_orderkey, arg_max(o_orderkey, n) AS last_o_orderkey, COUNT(*) AS length FROM m WHERE up GROUP BY o_custkey, g HAVING COUNT(*) >= 2)
+SELECT o_custkey, first_o_orderkey, last_o_orderkey, length, CAST(ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY b) AS INTEGER) AS match_number, repeat('UP', CAST(length AS INTEGER)) AS classifiers FROM r""")(
+    lambda e: match_recognize(
+        e.set("orders").df.select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice"), partition=["o_custkey"], order=["o_orderdate", "o_orderkey"], pattern="UP{2,}",
+        define={"UP": F.col("o_totalprice") > F.lag("o_totalprice").over(_orders(e))},
+    ).drop("first_o_orderdate", "last_o_orderdate")
+)

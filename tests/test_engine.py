@@ -200,6 +200,51 @@ def test_registry(engine):
     assert jsondoc.steps("strict $.a[0].b") == ["a", 0, "b"]
 
 
+@pytest.mark.parametrize(
+    ("pattern", "text", "want"),
+    [
+        ("A B+ C", "xabbcab", ["ABBC"]),
+        ("A (B | C)* D?", "abcdad", ["ABCD", "AD"]),
+        ("A{2}", "aaaaa", ["AA", "AA"]),
+        ("A B*? C?", "abbc", ["A"]),
+        ("PERMUTE(A, B)", "abba", ["AB", "BA"]),
+        ("A {- B -} C", "abc", ["AC"]),
+        ("A{2,3} B", "aaaab", ["AAAB"]),
+        ("D*", "abc", []),
+    ],
+)
+def test_row_patterns(engine, pattern, text, want):
+    from mosaiq.operators.matching import match_recognize
+
+    df = engine.spark.createDataFrame([(1, i, c) for i, c in enumerate(text)], "k int, at int, c string")
+    define = {s: F.col("c") == s.lower() for s in "ABCD"}
+    got = match_recognize(df, partition=["k"], order=["at"], pattern=pattern, define=define).orderBy("match_number").collect()
+    assert [r["classifiers"] for r in got] == want
+
+
+def test_pattern_skips(engine):
+    from mosaiq.operators.matching import match_recognize, parse
+
+    df = engine.spark.createDataFrame([(1, i, c) for i, c in enumerate("abab")], "k int, at int, c string")
+    define = {s: F.col("c") == s.lower() for s in "AB"}
+    count = lambda after, pattern: match_recognize(df, partition=["k"], order=["at"], pattern=pattern, define=define, after=after).count()
+    assert count("past last row", "A B A?") == 1 and count("to next row", "A B A?") == 2 and count("to last A", "A B A") == 1
+    rows = match_recognize(df, partition=["k"], order=["at"], pattern="A B", define=define, all_rows=True).orderBy("at").collect()
+    assert [(r["at"], r["match_number"], r["classifier"]) for r in rows] == [(0, 1, "A"), (1, 1, "B"), (2, 2, "A"), (3, 2, "B")]
+    with pytest.raises(ValueError):
+        parse("A (B")
+
+
+def test_more_kinds(engine):
+    f, df = engine.functions, engine.spark.createDataFrame([(1, 3.0), (2, 1.0), (3, 2.0)], "a int, x double")
+    row = df.agg(f.percentile_cont("x", 0.5).alias("c"), f.percentile_disc(F.col("x"), 0.34).alias("d"), f.map_query_constructor(F.col("a"), F.col("x")).alias("m")).first()
+    assert (row["c"], row["d"], row["m"]) == (2.0, 2.0, {1: 3.0, 2: 1.0, 3: 2.0})
+    assert df.select(f.json_type(F.lit('{"a": 1}')).alias("t")).first()["t"] == "OBJECT<a: BIGINT>"
+    assert df.where(f.not_in(F.col("a"), 1, 2)).count() == 1
+    with pytest.raises(Exception, match="more than one value"):
+        df.agg(f.single_value(F.col("a"))).collect()
+
+
 def test_managed_table(engine, tmp_path):
     db = Database(engine.spark, str(tmp_path))
     t = db.create_table("gadget", [("Id", "INTEGER", False), ("Name", "VARCHAR"), ("Version", "INTEGER")], key=["Id"], token="Version")
