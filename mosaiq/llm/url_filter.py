@@ -15,7 +15,7 @@ longest rule that fits.
 
 Scale: each distinct URL is judged once, so a URL that fills a third of the
 rows is one row here and only the final join meets its copies (an outer join
-from the pages, which AQE splits where skewed). The sweep runs shard by
+from the pages, which AQE splits where skewed); each distinct key is swept once. The sweep runs shard by
 shard; shards are key ranges cut at quantiles of a bounded sample of keys (at
 most ``SAMPLE`` keys reach the driver), and a rule goes to every shard that
 its interval overlaps, so a shard needs nothing from its neighbours. No side
@@ -109,32 +109,28 @@ def judge_urls(pages: DataFrame, rules: DataFrame, *, url: str = "url", default:
     judged = judged.select("__url", url_host(F.col("__url")).alias("host"), url_path(F.col("__url")).alias("path"))
     probes = judged.select("__url", F.explode(_probes(F.col("host"), F.col("path"))).alias("key"))
 
+    # a key that many URLs share, such as a short path below a top-level domain, is swept once
+    keys = probes.select("key").distinct()
+
     # shards: quantiles of the keys that have the smallest hashes
-    sample = judged.select(F.substring(_key(F.col("host"), F.col("path")), 1, CUT).alias("k")).orderBy(F.xxhash64("k"), "k").limit(SAMPLE)
-    keys = sorted({r.k for r in sample.collect()})
-    shards = max(1, min(len(keys), 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    limits = F.array(*[F.lit(keys[len(keys) * i // shards]) for i in range(1, shards)]).cast("array<string>")
+    sample = keys.select(F.substring("key", 1, CUT).alias("k")).orderBy(F.xxhash64("k"), "k").limit(SAMPLE)
+    cuts = sorted({r.k for r in sample.collect()})
+    shards = max(1, min(len(cuts), 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    limits = F.array(*[F.lit(cuts[len(cuts) * i // shards]) for i in range(1, shards)]).cast("array<string>")
 
     def shard(key: Column) -> Column:
         at = F.substring(key, 1, CUT)
         return F.size(F.filter(limits, lambda x: x <= at))
 
-    events = probes.select("__url", "key", shard(F.col("key")).alias("shard"), F.lit(None).cast("array<struct<len:int,rule:string,action:string,key:string>>").alias("stack"))
-    starts = _rule_stacks(rules).select(
-        F.lit(None).cast("string").alias("__url"),
-        "key",
-        F.explode(F.sequence(shard(F.col("key")), shard(F.concat("key", F.lit(LAST))))).alias("shard"),
-        "stack",
-    )
-    # a rule sorts before the probes that equal its key
-    sweep = Window.partitionBy("shard").orderBy(F.col("key").asc(), F.col("__url").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    swept = starts.unionByName(events).withColumn("nest", F.last("stack", ignorenulls=True).over(sweep)).where("__url IS NOT NULL")
+    probed = keys.select("key", shard(F.col("key")).alias("shard"), F.lit(None).cast("array<struct<len:int,rule:string,action:string,key:string>>").alias("stack"))
+    starts = _rule_stacks(rules).select("key", F.explode(F.sequence(shard(F.col("key")), shard(F.concat("key", F.lit(LAST))))).alias("shard"), "stack")
+    # a rule sorts before the probe that equals its key
+    sweep = Window.partitionBy("shard").orderBy(F.col("key").asc(), F.col("stack").isNull().asc()).rowsBetween(Window.unboundedPreceding, 0)
+    swept = starts.unionByName(probed).withColumn("nest", F.last("stack", ignorenulls=True).over(sweep)).where("stack IS NULL")
     active = F.filter("nest", lambda r: F.startswith(F.col("key"), r["key"]))
-    best = (
-        swept.select("__url", F.array_max(F.transform(active, lambda r: F.struct(r["len"].alias("len"), r["rule"].alias("rule"), r["action"].alias("action")))).alias("r"))
-        .groupBy("__url")
-        .agg(F.max("r").alias("r"))
-    )
+    top_rule = F.array_max(F.transform(active, lambda r: F.struct(r["len"].alias("len"), r["rule"].alias("rule"), r["action"].alias("action"))))
+    ruled = swept.select("key", top_rule.alias("r")).where("r IS NOT NULL")
+    best = probes.join(ruled, "key").groupBy("__url").agg(F.max("r").alias("r"))
     kept = pages.drop("host", "path", "rule", "verdict")
     key, top = fresh(pages, "judged", "top")
     best = best.select(F.col("__url").alias(key), F.col("r").alias(top))
