@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from . import boosting
 from .common import fresh
 
-KINDS = ("email", "ip", "card", "phone", "secret")
+KINDS = ("email", "ip", "card", "phone")
 
 # Possessive and guarded forms of the contract's patterns: what they match is
 # the same, in time that grows with the text's length only.
@@ -45,7 +45,6 @@ GENERATORS = (
     ("ip", r"(?<![0-9A-Fa-f:.])(?:[0-9]{1,5}+(?:\.[0-9]{1,5}+){3}+|[0-9A-Fa-f]{1,4}+(?::[0-9A-Fa-f]{0,4}+){4,7}+)(?![0-9A-Fa-f:])"),
     ("card", r"(?<![0-9])(?<![0-9][\x20.-])[0-9](?:[\x20.-]?[0-9]){11,19}+(?![\x20.-]?[0-9])"),
     ("phone", r"(?<![0-9])(?<![0-9][\x20().-])\(?[0-9](?:[\x20().-]{0,2}+[0-9]){6,14}+(?![\x20().-]{0,2}+[0-9])"),
-    ("secret", r"(?i)(?<![\p{L}])(?:token|secret|password|passwd|api[_-]?key)[\x20\"']{0,3}+[=:][\x20\"']{0,3}+[A-Za-z0-9+/_.-]{12,}+"),
 )
 #: Words before a span that tell of its kind.
 CUES = (
@@ -56,7 +55,7 @@ CUES = (
     r"token|secret|password|key",
 )
 #: Values of each feature; their product bounds the table that is gathered.
-LEVELS = {"generator": 5, "digits": 8, "marks": 6, "letters": 4, "cue": 6, "left": 4, "right": 4, "groups": 3}
+LEVELS = {"generator": 4, "digits": 8, "marks": 6, "letters": 4, "cue": 6, "left": 4, "right": 4, "groups": 3}
 VECTORS = int(np.prod(list(LEVELS.values())))
 #: Characters before a span in which cues are looked for.
 BEFORE = 24
@@ -160,7 +159,7 @@ def proposals(text: Column) -> Column:
         found = {"generator": F.lit(g), "digits": n.otherwise(7), "marks": marks, "letters": letters, "cue": cue, "left": left, "right": right, "groups": groups}
         return F.struct(F.lit(kind).alias("kind"), start.alias("start"), m["end"].alias("end"), *[c.cast("int").alias(k) for k, c in found.items()])
 
-    hints = (r"@|(?i)[(\[]at[)\]]", r"[0-9A-Fa-f]{1,4}[.:][0-9A-Fa-f]", "[0-9]", "[0-9]", "[=:]")
+    hints = (r"@|(?i)[(\[]at[)\]]", r"[0-9A-Fa-f]{1,4}[.:][0-9A-Fa-f]", "[0-9]", "[0-9]")
     parts = []
     for g, (kind, pattern) in enumerate(GENERATORS):
         found = F.transform(located(text, pattern), _fixed(features, g, kind))
