@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
-from .ngrams import BITS, presence
+from .ngrams import BITS, label_counts, presence
 from .nbsvm import encode, labelled_sample, log_ratio, logistic
 
 MAX_LABELLED, MAX_POOL = 6_000, 6_000
@@ -99,10 +99,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, *, label: str = "qual
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n = np.zeros((2, 1 << BITS), np.int64)
         for batch in batches:
-            own, f = presence(encode(batch["text"].tolist(), False), ORDERS, None, 1 << BITS)
-            y = batch["label"].to_numpy()
-            for v in (0, 1):
-                n[v] += np.bincount(f[y[own] == v], minlength=1 << BITS)
+            n += label_counts(encode(batch["text"].tolist(), False), batch["label"].to_numpy(), ORDERS)
         some = np.flatnonzero(n.sum(0))
         yield pd.DataFrame({"bucket": some, "neg": n[0, some], "pos": n[1, some]})
 

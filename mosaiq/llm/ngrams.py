@@ -9,7 +9,7 @@ import numpy as np
 #: Hash buckets of n-grams, as a power of two.
 BITS = 18
 #: Bytes that are hashed at once; a longer text is hashed alone, whole.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 _MIX = np.uint32(2654435761)
 
 
@@ -30,7 +30,6 @@ def grams(texts: list[bytes], orders: tuple[int, ...]) -> Iterator[tuple[np.ndar
 
     Each text is set between spaces, so that word edges count as characters."""
     parts = [b" " + t + b" " for t in texts]
-    ends = np.cumsum([len(p) for p in parts])
     data = np.frombuffer(b"".join(parts), np.uint8).astype(np.uint32)
     owner = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p) for p in parts])
     h = np.zeros(len(data), np.uint32)
@@ -42,14 +41,13 @@ def grams(texts: list[bytes], orders: tuple[int, ...]) -> Iterator[tuple[np.ndar
             bucket = (h * _MIX) >> np.uint32(32 - BITS)
             whole = own == owner[n - 1 :]
             yield bucket if whole.all() else bucket[whole], own if whole.all() else own[whole]
-    del ends
 
 
-def presence(texts: list[bytes], orders: tuple[int, ...], feature: np.ndarray | None, features: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (text, feature) pairs. ``feature`` gives a bucket's feature or
-    -1; without it the buckets themselves are the features."""
-    found = []
+def presence_by_chunk(texts: list[bytes], orders: tuple[int, ...], feature: np.ndarray | None, features: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Distinct (text, feature) pairs, some texts at a time, in order. ``feature``
+    gives a bucket's feature or -1; without it the buckets are the features."""
     for a, b in chunks(texts):
+        found = []
         for bucket, own in grams(texts[a:b], orders):
             if feature is None:
                 f = bucket.astype(np.int64)
@@ -57,9 +55,22 @@ def presence(texts: list[bytes], orders: tuple[int, ...], feature: np.ndarray |
                 f = feature[bucket]
                 hit = np.flatnonzero(f >= 0)
                 f, own = f[hit].astype(np.int64), own[hit]
-            if len(f):
-                found.append(np.unique((own.astype(np.int64) + a) * features + f))
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    pairs = np.unique(np.concatenate(found))
-    return pairs // features, pairs % features
+            found.append(np.unique((own.astype(np.int64) + a) * features + f))
+        pairs = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+        yield pairs // features, pairs % features
+
+
+def presence(texts: list[bytes], orders: tuple[int, ...], feature: np.ndarray | None, features: int) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of :func:`presence_by_chunk`."""
+    parts = list(presence_by_chunk(texts, orders, feature, features))
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *[o for o, _ in parts]]), np.concatenate([none, *[f for _, f in parts]])
+
+
+def label_counts(texts: list[bytes], labels: np.ndarray, orders: tuple[int, ...]) -> np.ndarray:
+    """Texts of label 0 and of label 1 that have each bucket."""
+    n = np.zeros((2, 1 << BITS), np.int64)
+    for own, f in presence_by_chunk(texts, orders, None, 1 << BITS):
+        for v in (0, 1):
+            n[v] += np.bincount(f[labels[own] == v], minlength=1 << BITS)
+    return n
