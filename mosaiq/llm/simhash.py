@@ -10,8 +10,9 @@
    neighbour. Of two points at least one asks the other's home (the inner
    one, where their ways part), so outer points need not ask inwards.
    Where the metric does not separate points (a ball that overlaps nearly
-   everything), the builder falls back to dealing a shard's homes by hash to
-   parts that each member asks in turn, so a shard stays bounded.
+   everything, a dense group), a shard's homes and guests are dealt by hash to
+   parts, and each two parts meet in a shard of their own, so that a shard
+   holds about twice ``DEAL`` points at most.
 4. In a shard, a point taken as vantage point joins all its ball at once and
    the ball is settled: others need one link to it, and only those within
    twice the radius can have one. A shard gives spanning links, never all
@@ -39,8 +40,8 @@ SAMPLE = 20_000
 #: A shard is meant to hold this many points times the points' number to the
 #: power 0.4: larger shards compare more pairs, smaller ones are asked by more guests.
 SHARD = 30
-#: Points above which a shard that the metric cannot split is dealt by hash.
-DEAL = 20_000
+#: Homes, or guests, above which those of a shard are dealt to parts.
+DEAL = 50_000
 #: Share of points asking both sides beyond which a split is not worth it.
 BOTH = 0.95
 
@@ -91,7 +92,9 @@ class Node:
     limit: int = 0
     inside: Node | None = None
     outside: Node | None = None
+    #: Of a leaf: parts of its homes and of its guests, and its first shard.
     parts: int = 0
+    guest_parts: int = 0
     shard: int = -1
 
 
@@ -100,14 +103,16 @@ class Tree:
     radius: int
     root: Node
     shards: int = 0
-    sizes: list[float] = field(default_factory=list)
+    leaves: list[Node] = field(default_factory=list)
 
 
 def distances(points: np.ndarray, one: np.ndarray) -> np.ndarray:
     """Differing bits of each row and ``one``."""
-    d = np.bitwise_count(points[:, 0] ^ one[0]).astype(np.int16)
-    for i in range(1, points.shape[1]):
-        d += np.bitwise_count(points[:, i] ^ one[i])
+    d = np.bitwise_count(points[:, 0] ^ one[0])
+    if points.shape[1] > 1:
+        d = d.astype(np.int16)
+        for i in range(1, points.shape[1]):
+            d += np.bitwise_count(points[:, i] ^ one[i])
     return d
 
 
@@ -120,10 +125,9 @@ def build(sample: np.ndarray, total: int, radius: int, *, shard: float | None =
     scale = total / max(1, len(sample))
 
     def leaf(node: Node, points: np.ndarray) -> None:
-        n = len(points) * scale
-        node.parts = max(1, int(np.ceil(n / deal)))
-        node.shard, tree.shards = tree.shards, tree.shards + node.parts
-        tree.sizes.append(n)
+        node.parts = max(1, int(np.ceil(len(points) * scale / deal)))
+        node.shard = len(tree.leaves)
+        tree.leaves.append(node)
 
     stack = [(tree.root, sample, 0)]
     while stack:
@@ -131,7 +135,7 @@ def build(sample: np.ndarray, total: int, radius: int, *, shard: float | None =
         if len(points) * scale <= shard or len(points) < 8 or depth > 40:
             leaf(node, points)
             continue
-        d = distances(points, points[0])
+        d = distances(points, points[0]).astype(np.int16)
         limit = int(np.median(d))
         if limit >= d.max():
             limit = int(d.max()) - 1
@@ -142,42 +146,73 @@ def build(sample: np.ndarray, total: int, radius: int, *, shard: float | None =
             continue
         node.vantage, node.limit, node.inside, node.outside = points[0], limit, Node(), Node()
         stack += [(node.outside, points[~inner], depth + 1), (node.inside, points[inner], depth + 1)]
+    # the sample's guests tell how many each leaf will have
+    asked = np.zeros(len(tree.leaves))
+    for node, at, home in leaves_of(tree, sample):
+        asked[node.shard] += (~home).sum()
+    for node in tree.leaves:
+        node.guest_parts = max(1, int(np.ceil(asked[node.shard] * scale / deal)))
+        node.shard, tree.shards = tree.shards, tree.shards + node.parts * (node.parts + 1) // 2 + node.parts * (node.guest_parts - 1)
     return tree
 
 
-def route(tree: Tree, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, shard, whether at home) for all shards that the points ask."""
-    rows, shards, homes = [], [], []
-    with np.errstate(over="ignore"):
-        mixed = points[:, 0] * np.uint64(0x9E3779B97F4A7C15) ^ (points[:, -1] >> np.uint64(29))
+def leaves_of(tree: Tree, points: np.ndarray) -> Iterator[tuple[Node, np.ndarray, np.ndarray]]:
+    """(leaf, rows, whether at home) for every leaf that some of the points ask."""
     stack = [(tree.root, np.arange(len(points)), np.ones(len(points), bool))]
     while stack:
         node, at, home = stack.pop()
         if not len(at):
             continue
         if node.vantage is None:
-            own = ((mixed[at] >> np.uint64(7)) % np.uint64(node.parts)).astype(np.int64)
-            for p in range(node.parts):
-                # a point at home asks its part and those before it; a guest asks all
-                ask = ~home | (own >= p)
-                rows.append(at[ask])
-                shards.append(np.full(ask.sum(), node.shard + p))
-                homes.append((home & (own == p))[ask])
+            yield node, at, home
             continue
-        d = distances(points[at], node.vantage)
+        d = distances(points[at], node.vantage).astype(np.int16)
         inner = d <= node.limit
         go_in = np.where(home, inner, d <= node.limit + tree.radius)
         go_out = np.where(home, ~inner | (d > node.limit - tree.radius), d > node.limit - tree.radius)
         stack.append((node.inside, at[go_in], home[go_in]))
         stack.append((node.outside, at[go_out], (home & ~inner)[go_out]))
+
+
+def route(tree: Tree, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, shard, whether at home) for all shards that the points ask.
+
+    A leaf's shards: one for each two parts of its homes (the later part as
+    guests of the earlier), and one for each part of its homes with each part
+    of its guests; the guests' first part joins the homes alone with themselves."""
+    rows, shards, homes = [], [], []
+
+    def put(at: np.ndarray, shard: np.ndarray | int, home: bool) -> None:
+        rows.append(at)
+        shards.append(np.broadcast_to(np.asarray(shard, np.int64), len(at)))
+        homes.append(np.full(len(at), home))
+
+    with np.errstate(over="ignore"):
+        mixed = (points[:, 0] * np.uint64(0x9E3779B97F4A7C15) ^ (points[:, -1] >> np.uint64(29))) >> np.uint64(7)
+    for node, at, home in leaves_of(tree, points):
+        p, g = node.parts, node.guest_parts
+        own, guests = at[home], at[~home]
+        part = (mixed[own] % np.uint64(p)).astype(np.int64)
+        for other in range(p):
+            low, high = np.minimum(part, other), np.maximum(part, other)
+            pair = node.shard + low * p - low * (low - 1) // 2 + high - low
+            first = part <= other
+            put(own[first], pair[first], True)
+            put(own[~first], pair[~first], False)
+        after = node.shard + p * (p + 1) // 2
+        seat = (mixed[guests] % np.uint64(g)).astype(np.int64)
+        for i in range(p):
+            put(guests, np.where(seat == 0, node.shard + i * p - i * (i - 1) // 2, after + i * (g - 1) + seat - 1), False)
+        for j in range(g - 1):
+            put(own, after + part * (g - 1) + j, True)
     return np.concatenate(rows), np.concatenate(shards), np.concatenate(homes)
 
 
 def links_in_shard(homes: np.ndarray, guests: np.ndarray, radius: int) -> Iterator[tuple[int, int]]:
     """Links that join what is within ``radius``: of homes with homes and with
     guests. Indices; guests count on from the homes."""
-    n = len(homes)
     points = np.concatenate([homes, guests]) if len(guests) else homes
+    ids, left = np.arange(len(points)), len(homes)
     parent = list(range(len(points)))
 
     def find(x: int) -> int:
@@ -186,39 +221,40 @@ def links_in_shard(homes: np.ndarray, guests: np.ndarray, radius: int) -> Iterat
             x = parent[x]
         return x
 
-    active = np.arange(len(points))
-    gone = np.zeros(len(points), bool)
-    left = n
-    for v in range(n):
-        if gone[v]:
-            continue
-        if left and len(active) > 64 and gone[active].mean() > 0.25:
-            active = active[~gone[active]]
-        d = distances(points[active], points[v])
-        near = active[(d <= radius) & ~gone[active]]
-        for y in near.tolist():
-            a, b = find(v), find(y)
+    def joined(x: int, others: np.ndarray) -> Iterator[tuple[int, int]]:
+        for y in others.tolist():
+            a, b = find(x), find(y)
             if a != b:
                 parent[max(a, b)] = min(a, b)
-                yield v, y
-        ball = near[near < n]  # guests stay: other homes may need them
-        if len(ball) > 1:
-            ring = active[(d > radius) & (d <= 2 * radius) & ~gone[active]]
-            # one link of each to the ball is enough, by the ball's points in turn
-            for x in ball.tolist():
-                if not len(ring):
-                    break
-                if x == v:
-                    continue
-                hit = distances(points[ring], points[x]) <= radius
-                for y in ring[hit].tolist():
-                    a, b = find(x), find(y)
-                    if a != b:
-                        parent[max(a, b)] = min(a, b)
-                        yield x, y
-                ring = ring[~hit]
+                yield x, y
+
+    gone = np.zeros(len(points), bool)  # by place; homes come first, and those before v are done
+    v = settled = 0
+    while v < left:
+        if gone[v]:
+            v, settled = v + 1, settled - 1
+            continue
+        d = distances(points[v + 1 :], points[v])
+        hits = np.flatnonzero(d <= 2 * radius) + v + 1
+        hits = hits[~gone[hits]]
+        at = d[hits - v - 1]
+        near, ring = hits[at <= radius], hits[at > radius]
+        yield from joined(int(ids[v]), ids[near])
+        ball = near[near < left]  # guests stay: other homes may need them
+        # one link of each of the ring to the ball is enough, by the ball's points in turn
+        for x in ball if len(ring) else ():
+            hit = distances(points[ring], points[x]) <= radius
+            yield from joined(int(ids[x]), ids[ring[hit]])
+            ring = ring[~hit]
+            if not len(ring):
+                break
         gone[ball] = True
-        left -= len(ball)
+        settled += len(ball)
+        v += 1
+        if settled > 1000 and settled > (left - v) // 4:
+            keep = np.flatnonzero(~gone[v:]) + v
+            left = int((keep < left).sum())
+            points, ids, gone, v, settled = points[keep], ids[keep], np.zeros(len(keep), bool), 0, 0
 
 
 def _node(prefix: str, words: int) -> Column:

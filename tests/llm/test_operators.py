@@ -84,7 +84,7 @@ def test_simhash_odd_rows(spark):
     assert [r["component_id"] for r in simhash.near_components(docs_of(spark, [(None, "a b")])).collect()] == [None]
 
 
-@pytest.mark.parametrize(("words", "radius", "shard", "deal"), [(1, 4, 40, 10_000), (1, 4, 40, 50), (2, 20, 30, 60), (1, 0, 10, 100)])
+@pytest.mark.parametrize(("words", "radius", "shard", "deal"), [(1, 4, 40, 10_000), (1, 4, 40, 50), (1, 4, 10_000, 30), (2, 20, 30, 60), (1, 0, 10, 100)])
 def test_tree_loses_no_link(words, radius, shard, deal):
     rng = np.random.default_rng(7)
     base = rng.integers(0, 2**63, (300, words), dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, (300, words), dtype=np.uint64)
@@ -95,7 +95,8 @@ def test_tree_loses_no_link(words, radius, shard, deal):
     points = np.unique(np.concatenate([base, near]), axis=0)
     tree = simhash.build(points[:200], len(points), radius, shard=shard, deal=deal)
     row, where, home = simhash.route(tree, points)
-    assert np.bincount(row[home], minlength=len(points)).tolist() == [1] * len(points)
+    assert np.bincount(row[home], minlength=len(points)).min() >= 1
+    assert deal > 1000 or max(np.bincount(where)) <= 4 * deal
     links = []
     for s in np.unique(where):
         of, at_home = row[where == s], home[where == s]
