@@ -25,7 +25,7 @@ def _cols(keys: Keys) -> list[Column]:
 class Query:
     """A step gives a new query; ``df`` is its DataFrame. Orders are kept for
     ``skip``, ``take``, ``last`` and ``reverse``, and say where nulls go:
-    first ascending, last descending, as the reference's backends have it."""
+    first ascending, last descending."""
 
     def __init__(self, engine: Engine, df: DataFrame, entity: Entity | None = None, order: tuple[Column, ...] = (), flipped: tuple[Column, ...] = (), ignoring: bool = False) -> None:
         self.engine, self.df, self.entity = engine, df, entity

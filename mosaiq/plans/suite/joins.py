@@ -29,8 +29,7 @@ query("join_composite", "SELECT a.l_orderkey, a.l_linenumber, b.l_quantity FROM
 
 def _composite(e):
     b = e.set("lineitem").df.select(F.col("l_orderkey").alias("ok"), F.col("l_linenumber").alias("ln"), "l_quantity")
-    a = e.set("lineitem").df.select("l_orderkey", "l_linenumber")
-    return e.set("lineitem")._with(a, entity=False).join(b, ["l_orderkey", F.col("l_linenumber") + 1], ["ok", F.col("ln")]).select("l_orderkey", "l_linenumber", "l_quantity")
+    return e.set("lineitem").select("l_orderkey", "l_linenumber").join(b, ["l_orderkey", F.col("l_linenumber") + 1], ["ok", F.col("ln")]).select("l_orderkey", "l_linenumber", "l_quantity")
 
 
 query("join_theta", "SELECT a.s_suppkey AS lo, b.s_suppkey AS hi FROM supplier a JOIN supplier b ON a.s_acctbal < b.s_acctbal - 8000")(

@@ -124,9 +124,10 @@ query("filter_boolcol", "SELECT l_orderkey, l_linenumber FROM (SELECT *, l_disco
 
 @query("struct_equality", "SELECT a.c_custkey AS a_key, b.c_custkey AS b_key FROM customer a JOIN customer b ON a.c_nationkey IS NOT DISTINCT FROM b.c_nationkey AND a.c_mktsegment IS NOT DISTINCT FROM b.c_mktsegment AND a.c_custkey < b.c_custkey AND b.c_custkey < 200")
 def struct_equality(e):
-    a = e.set("customer").df.select(F.col("c_custkey").alias("a_key"), F.struct("c_nationkey", "c_mktsegment").alias("a"))
-    b = e.set("customer").df.where("c_custkey < 200").select(F.col("c_custkey").alias("b_key"), F.struct("c_nationkey", "c_mktsegment").alias("b"))
-    return e.from_sql("SELECT 1").engine.set("nation")._with(a, entity=False).join_on(b, F.col("a").eqNullSafe(F.col("b")) & (F.col("a_key") < F.col("b_key"))).select("a_key", "b_key")
+    group = F.struct("c_nationkey", "c_mktsegment")
+    a = e.set("customer").select(a_key=F.col("c_custkey"), a=group)
+    b = e.set("customer").where("c_custkey < 200").select(b_key=F.col("c_custkey"), b=group)
+    return a.join_on(b, F.col("a").eqNullSafe(F.col("b")) & (F.col("a_key") < F.col("b_key"))).select("a_key", "b_key")
 
 
 @query("query_filter", "SELECT c_custkey FROM customer WHERE c_acctbal > 0 AND c_mktsegment = 'BUILDING'")

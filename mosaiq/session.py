@@ -20,7 +20,7 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 #: Taken over from the session that the engine is made of.
-INHERITED = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.warehouse.dir")
+INHERITED = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")
 
 Hook = Callable[[str, DataFrame], None]
 
@@ -32,7 +32,7 @@ class Engine:
     def __init__(self, spark: SparkSession, catalog: Catalog | None = None, *, default_schema: str = "main", relational_nulls: bool = False) -> None:
         self.spark = spark.newSession()
         for k in INHERITED:
-            if (v := spark.conf.get(k, None)) is not None and k != "spark.sql.warehouse.dir":
+            if (v := spark.conf.get(k, None)) is not None:
                 self.spark.conf.set(k, v)
         for k, v in SETTINGS.items():
             self.spark.conf.set(k, v)
