@@ -1,21 +1,23 @@
 """Document fingerprints from closed syncmers (DataFrame functions only).
 
 A text is a sequence of tokens: words, runs of more than ``LONG`` characters
-taken character by character; all characters for texts of up to ``SHORT``
-characters, which have too few words to anchor. A k-mer of tokens is a closed
+taken character by character. Texts of up to ``SHORT`` characters, which have
+few words to anchor, are taken by all their characters too. A k-mer of tokens is a closed
 syncmer if the smallest hash among its inner s-mers is the first's or the
 last's. That depends on nothing outside the k-mer, so an edit moves no anchor
 that it does not touch, and equal passages have equal anchors at equal
 distances wherever they stand.
 
-The fingerprint keeps the ``KEEP`` smallest anchor hashes (all, if fewer): the
-likeness of two is the Jaccard estimate of bottom-k sketches, exact for texts
-of up to ``KEEP`` anchors. :func:`anchors` gives all of them with positions,
-:func:`best_shift` aligns two texts by them.
+The fingerprint keeps the ``KEEP`` smallest anchor hashes of each kind (all, if
+fewer). The likeness of two is the Jaccard estimate of bottom-k sketches: by
+characters if both are short, by words otherwise, so like is compared with
+like on either side of ``SHORT``. :func:`anchors` gives all anchors with
+positions, :func:`best_shift` aligns two texts by them.
 
-Scale: a fingerprint is one narrow pass over each text. :func:`with_next`
-finds each row's successor in one shuffle by key ranges, each range with the
-first row of the following one added, so there is no global window.
+Scale: :func:`with_next` finds each row's successor in one shuffle by key
+ranges, each range with the first row of the following one added, so there is
+no global window. Only texts are shuffled; fingerprints are made after that,
+in one pass over each text.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import fresh
 
-#: Anchor hashes that a fingerprint keeps.
+#: Anchor hashes of each kind that a fingerprint keeps.
 KEEP = 128
 LONG, SHORT = 24, 400
 #: (k, s) over words and over characters.
@@ -62,10 +64,18 @@ def _syncmers(tokens: Column, k: int, s: int) -> Column:
     return let(F.transform(tokens, lambda t: F.xxhash64(t)), hashed)
 
 
+_NONE = "array<struct<hash:bigint,pos:int>>"
+
+
+def _anchored(text: Column, found: Column) -> Column:
+    none = F.array().cast(_NONE)
+    return F.coalesce(F.when(F.coalesce(text, F.lit("")).rlike(_TOKEN), found), none)
+
+
 def anchors(text: Column) -> Column:
-    """Array of (``hash``, ``pos``) of the text's closed syncmers, positions in
-    tokens; one for the whole text if it has fewer tokens than a k-mer, none
-    for null and texts of white space."""
+    """Array of (``hash``, ``pos``) of the text's closed syncmers over words,
+    positions in tokens; one for the whole text if it has fewer tokens than a
+    k-mer, none for null and texts of white space."""
     words = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
     split = let(
         words,
@@ -74,29 +84,41 @@ def anchors(text: Column) -> Column:
             F.flatten(F.transform(w, lambda x: F.when(F.char_length(x) > LONG, F.regexp_extract_all(x, F.lit(r"(?s)."), F.lit(0))).otherwise(F.array(x)))),
         ).otherwise(w),
     )
+    return _anchored(text, _syncmers(split, *WORDS))
+
+
+def character_anchors(text: Column) -> Column:
+    """As :func:`anchors`, over characters; null for texts of more than ``SHORT``."""
     chars = F.regexp_extract_all(text, F.lit(r"(?s)."), F.lit(0))
-    found = F.when(F.char_length(text) <= SHORT, _syncmers(chars, *CHARACTERS)).otherwise(_syncmers(split, *WORDS))
-    none = F.array().cast("array<struct<hash:bigint,pos:int>>")
-    return F.coalesce(F.when(F.coalesce(text, F.lit("")).rlike(_TOKEN), found), none)
+    return F.when(F.char_length(F.coalesce(text, F.lit(""))) <= SHORT, _anchored(text, _syncmers(chars, *CHARACTERS)))
 
 
 def sketch(text: Column) -> Column:
-    """The smallest anchor hashes, ascending, as an array of long."""
-    return F.slice(F.sort_array(F.array_distinct(F.transform(anchors(text), lambda a: a["hash"]))), 1, KEEP)
+    """The smallest anchor hashes, ascending, over ``words`` and over
+    ``characters`` (null for long texts)."""
+    kept = lambda found: F.slice(F.sort_array(F.array_distinct(F.transform(found, lambda a: a["hash"]))), 1, KEEP)
+    return F.struct(kept(anchors(text)).alias("words"), kept(character_anchors(text)).alias("characters"))
 
 
 def as_string(found: Column) -> Column:
-    """Eight hex digits for each hash; empty without any."""
-    return F.array_join(F.transform(found, lambda x: F.lower(F.lpad(F.hex(x), 8, "0"))), "")
+    """Eight hex digits for each hash; of short texts those over characters
+    follow after a slash. Empty without any."""
+    line = lambda of: F.array_join(F.transform(of, lambda x: F.lower(F.lpad(F.hex(x), 8, "0"))), "")
+    return F.concat(line(found["words"]), F.when(F.size(found["characters"]) > 0, F.concat(F.lit("/"), line(found["characters"]))).otherwise(F.lit("")))
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Of two sketches, 0 to 1; two empty ones are alike."""
+def _jaccard(a: Column, b: Column) -> Column:
     union = F.slice(F.sort_array(F.array_union(a, b)), 1, KEEP)
     near = let(union, lambda u: F.size(F.array_intersect(u, F.array_intersect(a, b))) / F.size(u))
     return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(near)
 
 
+def likeness(a: Column, b: Column) -> Column:
+    """Of two sketches, 0 to 1; two empty ones are alike."""
+    short = a["characters"].isNotNull() & b["characters"].isNotNull()
+    return _jaccard(F.when(short, a["characters"]).otherwise(a["words"]), F.when(short, b["characters"]).otherwise(b["words"]))
+
+
 def best_shift(a: Column, b: Column) -> Column:
     """(``shift``, ``anchors``): by how many tokens ``b`` must move for most of
     its anchors to meet those of ``a`` (arrays of :func:`anchors`), and how many do."""
@@ -107,16 +129,18 @@ def best_shift(a: Column, b: Column) -> Column:
     return F.struct(best["shift"].alias("shift"), best["anchors"].alias("anchors"))
 
 
-def with_next(df: DataFrame, key: str, carried: Sequence[str], tie: str) -> DataFrame:
+def with_next(df: DataFrame, key: str, carried: Sequence[str], tie: str, made: dict[str, Column] | None = None) -> DataFrame:
     """``df`` with ``next_<c>`` for each carried column: its value in the row of
     the next key, after the last the first. Equal keys are ordered by ``tie``,
-    null keys come last. The key is an integer."""
+    null keys come last. The key is an integer. ``made``: columns that are added
+    after the shuffle; they can be carried."""
+    made = made or {}
     last = 2**63 - 1
     at = F.coalesce(F.col(key).cast("long"), F.lit(last))
     shards = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     low, cuts = df.select(at.alias("k")).agg(F.min("k"), F.percentile_approx("k", [i / shards for i in range(1, shards)], 10_000)).first()
     if low is None:
-        return df.withColumns({f"next_{c}": F.col(c) for c in carried})
+        return df.withColumns(made).withColumns({f"next_{c}": F.col(c) for c in carried})
     # each cut is a key that exists: the first of its shard
     cuts = sorted({c for c in cuts if c > low})
     limits = F.array(*[F.lit(c) for c in cuts]).cast("array<bigint>")
@@ -129,6 +153,8 @@ def with_next(df: DataFrame, key: str, carried: Sequence[str], tie: str) -> Data
     ends = one.withColumns({shard: before, added: F.lit(True)})
     order = Window.partitionBy(shard).orderBy(added, k, tie)
     both = rows.unionByName(ends)
+    if made:
+        both = both.repartition(shard).withColumns(made)
     return both.withColumns({f"next_{c}": F.lead(c).over(order) for c in carried}).where(~F.col(added)).drop(k, shard, added)
 
 
@@ -138,8 +164,8 @@ def compare_edited(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     fingerprint of its text (null: empty), of the text whose last quarter is
     replaced by the start of the next row's, and their likeness."""
     whole = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    whole = whole.withColumns({"own": sketch(F.col("text")), "tie": F.xxhash64("text")})
-    rows = with_next(whole, "key", ["text", "own"], "tie")
+    whole = whole.withColumn("tie", F.xxhash64("text"))
+    rows = with_next(whole, "key", ["text", "own"], "tie", {"own": sketch(F.col("text"))})
     n = F.char_length("text")
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - quarter), F.substring("next_text", F.lit(1), quarter))

@@ -302,6 +302,13 @@ def test_positions_align(spark):
     assert shift["shift"] == 3 and shift["anchors"] > 50
 
 
+def test_likeness_across_the_short_limit(spark):
+    """A text of 420 characters whose edited form is shorter than the limit."""
+    long = " ".join(f"{i * 7919 % 9973:04d}x" for i in range(70))[:419]
+    got = {r["doc_id"]: r for r in syncmers.compare_edited(docs_of(spark, [(1, long), (2, "a b c"), (3, long[:405]), (4, long[:395]), (5, "z")])).collect()}
+    assert len(long) == 419 and got[1]["near_edited"] > 0.6 and got[3]["near_next"] > 0.9
+
+
 # personal data
 
 ADVERSE = [
