@@ -8,11 +8,11 @@ last's. That depends on nothing outside the k-mer, so an edit moves no anchor
 that it does not touch, and equal passages have equal anchors at equal
 distances wherever they stand.
 
-The fingerprint keeps the ``KEEP`` smallest anchor hashes of each kind (all, if
-fewer). The likeness of two is the Jaccard estimate of bottom-k sketches: by
-characters if both are short, by words otherwise, so like is compared with
-like on either side of ``SHORT``. :func:`anchors` gives all anchors with
-positions, :func:`best_shift` aligns two texts by them.
+The fingerprint keeps all anchors with their positions, so what two texts of
+any length share is seen and can be aligned (:func:`best_shift`). The likeness
+of two is the Jaccard similarity of their anchors' hashes: by characters if
+both are short, by words otherwise, so like is compared with like on either
+side of ``SHORT``.
 
 Scale: :func:`with_next` finds each row's successor in one shuffle by key
 ranges, each range with the first row of the following one added, so there is
@@ -29,8 +29,6 @@ from pyspark.sql import functions as F
 
 from .common import fresh
 
-#: Anchor hashes of each kind that a fingerprint keeps.
-KEEP = 128
 LONG, SHORT = 24, 400
 #: (k, s) over words and over characters.
 WORDS, CHARACTERS = (5, 2), (9, 4)
@@ -94,23 +92,23 @@ def character_anchors(text: Column) -> Column:
 
 
 def sketch(text: Column) -> Column:
-    """The smallest anchor hashes, ascending, over ``words`` and over
-    ``characters`` (null for long texts)."""
-    kept = lambda found: F.slice(F.sort_array(F.array_distinct(F.transform(found, lambda a: a["hash"]))), 1, KEEP)
-    return F.struct(kept(anchors(text)).alias("words"), kept(character_anchors(text)).alias("characters"))
+    """All anchors, over ``words`` and over ``characters`` (null for long texts)."""
+    return F.struct(anchors(text).alias("words"), character_anchors(text).alias("characters"))
 
 
 def as_string(found: Column) -> Column:
-    """Eight hex digits for each hash; of short texts those over characters
-    follow after a slash. Empty without any."""
-    line = lambda of: F.array_join(F.transform(of, lambda x: F.lower(F.lpad(F.hex(x), 8, "0"))), "")
+    """Sixteen hex digits for each anchor, eight of its hash and eight of its
+    position; of short texts those over characters follow after a slash. Empty
+    without any."""
+    digits = lambda v: F.lower(F.lpad(F.hex(v), 8, "0"))
+    line = lambda of: F.array_join(F.transform(of, lambda x: F.concat(digits(x["hash"]), digits(x["pos"]))), "")
     return F.concat(line(found["words"]), F.when(F.size(found["characters"]) > 0, F.concat(F.lit("/"), line(found["characters"]))).otherwise(F.lit("")))
 
 
 def _jaccard(a: Column, b: Column) -> Column:
-    union = F.slice(F.sort_array(F.array_union(a, b)), 1, KEEP)
-    near = let(union, lambda u: F.size(F.array_intersect(u, F.array_intersect(a, b))) / F.size(u))
-    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(near)
+    a, b = (F.transform(x, lambda y: y["hash"]) for x in (a, b))
+    shared = lambda x, y: F.size(F.array_intersect(x, y)) / F.size(F.array_union(x, y))
+    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(let(F.struct(a.alias("a"), b.alias("b")), lambda p: shared(p["a"], p["b"])))
 
 
 def likeness(a: Column, b: Column) -> Column:

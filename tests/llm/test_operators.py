@@ -309,6 +309,18 @@ def test_likeness_across_the_short_limit(spark):
     assert len(long) == 419 and got[1]["near_edited"] > 0.6 and got[3]["near_next"] > 0.9
 
 
+def test_long_texts_that_share_a_passage(spark):
+    """All anchors count, however long the text, and keep their positions."""
+    passage = " ".join(f"p{i}" for i in range(50))
+    long = [" ".join(f"{c}{i}" for i in range(20_000)) for c in "ab"]
+    got = {r["doc_id"]: r for r in syncmers.compare_edited(docs_of(spark, [(1, f"{long[0]} {passage}"), (2, f"{passage} {long[1]}")])).collect()}
+    assert got[1]["near_next"] > 0
+    anchors = [{(f[i : i + 8], int(f[i + 8 : i + 16], 16)) for i in range(0, len(f), 16)} for f in (got[1]["fingerprint"], got[2]["fingerprint"])]
+    shared = {h for h, _ in anchors[0]} & {h for h, _ in anchors[1]}
+    places = [{h: p for h, p in a} for a in anchors]
+    assert len(shared) > 15 and {places[0][h] - places[1][h] for h in shared} == {20_000}
+
+
 # personal data
 
 ADVERSE = [
