@@ -17,7 +17,9 @@
    the ball is settled: others need one link to it, and only those within
    twice the radius can have one. A shard gives spanning links, never all
    pairs, so a group of n copies yields n - 1 links or so from each shard.
-5. Components of the links, by star steps over the cluster.
+5. Components of the links, by star steps over the cluster. A node is a point
+   with its smallest key before it, so the smallest node of a component names
+   it, and no join goes by components, of which one may hold most rows.
 """
 
 from __future__ import annotations
@@ -257,33 +259,38 @@ def links_in_shard(homes: np.ndarray, guests: np.ndarray, radius: int) -> Iterat
             points, ids, gone, v, settled = points[keep], ids[keep], np.zeros(len(keep), bool), 0, 0
 
 
-def _node(prefix: str, words: int) -> Column:
-    """A point as one value: its number, or hex digits if it has several."""
-    if words == 1:
-        return F.col(f"{prefix}0")
-    return F.concat(*[F.lower(F.lpad(F.hex(f"{prefix}{i}"), 16, "0")) for i in range(words)])
+def _node(prefix: str, words: int, first: str, kind: str) -> Column:
+    """A point as one value that sorts by its smallest key, nulls last: the
+    smallest node of a component holds the component's id."""
+    least = F.col(first).cast(kind)
+    return F.struct(least.isNull().alias("none"), least.alias("first"), *[F.col(f"{prefix}{i}").alias(f"f{i}") for i in range(words)])
 
 
 def near_components(
     docs: DataFrame, *, shingle: int = 4, bits: int = 64, radius: int = 4, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """(``key``, ``fingerprint``, ``component_id``, ``text_hash``, ``point``,
-    ``class``) for every row of ``docs``.
+    """(``key``, ``fingerprint``, ``component_id``, ``text_hash``, ``class``)
+    for every row of ``docs``.
 
     ``fingerprint``: hex of the SimHash of ``bits`` (64 or more, by 64) over
-    word shingles (see :func:`fingerprint`); null texts count as empty, all
-    texts without words share fingerprint 0. Rows are linked where ``radius``
+    word shingles (see :func:`fingerprint`). Rows are linked where ``radius``
     bits or fewer differ. ``component_id``: the smallest key that can be
-    reached (null if all are null). ``class`` is the component's smallest
-    point. Repeated rows give repeated rows.
+    reached (null if all are null). ``class`` is the component's smallest node.
+
+    Null texts count as empty, all texts without words share fingerprint 0;
+    very long texts are read whole. Repeated rows, and different texts under
+    one key, give a row each; an empty table gives an empty one; other columns
+    of ``docs`` are not read. Keys are integers or strings.
     """
     spark = docs.sparkSession
     words = bits // 64
     seeds = tuple(42 + i for i in range(words))
     own = [f"f{i}" for i in range(words)]
+    kind = docs.schema[key].dataType.simpleString()
     prints = with_fingerprints(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), shingle=shingle, seeds=seeds, to="fp")
     prints = materialize(prints.select("key", F.xxhash64("text").alias("text_hash"), *[F.col("fp")[i].alias(f) for i, f in enumerate(own)]), "prints")
-    points = materialize(prints.groupBy(*own).agg(F.min("key").alias("first")), "points")
+    # keys travel as text: a null must not turn a batch of integers into floats
+    points = materialize(prints.groupBy(*own).agg(F.min("key").cast("string").alias("first")), "points")
     total = points.count()
     sample = points.orderBy(F.xxhash64(*own), *own).select(*own).limit(SAMPLE).collect()
     known = np.array([tuple(r) for r in sample], np.int64).reshape(len(sample), words).view(np.uint64)
@@ -292,30 +299,35 @@ def near_components(
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             p = np.ascontiguousarray(batch[own].to_numpy(np.int64)).view(np.uint64)
+            first = batch["first"].to_numpy()
             for a in range(0, len(p), 2000):
                 part = p[a : a + 2000]
                 row, shard, home = route(tree.value, part)
                 flat = part.view(np.int64)[row]
-                yield pd.DataFrame({"shard": shard, "home": home, **{f: flat[:, i] for i, f in enumerate(own)}})
+                yield pd.DataFrame({"shard": shard, "home": home, **{f: flat[:, i] for i, f in enumerate(own)}, "first": first[a : a + 2000][row]})
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
         p = np.ascontiguousarray(pdf[own].to_numpy(np.int64)).view(np.uint64)
         home = pdf["home"].to_numpy(bool)
         both = np.concatenate([p[home], p[~home]]).view(np.int64)
+        first = pdf["first"].to_numpy()
+        first = np.concatenate([first[home], first[~home]])
         x = np.array(list(links_in_shard(p[home], p[~home], radius)), np.int64).reshape(-1, 2)
-        return pd.DataFrame({f"{side}{i}": both[x[:, k], i] for k, side in enumerate("ab") for i in range(words)})
+        out = {f"{side}{i}": both[x[:, k], i] for k, side in enumerate("ab") for i in range(words)}
+        return pd.DataFrame({**out, "a_first": first[x[:, 0]], "b_first": first[x[:, 1]]})
 
     longs = lambda side: ", ".join(f"{side}{i} long" for i in range(words))
-    links = points.select(*own).mapInPandas(spread, f"shard long, home boolean, {longs('f')}").groupBy("shard").applyInPandas(join, f"{longs('a')}, {longs('b')}")
-    found = components(links.select(_node("a", words).alias("a"), _node("b", words).alias("b")))
-    points = points.select(_node("f", words).alias("point"), "first")
-    classes = points.join(found, points["point"] == found["node"], "left").select("point", "first", F.coalesce("component", "point").alias("class"))
-    names = classes.groupBy("class").agg(F.min("first").alias("component_id"))
-    by_point = classes.join(names, "class").select(F.col("point").alias("p"), "class", "component_id")
+    asked = points.mapInPandas(spread, f"shard long, home boolean, {longs('f')}, first string")
+    links = asked.groupBy("shard").applyInPandas(join, f"{longs('a')}, {longs('b')}, a_first string, b_first string")
+    found = components(links.select(_node("a", words, "a_first", kind).alias("a"), _node("b", words, "b_first", kind).alias("b")))
+    node = _node("f", words, "first", kind)
+    classes = points.select(node.alias("own")).join(found, F.col("own") == F.col("node"), "left").select("own", F.coalesce("component", "own").alias("class"))
+    by_point = classes.select(*[F.col("own")[f].alias(f"p{i}") for i, f in enumerate(own)], F.col("class")["first"].alias("component_id"), "class")
     hexed = F.concat(*[F.lower(F.lpad(F.hex(f), 16, "0")) for f in own])
-    prints = prints.select("key", "text_hash", hexed.alias("fingerprint"), _node("f", words).alias("point"))
-    return prints.join(by_point, prints["point"] == by_point["p"]).select(
-        F.col("key").alias(key), "fingerprint", "component_id", "text_hash", "point", "class"
+    same = [F.col(f) == F.col(f"p{i}") for i, f in enumerate(own)]
+    # a group of copies is a run of equal points on the left, which Spark splits where it is skewed
+    return prints.select("key", "text_hash", hexed.alias("fingerprint"), *own).join(by_point, same).select(
+        F.col("key").alias(key), "fingerprint", "component_id", "text_hash", "class"
     )
 
 
