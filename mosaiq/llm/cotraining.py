@@ -1,16 +1,18 @@
 """Quality of documents by co-training two views.
 
-The content view is a linear model over hashed character n-grams of the whole
-text; the metadata view one over language, source, length and layout (shares
-of byte classes, words and lines). Each is fitted to labelled rows; then, in
-rounds, each labels the pool's rows that it is surest of for the other, which
-is fitted again with these. Margins of both are calibrated on labelled rows
-that no fit has used, and combined by a small logistic model.
-
-Bounds: ``MAX_LABELLED`` labelled and ``MAX_POOL`` unlabelled rows (those of
-the smallest hashes) take part in the fit and come to the driver as feature
-numbers; ids of that many rows are the only broadcast. All rows are scored, in
-one narrow pass over whole texts.
+The content view is a linear model over the presence of hashed character
+n-grams of the whole text. The metadata view knows no characters: language,
+source, and how many characters, words and lines there are and how long they
+run, each cut into classes. Both are fitted to labelled rows; then, in rounds,
+each view scores all unlabelled documents, and the share of them that it is
+surest of, by quantiles over all of them, is labelled for the other view,
+which is fitted again with these. Margins of both are calibrated on labelled
+rows that no fit has used, and combined by a small logistic model.
+
+Bounds: a fit takes ``max_labelled`` labelled rows and of the pseudo-labelled
+ones ``max_taught`` for each view, those of the smallest hashes; their features
+come to the driver, their ids are the only broadcast. Scores, quantiles and
+the choice of confident rows cover every document, in one pass for each round.
 """
 
 from __future__ import annotations
@@ -24,60 +26,69 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
-from .ngrams import BITS, label_counts, presence
-from .nbsvm import encode, labelled_sample, log_ratio, logistic
-
-MAX_LABELLED, MAX_POOL = 6_000, 6_000
-ORDERS, FEATURES = (1, 2, 3), 768
-ROUNDS, SHARE = 4, 0.03
-LANGS, SOURCES = 8, 32
-#: Byte classes of the layout: lower, upper, digits, blanks, line ends, other ASCII, the rest.
-_CLASS = np.full(256, 6)
-_CLASS[:128] = 5
-_CLASS[97:123], _CLASS[65:91], _CLASS[48:58] = 0, 1, 2
-_CLASS[[9, 11, 12, 13, 32]] = 3
-_CLASS[10] = 4
-_LAYOUT = 7 + 4
-DIMS = 2 * _LAYOUT + LANGS + SOURCES
-
-
-def metadata(texts: list[bytes], lang: list, source: list) -> np.ndarray:
-    """The metadata view of each row; null languages and sources are values of their own."""
-    out = np.zeros((len(texts), DIMS), np.float32)
-    for i, t in enumerate(texts):
-        n = max(1, len(t))
-        shares = np.bincount(_CLASS[np.frombuffer(t, np.uint8)], minlength=7) / n
-        blanks = shares[3] + shares[4]
-        layout = np.concatenate([shares, [np.log1p(len(t)) / 10, np.log1p(blanks * n) / 10, min(1.0, 1 / (1 + (1 / n + blanks) * 10)), min(1.0, 100 * shares[4] / max(1e-9, blanks * 100))]])
-        out[i, :_LAYOUT], out[i, _LAYOUT : 2 * _LAYOUT] = layout, np.sqrt(layout)
-        out[i, 2 * _LAYOUT + zlib.crc32(str(lang[i]).encode()) % LANGS] = 1
-        out[i, 2 * _LAYOUT + LANGS + zlib.crc32(str(source[i]).encode()) % SOURCES] = 1
-    return out
+from .common import fresh, materialize
+from .nbsvm import bucket_counts, labelled_sample, log_ratio, logistic
+from .ngrams import Grams, logistic_on_presence, packed
+
+ORDERS, BITS = (1, 2, 3), 18
+#: Classes of each metadata feature, and where each begins in the view.
+_CLASSES = {"chars": 40, "words": 40, "word_length": 64, "line_length": 64, "words_by_line": 64, "lang": 64, "source": 256}
+_BEGIN = dict(zip(_CLASSES, np.concatenate([[0], np.cumsum(list(_CLASSES.values()))[:-1]]).tolist()))
+META = sum(_CLASSES.values())
+
+
+def metadata(text: str | None, lang: object, source: object) -> np.ndarray:
+    """The metadata view of a row: one class of each feature. Null languages
+    and sources are values of their own."""
+    t = text or ""
+    chars, words, lines = len(t), len(t.split()), t.count("\n") + 1
+    found = {
+        "chars": 2 * np.log2(chars + 1),
+        "words": 2 * np.log2(words + 1),
+        "word_length": 4 * (chars - words + 1) / (words + 1),
+        "line_length": 4 * np.log2(chars / lines + 1),
+        "words_by_line": 4 * np.log2(words / lines + 1),
+        "lang": zlib.crc32(repr(lang).encode()) % _CLASSES["lang"],
+        "source": zlib.crc32(repr(source).encode()) % _CLASSES["source"],
+    }
+    return np.array([_BEGIN[k] + min(int(v), _CLASSES[k] - 1) for k, v in found.items()], np.int32)
 
 
 @dataclass(frozen=True)
 class Views:
-    feature: np.ndarray
+    """Weights by bucket and a bias of either view; Platt's scaling of either
+    margin; the weights of both and a constant."""
+
     content: tuple[np.ndarray, float]
     meta: tuple[np.ndarray, float]
-    #: Platt's scaling of either view's margin, and the weights of both and a constant.
     scale: np.ndarray
     both: np.ndarray
 
-    def scores(self, texts: list, lang: list, source: list) -> np.ndarray:
-        """Content, metadata and combined probability of each row."""
-        data = encode(texts, False)
-        own, f = presence(data, ORDERS, self.feature, max(1, len(self.content[0])))
-        a = self.content[1] + np.bincount(own, self.content[0][f] if len(f) else None, minlength=len(data)).astype(float)[: len(data)]
-        b = metadata(data, lang, source) @ self.meta[0] + self.meta[1]
-        return self.combine(np.stack([a, b], 1))
+    def margins(self, texts: list, lang: list, source: list, grams: Grams) -> np.ndarray:
+        rows = ((grams.of(t), metadata(t, x, s)) for t, x, s in zip(texts, lang, source))
+        return np.array([(self.content[1] + float(self.content[0][a].sum()), self.meta[1] + float(self.meta[0][b].sum())) for a, b in rows], float).reshape(-1, 2)
 
     def combine(self, margins: np.ndarray) -> np.ndarray:
+        """Content, metadata and combined probability of each row."""
         z = margins * self.scale[0] + self.scale[1]
         return _sigmoid(np.column_stack([z, z @ self.both[:2] + self.both[2]]))
 
 
+@dataclass
+class Lessons:
+    """What a view learns from: rows of buckets with labels."""
+
+    rows: list[np.ndarray]
+    label: list[float]
+
+    def fitted(self, size: int) -> tuple[np.ndarray, float]:
+        y = np.array(self.label, np.float32)
+        n = bucket_counts(self.rows, y, size)
+        ratio = log_ratio(n[1], n[0], float((y == 1).sum()), float((y == 0).sum()))
+        w, b = logistic_on_presence(self.rows, ratio, y)
+        return w.astype(np.float32), b
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
@@ -88,107 +99,116 @@ def _platt(m: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(0.0, float(w[0])) / scale, b
 
 
-def fit(docs: DataFrame, labels: DataFrame, train: Column, *, label: str = "quality", key: str = "doc_id", rounds: int = ROUNDS) -> Views:
-    """Co-train on labels that ``train`` admits. Without both labels among
-    them every row gets the share of label 1 (0.5 without any)."""
-    known = labelled_sample(labels, label, train, MAX_LABELLED, key)
-    pool = docs.select(key).where(F.col(key).isNotNull()).distinct().orderBy(F.xxhash64(F.col(key), F.lit(7)), key).limit(MAX_POOL)
-    chosen = materialize(pool.join(known, key, "full_outer").select(key, "label"), "chosen")
-    rows = materialize(docs.select(key, "text", "lang", "source").join(F.broadcast(chosen), key), "sample").dropDuplicates([key])
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n = np.zeros((2, 1 << BITS), np.int64)
-        for batch in batches:
-            n += label_counts(encode(batch["text"].tolist(), False), batch["label"].to_numpy(), ORDERS)
-        some = np.flatnonzero(n.sum(0))
-        yield pd.DataFrame({"bucket": some, "neg": n[0, some], "pos": n[1, some]})
-
-    total = {r["label"]: r["count"] for r in rows.where("label IS NOT NULL").groupBy("label").count().collect()}
-    feature = np.full(1 << BITS, -1, np.int32)
-    if not total.get(0) or not total.get(1):
-        p = (total.get(1, 0) + 1) / (sum(total.values()) + 2)
-        nothing = (np.zeros(0), 0.0), (np.zeros(DIMS), 0.0)
-        return Views(feature, *nothing, np.array([[1.0, 1.0], [0.0, 0.0]]), np.array([0.0, 0.0, np.log(p / (1 - p))]))
-    labelled = rows.where("label IS NOT NULL").select("text", F.col("label").cast("int").alias("label"))
-    counts = labelled.mapInPandas(count, "bucket long, neg long, pos long").groupBy("bucket").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos")).toPandas()
-    r, z = log_ratio(counts["pos"].to_numpy(float), counts["neg"].to_numpy(float), total[1], total[0])
-    order = np.lexsort((counts["bucket"].to_numpy(), -np.abs(z)))[:FEATURES]
-    feature[counts["bucket"].to_numpy()[order]] = np.arange(len(order))
-    r, width = r[order], len(order)
-
-    def views(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            data = encode(batch["text"].tolist(), False)
-            own, f = presence(data, ORDERS, feature, width)
-            found = np.split(f, np.searchsorted(own, np.arange(1, len(batch))))
-            meta = metadata(data, batch["lang"].tolist(), batch["source"].tolist())
-            yield pd.DataFrame({"id": batch[key], "label": batch["label"].fillna(-1).astype(int), "found": [x.astype("<u2").tobytes() for x in found], "meta": [m.tobytes() for m in meta]})
-
-    kind = dict(rows.dtypes)[key]
-    got = rows.mapInPandas(views, f"id {kind}, label int, found binary, meta binary").orderBy("id").toPandas()
-    a = np.zeros((len(got), width), np.float32)
-    for i, found in enumerate(got["found"]):
-        f = np.frombuffer(found, "<u2")
-        a[i, f] = r[f]
-    b = np.stack([np.frombuffer(m, np.float32) for m in got["meta"]])
-    return co_train(a, b, got["label"].to_numpy(), feature, r, rounds)
-
-
-def co_train(a: np.ndarray, b: np.ndarray, label: np.ndarray, feature: np.ndarray, ratio: np.ndarray, rounds: int) -> Views:
-    """The rounds, over matrices of both views; ``label`` is -1 for the pool."""
-    known = np.flatnonzero(label >= 0)
-    test = known[np.arange(len(known)) % 4 == 0]
-    if len(set(label[test])) < 2:
-        test = known
-    first = known if len(test) == len(known) else np.setdiff1d(known, test)
-    pool = np.flatnonzero(label < 0)
-    taught = [{int(i): int(label[i]) for i in first} for _ in "ab"]
-    prior = float(np.clip(label[first].mean(), 0.05, 0.95))
-    views, models = (a, b), []
-    for step in range(rounds + 1):
-        models = []
-        for x, lesson in zip(views, taught):
-            at = np.fromiter(lesson, int)
-            models.append(logistic(x[at], np.fromiter(lesson.values(), np.float32, len(lesson)), l2=1e-3))
-        if step == rounds or not len(pool):
+def _features(rows: DataFrame, *kept: str) -> list:
+    """(kept columns, content buckets, metadata classes) of bounded ``rows``, brought to the driver by partitions."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        grams = Grams(ORDERS, BITS, False)
+        for b in batches:
+            a = [packed(grams.of(t)) for t in b["text"]]
+            m = [packed(metadata(*r)) for r in zip(b["text"], b["lang"], b["source"])]
+            yield pd.DataFrame({**{c: b[c] for c in kept}, "content": a, "meta": m})
+
+    schema = ", ".join(f"{c} {dict(rows.dtypes)[c]}" for c in kept)
+    return list(rows.mapInPandas(run, f"{schema}, content binary, meta binary").toLocalIterator())
+
+
+def _unpack(found: bytes) -> np.ndarray:
+    return np.frombuffer(found, "<i4")
+
+
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    train: Column,
+    *,
+    label: str = "quality",
+    key: str = "doc_id",
+    rounds: int = 3,
+    share: float = 0.03,
+    max_labelled: int = 6_000,
+    max_taught: int = 6_000,
+) -> Views:
+    """Co-train on labels that ``train`` admits; ``share`` of all unlabelled
+    rows is labelled by either view in each round. Without both labels among
+    the known ones every row gets the share of label 1 (0.5 without any).
+    Of several texts under one key all count; reruns agree."""
+    known = materialize(labelled_sample(labels, label, train, max_labelled, key), "known")
+    rows = docs.select(F.col(key).alias("key"), F.xxhash64(key, "text").alias("id"), "text", "lang", "source")
+    side = F.broadcast(known.select(F.col(key).alias("key"), "label"))
+    got = _features(rows.join(side, "key"), "id", "label")
+    got.sort(key=lambda r: (r["id"], r["label"]))
+    label_of = np.array([r["label"] for r in got], int)
+    if len(set(label_of)) < 2:
+        p = (label_of.sum() + 1) / (len(label_of) + 2)
+        nothing = (np.zeros(1 << BITS, np.float32), 0.0), (np.zeros(META, np.float32), 0.0)
+        return Views(*nothing, np.array([[1.0, 1.0], [0.0, 0.0]]), np.array([0.0, 0.0, np.log(p / (1 - p))]))
+    test = np.arange(len(got)) % 4 == 0
+    if len(set(label_of[test])) < 2 or len(set(label_of[~test])) < 2:
+        test = np.ones(len(got), bool)
+    first = ~test if not test.all() else test
+    names, sizes = ("content", "meta"), (1 << BITS, META)
+    lessons = [Lessons([_unpack(got[i][n]) for i in np.flatnonzero(first)], label_of[first].astype(float).tolist()) for n in names]
+    prior = float(np.clip(label_of[first].mean(), 0.05, 0.95))
+    pool = rows.join(side, "key", "left_anti")
+    models = [x.fitted(s) for x, s in zip(lessons, sizes)]
+    taught: list[set[int]] = [set(), set()]
+    for _ in range(rounds):
+        scored = materialize(_margins(pool, models), "margins")
+        cuts = scored.agg(*[F.percentile_approx(c, [share * (1 - prior), 1 - share * prior], 10_000) for c in ("a", "b")]).first()
+        if cuts[0] is None:
             break
         for me, other in ((0, 1), (1, 0)):
-            free = np.array([i for i in pool if int(i) not in taught[other]], int)
-            if not len(free):
-                continue
-            m = views[me][free] @ models[me][0] + models[me][1]
-            rank = free[np.argsort(m, kind="stable")]
-            n = max(1, round(SHARE * len(pool)))
-            low, high = round(n * (1 - prior)), round(n * prior)
-            sure = np.sort(m)
+            m = F.col("ab"[me])
+            low, high = (F.lit(float(x)) for x in cuts[me])
             # only what the view is sure of: its own side of the margin
-            for i in rank[: min(low, int((sure < 0).sum()))]:
-                taught[other][int(i)] = 0
-            for i in rank[len(rank) - min(high, int((sure > 0).sum())) :]:
-                taught[other][int(i)] = 1
-    margins = np.stack([x[test] @ w + c for x, (w, c) in zip(views, models)], 1)
-    y = label[test].astype(np.float32)
+            sure = F.when((m <= low) & (m < 0), 0).when((m >= high) & (m > 0), 1)
+            chosen = scored.select("id", sure.alias("label")).where("label IS NOT NULL").distinct().orderBy(F.xxhash64("id"), "id").limit(max_taught)
+            fresh_rows = [r for r in _features(pool.join(F.broadcast(chosen), "id").dropDuplicates(["id"]), "id", "label") if r["id"] not in taught[other]]
+            fresh_rows.sort(key=lambda r: r["id"])
+            for r in fresh_rows[: max(0, max_taught - len(taught[other]))]:
+                taught[other].add(r["id"])
+                lessons[other].rows.append(_unpack(r[names[other]]))
+                lessons[other].label.append(float(r["label"]))
+        models = [x.fitted(s) for x, s in zip(lessons, sizes)]
+    y = label_of[test].astype(np.float32)
+    margins = np.array([[b + float(w[_unpack(got[i][n])].sum()) for (w, b), n in zip(models, names)] for i in np.flatnonzero(test)])
     scale = np.array([_platt(margins[:, k], y) for k in (0, 1)]).T
-    zs = (margins * scale[0] + scale[1]).astype(np.float32)
-    w, c = logistic(zs, y, l2=1e-2)
-    (wa, ca), (wb, cb) = models
-    return Views(feature, (wa * ratio, float(ca)), (wb.astype(float), float(cb)), scale, np.array([*np.maximum(w, 0), c], float))
+    w, c = logistic((margins * scale[0] + scale[1]).astype(np.float32), y, l2=1e-2)
+    return Views(*models, scale, np.array([*np.maximum(w, 0), c], float))
+
+
+def _margins(rows: DataFrame, models: list[tuple[np.ndarray, float]]) -> DataFrame:
+    """(``id``, ``a``, ``b``): the margins of both views of every row."""
+    shared = rows.sparkSession.sparkContext.broadcast(Views(*models, np.zeros((2, 2)), np.zeros(3)))
+
+    @F.pandas_udf("struct<a: double, b: double>")
+    def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        grams = Grams(ORDERS, BITS, False)
+        for text, lang, source in batches:
+            yield pd.DataFrame(shared.value.margins(text.tolist(), lang.tolist(), source.tolist(), grams), columns=["a", "b"])
+
+    return rows.select("id", run("text", "lang", "source").alias("m")).select("id", "m.a", "m.b")
 
 
 def score_quality(docs: DataFrame, model: Views) -> DataFrame:
     """``docs`` with ``content_score``, ``metadata_score``, ``score`` (0 to 1)
-    and ``predicted`` (1 from 0.5 on). Null texts count as empty; null
-    languages and sources are values of their own; columns of these names are
-    replaced."""
+    and ``predicted`` (1 from 0.5 on); columns of these names are replaced, all
+    others stay.
+
+    Null texts count as empty; very long ones are read whole, piece by piece;
+    null languages and sources are values of their own. Repeated rows stay,
+    ties get equal scores, an empty table gives an empty one."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("struct<content_score: double, metadata_score: double, score: double>")
     def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        grams = Grams(ORDERS, BITS, False)
         for text, lang, source in batches:
-            yield pd.DataFrame(shared.value.scores(text.tolist(), lang.tolist(), source.tolist()), columns=["content_score", "metadata_score", "score"])
+            m = shared.value.margins(text.tolist(), lang.tolist(), source.tolist(), grams)
+            yield pd.DataFrame(shared.value.combine(m), columns=["content_score", "metadata_score", "score"])
 
-    names = ("content_score", "metadata_score", "score", "predicted")
-    rest = docs.drop(*names)
-    s = run("text", "lang", "source")
-    out = rest.select("*", s.alias("__quality"))
-    return out.select(*rest.columns, "__quality.*").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    rest = docs.drop("content_score", "metadata_score", "score", "predicted")
+    (quality,) = fresh(rest, "quality")
+    out = rest.select("*", run("text", "lang", "source").alias(quality))
+    return out.select(*rest.columns, f"{quality}.*").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

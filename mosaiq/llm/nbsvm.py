@@ -3,11 +3,12 @@ ratios (binary features), with its fit on a bounded sample of labelled rows.
 
 Fit: the labelled rows with the smallest hashes, at most ``max_rows``, are
 found in ``docs`` by a join with that bounded side (the only broadcast here;
-its size is ``max_rows`` ids). Counts of texts with each n-gram are summed
-over the executors; the driver gets one row for each hash bucket, takes the
-``features`` buckets whose ratio is surest, and fits a regularised logistic
-regression to the 0/1 matrix of the sample. Scores are made for every row by
-one narrow pass over the whole texts, without a shuffle.
+its size is ``max_rows`` ids). Each gives the distinct hash buckets of its
+n-grams, which come to the driver partition by partition: ``max_rows`` texts'
+worth, whatever the corpus. Every bucket that occurs is a feature; its ratio
+comes from these rows, and a logistic regression is fitted to the presence of
+all of them. Scores are made for every row by one narrow pass over the whole
+texts, without a shuffle.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
-from .ngrams import BITS, label_counts, presence
+from .ngrams import Grams, logistic_on_presence, packed
 
 #: Added to counts.
 SMOOTH = 1.0
@@ -29,33 +30,44 @@ SMOOTH = 1.0
 
 @dataclass(frozen=True)
 class Linear:
-    """``weight`` by feature (scaled by the ratios already), feature by bucket."""
+    """``weight`` by bucket (scaled by the ratios already)."""
 
-    feature: np.ndarray
     weight: np.ndarray
     bias: float
     orders: tuple[int, ...]
+    bits: int
     lower: bool
 
-    def margins(self, texts: list[str | None]) -> np.ndarray:
-        data = encode(texts, self.lower)
-        own, f = presence(data, self.orders, self.feature, max(1, len(self.weight)))
-        return self.bias + np.bincount(own, self.weight[f] if len(f) else None, minlength=len(data)).astype(float)[: len(data)]
+    def margins(self, texts: list[str | None], grams: Grams | None = None) -> np.ndarray:
+        grams = grams or Grams(self.orders, self.bits, self.lower)
+        return np.array([margin(self.weight, self.bias, grams.of(t)) for t in texts], float)
 
 
-def encode(texts: list[str | None], lower: bool) -> list[bytes]:
-    return [(t.lower() if lower else t).encode("utf-8", "replace") if t else b"" for t in texts]
+def margin(weight: np.ndarray, bias: float, found: np.ndarray) -> float:
+    """Of a text's distinct buckets."""
+    return bias + float(weight[found].sum())
 
 
-def log_ratio(pos: np.ndarray, neg: np.ndarray, n_pos: float, n_neg: float) -> tuple[np.ndarray, np.ndarray]:
-    """Naive Bayes log-count ratios of binary features, and how many standard errors each is from 0."""
+def log_ratio(pos: np.ndarray, neg: np.ndarray, n_pos: float, n_neg: float) -> np.ndarray:
+    """Naive Bayes log-count ratios of binary features; 0 where nothing was
+    seen. A ratio of fewer than about three standard errors shrinks smoothly:
+    features of one or two rows say little, and there are most of them."""
     p, q = (pos + SMOOTH) / (n_pos + 2 * SMOOTH), (neg + SMOOTH) / (n_neg + 2 * SMOOTH)
     r = np.log(p / q)
-    return r, r / np.sqrt(1 / (pos + SMOOTH) + 1 / (neg + SMOOTH))
+    z4 = (r / np.sqrt(1 / (pos + SMOOTH) + 1 / (neg + SMOOTH))) ** 4
+    return np.where(pos + neg > 0, r * z4 / (z4 + 81), 0.0).astype(np.float32)
+
+
+def bucket_counts(rows: list[np.ndarray], label: np.ndarray, size: int) -> np.ndarray:
+    """Rows of label 0 and of label 1 that have each bucket."""
+    n = np.zeros((2, size), np.int32)
+    for r, v in zip(rows, label):
+        n[int(v), r] += 1
+    return n
 
 
 def logistic(x: np.ndarray, y: np.ndarray, l2: float = 1e-3, weight: np.ndarray | None = None, steps: int = 400) -> tuple[np.ndarray, float]:
-    """Regularised logistic regression by accelerated gradient steps."""
+    """Regularised logistic regression on few columns by accelerated gradient steps."""
     n, k = x.shape
     weight = np.ones(n, np.float32) if weight is None else weight.astype(np.float32)
     weight = weight / weight.sum()
@@ -82,50 +94,34 @@ def fit(
     sample: DataFrame,
     *,
     orders: tuple[int, ...] = (3, 4, 5),
-    features: int = 1024,
+    bits: int = 20,
     lower: bool = True,
     text: str = "text",
     key: str = "doc_id",
 ) -> Linear:
     """Fit to ``sample`` (key, label), whose rows are bounded. Without rows of
-    both labels the score is the share of label 1 (or 0.0) for every text."""
-    rows = materialize(
-        docs.select(key, text).join(F.broadcast(sample), key).select(key, text, "label"), "labelled"
-    )
+    both labels the score is the share of label 1 (or 0.0) for every text.
+    Of several texts under one key all count. The rows are taken in the order
+    of key and text, so reruns agree."""
+    rows = materialize(docs.select(key, text).join(F.broadcast(sample), key).select(key, text, "label"), "labelled")
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n = np.zeros((2, 1 << BITS), np.int64)
+    def seen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        grams = Grams(orders, bits, lower)
         for batch in batches:
-            n += label_counts(encode(batch[text].tolist(), lower), batch["label"].to_numpy(), orders)
-        some = np.flatnonzero(n.sum(0))
-        yield pd.DataFrame({"bucket": some, "neg": n[0, some], "pos": n[1, some]})
+            yield pd.DataFrame({"key": batch["key"], "hash": batch["hash"], "label": batch["label"], "found": [packed(grams.of(t)) for t in batch["text"]]})
 
-    total = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
-    n_neg, n_pos = total.get(0, 0), total.get(1, 0)
-    none = np.full(1 << BITS, -1, np.int32)
+    source = rows.select(F.xxhash64(key).alias("key"), F.xxhash64(text).alias("hash"), "label", F.col(text).alias("text"))
+    got = [(r["key"], r["hash"], r["label"], r["found"]) for r in source.mapInPandas(seen, "key long, hash long, label int, found binary").toLocalIterator()]
+    got.sort(key=lambda r: r[:3])
+    label = np.array([r[2] for r in got], np.float32)
+    n_pos, n_neg = float((label == 1).sum()), float((label == 0).sum())
     if not n_neg or not n_pos:
         p = min(max((n_pos + 1e-6) / (n_neg + n_pos + 2e-6) if n_pos + n_neg else 1e-6, 1e-6), 1 - 1e-6)
-        return Linear(none, np.zeros(0), float(np.log(p / (1 - p))), orders, lower)
-    counts = rows.mapInPandas(count, "bucket long, neg long, pos long").groupBy("bucket").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos")).toPandas()
-    r, z = log_ratio(counts["pos"].to_numpy(float), counts["neg"].to_numpy(float), n_pos, n_neg)
-    order = np.lexsort((counts["bucket"].to_numpy(), -np.abs(z)))[:features]
-    bucket, r = counts["bucket"].to_numpy()[order], r[order]
-    none[bucket] = np.arange(len(bucket))
-    feature = none
-
-    def seen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            own, f = presence(encode(batch[text].tolist(), lower), orders, feature, len(bucket))
-            cuts = np.searchsorted(own, np.arange(1, len(batch)))
-            yield pd.DataFrame({"label": batch["label"].to_numpy(), "found": [x.astype("<u2").tobytes() for x in np.split(f, cuts)]})
-
-    matrix = rows.mapInPandas(seen, "label int, found binary").toPandas()
-    x = np.zeros((len(matrix), len(bucket)), np.float32)
-    for i, found in enumerate(matrix["found"]):
-        f = np.frombuffer(found, "<u2")
-        x[i, f] = r[f]
-    w, b = logistic(x, matrix["label"].to_numpy(np.float32))
-    return Linear(feature, (w * r).astype(np.float64), float(b), orders, lower)
+        return Linear(np.zeros(1 << bits, np.float32), float(np.log(p / (1 - p))), orders, bits, lower)
+    found = [np.frombuffer(r[3], "<i4") for r in got]
+    n = bucket_counts(found, label, 1 << bits)
+    weight, bias = logistic_on_presence(found, log_ratio(n[1], n[0], n_pos, n_neg), label)
+    return Linear(weight.astype(np.float32), bias, orders, bits, lower)
 
 
 def score_text(docs: DataFrame, model: Linear, *, text: str = "text", to: str = "score") -> DataFrame:
@@ -135,7 +131,8 @@ def score_text(docs: DataFrame, model: Linear, *, text: str = "text", to: str =
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         m = shared.value
+        grams = Grams(m.orders, m.bits, m.lower)
         for batch in batches:
-            yield pd.Series(1 / (1 + np.exp(-np.clip(m.margins(batch.tolist()), -700, 700))))
+            yield pd.Series(1 / (1 + np.exp(-np.clip(m.margins(batch.tolist(), grams), -700, 700))), dtype=float)
 
     return docs.withColumn(to, score(F.col(text)))

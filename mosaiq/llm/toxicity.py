@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import nbsvm
+from .common import fresh
 
-#: Labelled rows that a fit uses at most.
+#: Labelled rows that a fit uses at most, by default.
 MAX_ROWS = 12_000
 
 
@@ -16,22 +17,27 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, *, max_rows: int = MAX_ROWS, features: int = 1024) -> nbsvm.Linear:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, *, max_rows: int = MAX_ROWS) -> nbsvm.Linear:
     """Learn from at most ``max_rows`` labelled rows that are not held out."""
     sample = nbsvm.labelled_sample(labels, "toxic", ~held_out(F.col("doc_id")), max_rows)
-    return nbsvm.fit(docs, sample, features=features)
+    return nbsvm.fit(docs, sample)
 
 
 def score_toxicity(docs: DataFrame, model: nbsvm.Linear) -> DataFrame:
-    """Every row of ``docs`` with ``held_out``, ``score`` (0 to 1; null and
-    empty texts are scored as texts without n-grams) and ``predicted``
-    (1 from a score of 0.5 on). Columns of these names are replaced; repeated
-    rows and null ids stay as they are."""
+    """Every row of ``docs`` with ``held_out``, ``score`` (0 to 1) and
+    ``predicted`` (1 from a score of 0.5 on).
+
+    Null and empty texts are scored as texts of no words; very long ones are
+    read whole, piece by piece. Columns of the three names are replaced, all
+    others stay. Repeated rows and null ids stay as they are, ties get equal
+    scores, an empty table gives an empty one."""
     docs = docs.drop("held_out", "score", "predicted").withColumn("held_out", held_out(F.col("doc_id")))
     return nbsvm.score_text(docs, model).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not toxic, with the columns of ``docs``."""
-    scored = score_toxicity(docs.withColumns({}), fit_toxicity(docs, labels))
-    return scored.where(F.col("predicted") == 0).select(*docs.columns)
+def drop_toxic(docs: DataFrame, labels: DataFrame, *, max_rows: int = MAX_ROWS) -> DataFrame:
+    """The rows of ``docs`` that are not toxic, with the columns of ``docs`` as
+    they are, whatever their names."""
+    (score,) = fresh(docs, "score")
+    model = fit_toxicity(docs.select("doc_id", "text"), labels, max_rows=max_rows)
+    return nbsvm.score_text(docs, model, to=score).where(F.col(score) < 0.5).select(*docs.columns)

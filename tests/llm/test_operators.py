@@ -394,11 +394,30 @@ def test_boosting_learns_an_interaction(spark):
 # quality and toxicity
 
 
-def test_ngrams_span_no_texts():
-    texts = [b"abc", b"", b"abcd"]
-    own, f = ngrams.presence(texts, (3,), None, 1 << ngrams.BITS)
-    alone = [set(ngrams.presence([t], (3,), None, 1 << ngrams.BITS)[1]) for t in texts]
-    assert [set(f[own == i]) for i in range(3)] == alone
+@pytest.mark.parametrize("text", ["abc", "", None, "Ab 中文字 é", "xy" * 700])
+def test_ngrams_are_of_characters(text, monkeypatch):
+    """By definition, in one piece and in many; equal grams have equal buckets wherever they stand."""
+    grams = ngrams.Grams((2, 3), 20, True)
+    alone = {}
+    whole = f" {text or ''} ".lower()
+    want = {whole[i : i + n] for n in (2, 3) for i in range(len(whole) - n + 1)}
+    got = grams.of(text)
+    assert len(got) == len(set(got.tolist())) == len(want)
+    monkeypatch.setattr(ngrams, "PIECE", 5)
+    assert set(grams.of(text).tolist()) == set(got.tolist())
+    assert not alone
+
+
+def test_long_texts_are_hashed_in_bounded_memory():
+    import tracemalloc
+
+    text = "some words that go on " * 500_000
+    grams = ngrams.Grams((3, 4, 5), 20, True)
+    tracemalloc.start()
+    grams.of(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * len(text)
 
 
 def test_toxicity_on_held_out_rows(spark, data):
@@ -430,6 +449,14 @@ def test_toxicity_odd_rows(spark):
     assert toxicity.drop_toxic(docs, none).columns == docs.columns
 
 
+def test_drop_toxic_keeps_clashing_columns(spark):
+    docs = docs_of(spark, [(i, f"text {i} " + ("idiot" if i % 2 else "friend")) for i in range(100)]).withColumns({"score": F.lit(7.5), "predicted": F.lit("p"), "held_out": F.lit(3)})
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    kept = toxicity.drop_toxic(docs, labels)
+    assert kept.columns == docs.columns and {(r["score"], r["predicted"], r["held_out"]) for r in kept.collect()} == {(7.5, "p", 3)}
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(0, 100, 2))
+
+
 def test_logistic_separates():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(400, 3)).astype(np.float32)
@@ -454,21 +481,42 @@ def test_quality_odd_rows(spark):
     assert cotraining.score_quality(docs_of(spark, []), model).count() == 0
 
 
-def test_views_teach_each_other():
-    """Few labels; each view sees half of the signal well, the pool links them."""
+def test_quality_scores_keep_other_columns(spark):
+    docs = docs_of(spark, ODD).withColumns({"score": F.lit(1.5), "quality": F.lit("q"), "__quality": F.lit("z")})
+    model = cotraining.fit(docs, spark.createDataFrame([(1, 0), (3, 1), (4, 0), (6, 1)], "doc_id long, quality int"), F.lit(True))
+    rows = cotraining.score_quality(docs, model).collect()
+    assert {(r["quality"], r["__quality"]) for r in rows} == {("q", "z")} and all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_fit_of_repeated_ids_is_the_same_on_every_run(spark):
+    docs = docs_of(spark, [(i // 3, f"text {i * 7919 % 101} {'good' if i % 2 else 'bad'}") for i in range(90)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
+    a, b = (cotraining.fit(docs.repartition(n), labels, F.lit(True), rounds=1) for n in (1, 3))
+    assert np.array_equal(a.content[0], b.content[0]) and np.array_equal(a.meta[0], b.meta[0]) and np.allclose(a.scale, b.scale)
+
+
+def test_views_teach_each_other(spark):
+    """Few labels, and a content that names its class by words of which the
+    labelled rows show a few; the metadata view sees the class by word length."""
     rng = np.random.default_rng(3)
-    y = rng.integers(0, 2, 2000)
-    a = (rng.normal(size=(2000, 20)) + np.where(y, 0.7, -0.7)[:, None]).astype(np.float32)
-    b = (rng.normal(size=(2000, 4)) + np.where(y, 0.8, -0.8)[:, None]).astype(np.float32)
-    label = np.where(np.arange(2000) < 40, y, -1)
-    feature, ratio = np.full(1 << ngrams.BITS, -1, np.int32), np.ones(20)
+    rows, truth = [], {}
+    for i in range(1500):
+        y = int(rng.integers(0, 2))
+        names = rng.choice(30, 4)
+        marks = " ".join(f"{'q' if y else 'z'}{chr(97 + n % 26)}{chr(97 + n // 26)}w" for n in names)
+        filler = " ".join("m" * int(rng.integers(3, 6) + (3 if y else 0)) for _ in range(12))
+        rows.append((i, f"{marks} {filler}"))
+        truth[i] = y
+    docs = docs_of(spark, rows)
+    labels = spark.createDataFrame([(i, truth[i]) for i in range(24)], "doc_id long, quality int")
 
     def accuracy(rounds):
-        v = cotraining.co_train(a, b, label, feature, ratio, rounds)
-        m = np.stack([a @ v.content[0] + v.content[1], b @ v.meta[0] + v.meta[1]], 1)
-        return ((v.combine(m)[:, 1] > 0.5) == y)[40:].mean()
+        model = cotraining.fit(docs, labels, F.lit(True), rounds=rounds, share=0.2)
+        got = cotraining.score_quality(docs, model).select("doc_id", "content_score", "score").collect()
+        return [np.mean([(r[c] >= 0.5) == truth[r["doc_id"]] for r in got if r["doc_id"] >= 24]) for c in ("content_score", "score")]
 
-    assert accuracy(4) >= accuracy(0) - 0.01 and accuracy(4) > 0.9
+    without, taught = accuracy(0), accuracy(3)
+    assert taught[1] > 0.95 and taught[0] >= without[0] and sum(taught) >= sum(without), (without, taught)
 
 
 # pages
