@@ -9,7 +9,7 @@ from . import nbsvm
 from .common import fresh
 
 #: Labelled rows that a fit uses at most, by default.
-MAX_ROWS = 12_000
+MAX_ROWS = 5_000
 
 
 def held_out(key: Column) -> Column:
