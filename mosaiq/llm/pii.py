@@ -2,14 +2,18 @@
 (DataFrame functions only on the data; the driver fits trees to a table of counts).
 
 Base spans come from strict patterns and always stay. Generators of high
-recall propose further spans, which may overlap each other and the base.
-A proposal has features of its format (digits, separators, letters, grouping)
-and of its context (characters and words at its sides). Proposals that overlap
-a base span are the positive examples, the others the negative ones: the trees
-learn how data that validates looks and where it stands, and a proposal that
-does not validate is redacted if it looks like that. Margins are calibrated,
-and for each kind a threshold chosen, on a fold of the proposals that the fit
-has not seen.
+recall propose further spans, which may overlap each other and the base:
+e-mail addresses and IP numbers in disguise, IPv6, cards with other separators,
+telephone numbers without a plus sign, keys and tokens. A proposal has features
+of its format (digits, separators, letters, grouping, whether its check holds
+once the disguise is off) and of its context (characters and words at its sides).
+
+The trees learn from the corpus itself. Positive are proposals that overlap a
+base span, those whose check holds, tokens that are assigned to a name such as
+``password``, and proposals in disguised copies of the base spans: each is
+rewritten, in its context, in forms that the base does not know. All others
+are negative. Margins are calibrated, and for each kind a threshold chosen, on
+a fold of the examples that the fit has not seen.
 
 Scale: all patterns are evaluated in one narrow pass; positions are running
 sums of the lengths of matches and of what lies between them, inside each row.
@@ -26,9 +30,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import boosting
-from .common import fresh
+from .common import fresh, materialize
 
 KINDS = ("email", "ip", "card", "phone")
+#: Kinds of added spans, in the order of results.
+ALL_KINDS = (*KINDS, "secret")
 
 # Possessive and guarded forms of the contract's patterns: what they match is
 # the same, in time that grows with the text's length only.
@@ -39,12 +45,14 @@ CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}+(?![\x20-]?[0-
 PHONE = r"\+[0-9](?:[\x20().-]*+[0-9]){7,14}+(?![\x20().-]*+[0-9])"
 _OCTET = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2}|)"
 
+_DOT = r"(?:\.|\[\.\]|\(\.\))"
 #: (kind, pattern) of the proposals.
 GENERATORS = (
     ("email", rf"(?:\G|(?<!{_LOCAL})){_LOCAL}{{1,64}}+(?:@|\x20?[(\[]at[)\]]\x20?){_LABEL}{{1,63}}+(?:(?:\.|\x20?[(\[]dot[)\]]\x20?){_LABEL}{{1,63}}+){{1,8}}+"),
-    ("ip", r"(?<![0-9A-Fa-f:.])(?:[0-9]{1,5}+(?:\.[0-9]{1,5}+){3}+|[0-9A-Fa-f]{1,4}+(?::[0-9A-Fa-f]{0,4}+){4,7}+)(?![0-9A-Fa-f:])"),
+    ("ip", rf"(?<![0-9A-Fa-f:.])(?:[0-9]{{1,5}}+(?:{_DOT}[0-9]{{1,5}}+){{3}}+|[0-9A-Fa-f]{{1,4}}+(?::[0-9A-Fa-f]{{0,4}}+){{4,7}}+)(?![0-9A-Fa-f:])"),
     ("card", r"(?<![0-9])(?<![0-9][\x20.-])[0-9](?:[\x20.-]?[0-9]){11,19}+(?![\x20.-]?[0-9])"),
     ("phone", r"(?<![0-9])(?<![0-9][\x20().-])\(?[0-9](?:[\x20().-]{0,2}+[0-9]){6,14}+(?![\x20().-]{0,2}+[0-9])"),
+    ("secret", r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/-]*+[0-9])(?=[0-9_+/-]*+[A-Za-z])[A-Za-z0-9_+/-]{16,}+"),
 )
 #: Words before a span that tell of its kind.
 CUES = (
@@ -54,13 +62,17 @@ CUES = (
     r"ip|host|server|login|from",
     r"token|secret|password|key",
 )
+#: What assigns a value to a secret's name, up to the value.
+ASSIGNED = r"(?i)(?:token|secret|passwd|password|pwd|key)[\"']?[\x20\t]*[=:][\x20\t]*[\"']?$"
 #: Values of each feature; their product bounds the table that is gathered.
-LEVELS = {"generator": 4, "digits": 8, "marks": 6, "letters": 4, "cue": 6, "left": 4, "right": 4, "groups": 3}
+LEVELS = {"generator": 5, "digits": 8, "marks": 6, "letters": 4, "cue": 6, "left": 4, "right": 4, "groups": 3, "valid": 2}
 VECTORS = int(np.prod(list(LEVELS.values())))
 #: Characters before a span in which cues are looked for.
 BEFORE = 24
 #: Share of right redactions that a threshold must reach on the calibration fold.
 PRECISION = 0.8
+#: Calibrated probability that a redacted proposal has at least.
+LEAST = 0.5
 
 
 def let(value: Column, body) -> Column:
@@ -129,6 +141,22 @@ def base_spans(text: Column) -> Column:
     return F.concat(*parts)
 
 
+def _check(kind: str, value: Column, before: Column) -> Column:
+    """Whether the value is what it seems, once its disguise is off."""
+    if kind == "email":
+        plain = F.regexp_replace(F.regexp_replace(value, r"\x20?[(\[]at[)\]]\x20?", "@"), r"\x20?[(\[]dot[)\]]\x20?", ".")
+        return plain.rlike(rf"^{_LOCAL}+@{_LABEL}+(?:\.{_LABEL}+)*\.[A-Za-z]{{2,}}$")
+    if kind == "ip":
+        plain = F.regexp_replace(value, r"[\[\]()]", "")
+        six = value.rlike(r"^(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}$") | (value.rlike("::") & ~value.rlike("::.*::|:::"))
+        return plain.rlike(rf"^{_OCTET}(?:\.{_OCTET}){{3}}$") | (F.contains(value, F.lit(":")) & six)
+    if kind == "card":
+        return F.char_length(F.regexp_replace(value, "[^0-9]", "")).between(16, 19) & luhn(value)
+    if kind == "secret":
+        return before.rlike(ASSIGNED)
+    return F.lit(False)
+
+
 def proposals(text: Column) -> Column:
     """Array of proposed spans: ``kind``, ``start``, ``end`` and their features."""
 
@@ -139,7 +167,7 @@ def proposals(text: Column) -> Column:
         for i, most in enumerate((9, 11, 12, 15, 16, 19), 1):
             n = n.when(digits <= most, i)
         marks = (
-            F.when(F.contains(value, F.lit("(")), 5)
+            F.when(value.rlike(r"[(\[]"), 5)
             .when(value.rlike(r"[0-9]\x20") & value.rlike("[.-]"), 4)
             .when(F.contains(value, F.lit(" ")), 1)
             .when(F.contains(value, F.lit(".")), 3)
@@ -157,9 +185,10 @@ def proposals(text: Column) -> Column:
         right = side(F.substring(text, m["end"] + 1, F.lit(1)))
         groups = F.when(value.rlike(r"(?:^|[^0-9])[0-9]{4}([\x20.-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}$"), 1).when(value.rlike(r"[0-9]{3}[\x20).-]{1,2}[0-9]{3}[\x20.-][0-9]{4}$"), 2).otherwise(0)
         found = {"generator": F.lit(g), "digits": n.otherwise(7), "marks": marks, "letters": letters, "cue": cue, "left": left, "right": right, "groups": groups}
+        found["valid"] = F.coalesce(_check(kind, value, before), F.lit(False))
         return F.struct(F.lit(kind).alias("kind"), start.alias("start"), m["end"].alias("end"), *[c.cast("int").alias(k) for k, c in found.items()])
 
-    hints = (r"@|(?i)[(\[]at[)\]]", r"[0-9A-Fa-f]{1,4}[.:][0-9A-Fa-f]", "[0-9]", "[0-9]")
+    hints = (r"@|(?i)[(\[]at[)\]]", r"[0-9A-Fa-f]{1,4}[.:\[(][.:0-9A-Fa-f]", "[0-9]", "[0-9]", "[0-9]")
     parts = []
     for g, (kind, pattern) in enumerate(GENERATORS):
         found = F.transform(located(text, pattern), _fixed(features, g, kind))
@@ -169,10 +198,36 @@ def proposals(text: Column) -> Column:
     return F.concat(*[F.coalesce(p, none) for p in parts])
 
 
-def with_candidates(docs: DataFrame, *, text: str = "text", base: str = "base", proposed: str = "proposed") -> DataFrame:
-    """``docs`` with its base spans and proposals (null texts: empty arrays)."""
+def disguised(text: Column, base: Column) -> Column:
+    """Array of (``snippet``, ``start``, ``end``): every base span in its
+    context, rewritten in each form of its kind that the base does not know."""
+
+    def forms(s: Column) -> Column:
+        value = F.substring(text, s["start"] + 1, s["end"] - s["start"])
+        swap = lambda pattern, to, v=value: F.regexp_replace(v, pattern, to)
+        bare = swap(r"^\+", "")
+        local = swap(r"^\+[0-9]{1,3}[\x20.-]?(?=\(?[0-9])", "")
+        groups = F.transform(F.array(F.lit(r"$1.$2.$3.$4"), F.lit(r"$1 $2.$3 $4")), lambda to: F.regexp_replace(swap("[^0-9]", ""), F.lit(r"^([0-9]{4})([0-9]{4})([0-9]{4})([0-9]{4,7})$"), to))
+        made = (
+            F.when(s["kind"] == "email", F.array(swap("@", " [at] "), swap("@", "(at)"), swap(r"\.(?=[^@]*$)", " (dot) ", swap("@", " (at) "))))
+            .when(s["kind"] == "ip", F.array(swap(r"\.", "[.]"), swap(r"\.", "(.)")))
+            .when(s["kind"] == "card", groups)
+            .otherwise(F.array(bare, local))
+        )
+        before = F.substring(text, F.greatest(F.lit(1), s["start"] - BEFORE + 1), F.least(s["start"], F.lit(BEFORE)))
+        after = F.substring(text, s["end"] + 1, F.lit(8))
+        n = F.char_length(before)
+        return F.transform(F.filter(made, lambda v: v != value), lambda v: F.struct(F.concat(before, v, after).alias("snippet"), n.alias("start"), (n + F.char_length(v)).alias("end")))
+
+    none = F.array().cast("array<struct<snippet:string,start:int,end:int>>")
+    return F.when(F.size(base) > 0, F.flatten(F.transform(base, forms))).otherwise(none)
+
+
+def with_candidates(docs: DataFrame, *, text: str = "text", base: str = "base", proposed: str = "proposed", taught: str = "taught") -> DataFrame:
+    """``docs`` with its base spans, proposals and disguised base spans (null texts: empty arrays)."""
     whole = F.coalesce(F.col(text), F.lit(""))
-    return docs.withColumns({base: base_spans(whole), proposed: proposals(whole)})
+    found = docs.withColumns({base: base_spans(whole), proposed: proposals(whole)})
+    return found.withColumn(taught, disguised(whole, F.col(base)))
 
 
 @dataclass
@@ -181,20 +236,22 @@ class Model:
     limits: dict[str, float]
 
 
-def fit(candidates: DataFrame, *, base: str = "base", proposed: str = "proposed", precision: float = PRECISION) -> Model:
+def fit(candidates: DataFrame, *, base: str = "base", proposed: str = "proposed", taught: str = "taught", precision: float = PRECISION) -> Model:
     """Fit to the counts of feature vectors over all rows of ``candidates``. A
-    fifth of the rows, by hash, calibrates. Without positive or without
+    fifth of the examples, by hash, calibrates. Without positive or without
     negative examples nothing is added to the base."""
     names = list(LEVELS)
-    rows = candidates.select(
-        (F.pmod(F.hash(base, proposed), F.lit(5)) == 0).alias("held"),
-        base,
-        F.explode(proposed).alias("p"),
-    )
-    true = F.exists(base, lambda b: (b["start"] < F.col("p.end")) & (b["end"] > F.col("p.start")))
-    counts = rows.groupBy("held", *[F.col(f"p.{n}").alias(n) for n in names]).agg(F.count_if(true).alias("pos"), F.count_if(~true).alias("neg")).collect()
+    rows = candidates.select((F.pmod(F.hash(base, proposed), F.lit(5)) == 0).alias("held"), base, F.explode(proposed).alias("p"))
+    meets = lambda b: (b["start"] < F.col("p.end")) & (b["end"] > F.col("p.start"))
+    natural = rows.select("held", "p", (F.exists(base, meets) | (F.col("p.valid") == 1)).alias("true"))
+    copies = candidates.select(F.explode(taught).alias("t"))
+    copies = copies.select((F.pmod(F.hash("t.snippet"), F.lit(5)) == 0).alias("held"), "t", F.explode(proposals(F.col("t.snippet"))).alias("p"))
+    copies = copies.where((F.col("t.start") < F.col("p.end")) & (F.col("t.end") > F.col("p.start"))).select("held", "p", F.lit(True).alias("true"))
+    examples = natural.unionByName(copies)
+    counts = examples.groupBy("held", *[F.col(f"p.{n}").alias(n) for n in names]).agg(F.count_if("true").alias("pos"), F.count_if(~F.col("true")).alias("neg")).collect()
     if not counts:
         return Model(boosting.Boosted(-30.0, []), {})
+    counts.sort(key=lambda r: tuple(r))
     x = np.array([[r[n] for n in names] for r in counts])
     pos, neg, held = (np.array([r[n] for r in counts], float) for n in ("pos", "neg", "held"))
     fresh, test = held == 0, held == 1
@@ -205,14 +262,15 @@ def fit(candidates: DataFrame, *, base: str = "base", proposed: str = "proposed"
     limits = {}
     for g, (kind, _) in enumerate(GENERATORS):
         of = test & (x[:, 0] == g)
-        limits[kind] = boosting.threshold(p[of], pos[of], neg[of], precision) if of.any() else 1.1
+        # right in that share of all that is redacted, and each more likely right than not
+        limits[kind] = max(LEAST, boosting.threshold(p[of], pos[of], neg[of], precision)) if of.any() else 1.1
     return Model(trees, limits)
 
 
 def select_spans(candidates: DataFrame, model: Model, *, base: str = "base", proposed: str = "proposed", to: str = "spans") -> DataFrame:
     """``candidates`` with ``to``: all base spans, and proposals from their
     threshold on that overlap no base span and no proposal of a higher
-    score (then: earlier, longer); by kind as in ``KINDS``, then start."""
+    score (then: earlier, longer); by kind as in ``ALL_KINDS``, then start."""
     names = list(LEVELS)
     scored = F.transform(
         F.filter(proposed, lambda p: ~F.exists(base, lambda b: (b["start"] < p["end"]) & (b["end"] > p["start"]))),
@@ -226,7 +284,7 @@ def select_spans(candidates: DataFrame, model: Model, *, base: str = "base", pro
         lambda ps: F.filter(ps, lambda p: ~F.exists(ps, lambda q: (q["start"] < p["end"]) & (q["end"] > p["start"]) & better(q, p))),
     )
     added = F.transform(alone, lambda p: F.struct(p["kind"].alias("kind"), p["start"].alias("start"), p["end"].alias("end")))
-    rank = lambda s: F.array_position(F.array(*[F.lit(k) for k in KINDS]), s["kind"])
+    rank = lambda s: F.array_position(F.array(*[F.lit(k) for k in ALL_KINDS]), s["kind"])
     ordered = let(F.concat(F.col(base), added), lambda all_: F.transform(F.sort_array(F.transform(all_, lambda s: F.struct(rank(s).alias("r"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))))
     return candidates.withColumn(to, ordered)
 
@@ -250,9 +308,15 @@ def redact(text: Column, spans: Column) -> Column:
 
 
 def redact_documents(docs: DataFrame, *, text: str = "text") -> DataFrame:
-    """``docs`` with personal data replaced in ``text`` (null stays null)."""
+    """``docs`` with personal data replaced in ``text``, all columns as they are
+    whatever their names.
+
+    Null texts stay null, empty ones empty; very long ones are searched whole.
+    Repeated rows stay, an empty table gives an empty one. Texts go to the
+    shared folder once, with what was found in them."""
     columns = docs.columns
-    base, proposed, spans = fresh(docs, "base", "proposed", "spans")
-    model = fit(with_candidates(docs.select(text), text=text, base=base, proposed=proposed), base=base, proposed=proposed)
-    found = select_spans(with_candidates(docs, text=text, base=base, proposed=proposed), model, base=base, proposed=proposed, to=spans)
+    base, proposed, taught, spans = fresh(docs, "base", "proposed", "taught", "spans")
+    found = materialize(with_candidates(docs, text=text, base=base, proposed=proposed, taught=taught), "candidates")
+    model = fit(found, base=base, proposed=proposed, taught=taught)
+    found = select_spans(found, model, base=base, proposed=proposed, to=spans)
     return found.withColumn(text, redact(F.col(text), F.col(spans))).select(*columns)

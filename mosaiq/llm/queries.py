@@ -83,7 +83,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = materialize(pii.with_candidates(docs).select("doc_id", "base", "proposed"), "candidates")
+    found = materialize(pii.with_candidates(docs).select("doc_id", "base", "proposed", "taught"), "candidates")
     spans = pii.select_spans(found, pii.fit(found))
     count = {f"n_{k}": F.size(F.filter("base", _is_kind(k))).cast("long") for k in pii.KINDS}
     return spans.select(
@@ -91,6 +91,7 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[c.alias(n) for n, c in count.items()],
         F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"),
         pii.span_text(F.col("spans")).alias("spans"),
+        F.size("spans").cast("long").alias("n_spans"),
     )
 
 
