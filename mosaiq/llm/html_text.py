@@ -2,8 +2,9 @@
 
 The page becomes a tree of elements (lenient: unclosed and stray tags, raw
 script and style, optional end tags). Elements that never hold an article's
-text (navigation, footers, asides, forms, scripts, elements named after
-adverts, notices, comments and the like) are cut. For every other node the
+text (navigation, footers, asides, forms, scripts) are cut; so are those named
+after adverts, notices, comments and the like, unless they hold most of the
+page's text and so are a frame around it. For every other node the
 composite text density relates characters to tags and discounts links; a
 node's density sum adds up its children's. The node of the largest sum is the
 core; the smallest density on its path to the body is the threshold, and every
@@ -42,29 +43,89 @@ NOISE = frozenset("nav footer aside form script style noscript iframe template b
 #: Roles and name parts of elements that are not the article.
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 NOISE_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertisements adsbox banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies "
-    "disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices notification pager pagination popup promo promoted promotion "
-    "related respond reply replies share sharing shares sidebar sidebars social sponsor sponsored subscribe subscription toolbar widget widgets".split()
+    "ad ads adv advert adverts advertisement advertisements adsbox banner breadcrumb breadcrumbs consent cookie cookies "
+    "footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices notification pager pagination popup promo promoted promotion "
+    "related share sharing shares sidebar sidebars social sponsor sponsored subscribe subscription toolbar widget widgets".split()
 )
+COMMENT_WORDS = frozenset("comment comments commentlist disqus respond reply replies".split())
+#: A class name that begins so says what its element has or lacks, not what it is.
+MODIFIERS = frozenset("has have with without no not is show hide js enable enabled disable disabled".split())
 #: Which open elements a start tag closes (optional end tags).
-CLOSES = {
-    "li": frozenset({"li"}),
-    "dt": frozenset({"dt", "dd"}),
-    "dd": frozenset({"dt", "dd"}),
-    "tr": frozenset({"tr", "td", "th"}),
-    "td": frozenset({"td", "th"}),
-    "th": frozenset({"td", "th"}),
-    "option": frozenset({"option"}),
-}
+CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "tr": ("tr",), "td": (), "th": ()}
+CELLS = frozenset({"tr", "td", "th"})
 STOPS = frozenset("ul ol dl table article section div main body html td th nav aside".split())
 _SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])")
 
 
+class Open:
+    """The open elements. Counts by name, for all of them and for those since
+    the innermost of ``STOPS``, tell at once that an end tag has nothing to
+    close, so each element is opened and closed once and nothing is searched."""
+
+    def __init__(self) -> None:
+        self.nodes, self.names = [0], ["#document"]
+        self.count: dict[str, int] = {}
+        #: (place of the scope's first element, counts of the scope)
+        self.scopes: list[tuple[int, dict[str, int]]] = [(0, {})]
+        #: Places of block elements.
+        self.blocks: list[int] = []
+
+    def push(self, node: int, name: str) -> None:
+        place = len(self.nodes)
+        self.nodes.append(node)
+        self.names.append(name)
+        self.count[name] = self.count.get(name, 0) + 1
+        inner = self.scopes[-1][1]
+        inner[name] = inner.get(name, 0) + 1
+        if name in STOPS:
+            self.scopes.append((place, {}))
+        if name in BLOCK:
+            self.blocks.append(place)
+
+    def cut(self, place: int) -> None:
+        """Closes all from ``place`` on."""
+        while len(self.nodes) > place:
+            self.nodes.pop()
+            name, at = self.names.pop(), len(self.nodes)
+            self.count[name] -= 1
+            if self.blocks and self.blocks[-1] == at:
+                self.blocks.pop()
+            if self.scopes[-1][0] == at and at:
+                self.scopes.pop()
+            self.scopes[-1][1][name] -= 1
+
+    def cut_name(self, name: str) -> None:
+        """Closes the innermost open element of a name that is open."""
+        place = len(self.names) - 1
+        while self.names[place] != name:
+            place -= 1
+        self.cut(place)
+
+    def end(self, name: str) -> None:
+        crossing = name in BLOCK or name in STOPS
+        if (self.count if crossing else self.scopes[-1][1]).get(name):
+            self.cut_name(name)
+
+    def before(self, name: str) -> None:
+        """Closes what the start tag of ``name`` ends."""
+        if name in BLOCK and self.blocks and self.names[self.blocks[-1]] == "p":
+            self.cut(self.blocks[-1])
+        if name in CELLS:
+            while self.names[self.scopes[-1][0]] in ("td", "th"):
+                self.cut(self.scopes[-1][0])
+        for other in CLOSES.get(name, ()):
+            if self.scopes[-1][1].get(other):
+                self.cut_name(other)
+
+
 class Page:
     """Nodes by number, parents before children; 0 is the document."""
 
     def __init__(self, source: str) -> None:
-        self.tag, self.parent, self.noise = ["#document"], [0], [False]
+        self.tag, self.parent = ["#document"], [0]
+        #: Cut for what it is; perhaps cut for its name (1), for a comments' name (2).
+        self.noise, self.named = [False], [0]
+        self._framed = [False]  # inside an article or main element
         #: (node, text) in page order, text None for the edge of a block.
         self.flow: list[tuple[int, str | None]] = []
         self.title = ""
@@ -72,55 +133,30 @@ class Page:
         self._parse(source)
 
     def _parse(self, s: str) -> None:
-        tag, parent, noise, flow = self.tag, self.parent, self.noise, self.flow
-        stack, at, n = [0], 0, len(s)
+        flow, open_, at, n = self.flow, Open(), 0, len(s)
         search = _TAG.search
         while at < n:
             m = search(s, at)
             if m is None:
-                flow.append((stack[-1], s[at:]))
+                flow.append((open_.nodes[-1], s[at:]))
                 break
             if m.start() > at:
-                flow.append((stack[-1], s[at : m.start()]))
+                flow.append((open_.nodes[-1], s[at : m.start()]))
             at = m.end()
             if m[2] is None:
                 continue
             name = m[2].lower()
             if m[1]:
-                for i in range(len(stack) - 1, 0, -1):
-                    t = tag[stack[i]]
-                    if t == name:
-                        del stack[i:]
-                        break
-                    if t in STOPS and name not in STOPS and name not in BLOCK:
-                        break
+                open_.end(name)
                 if name in BLOCK:
-                    flow.append((stack[-1], None))
+                    flow.append((open_.nodes[-1], None))
                 continue
-            if name in BLOCK:
-                # a paragraph ends where a block begins
-                for i in range(len(stack) - 1, 0, -1):
-                    if tag[stack[i]] == "p":
-                        del stack[i:]
-                        break
-                    if tag[stack[i]] in BLOCK:
-                        break
-            closes = CLOSES.get(name)
-            if closes:
-                for i in range(len(stack) - 1, 0, -1):
-                    if tag[stack[i]] in closes:
-                        del stack[i:]
-                        break
-                    if tag[stack[i]] in STOPS:
-                        break
-            node, up = len(tag), stack[-1]
-            tag.append(name)
-            parent.append(up)
-            noise.append(self._is_noise(name, m[3], up))
+            open_.before(name)
+            node = self._add(name, m[3], open_.nodes[-1])
             if name in BLOCK:
                 flow.append((node, None))
             elif name == "br":
-                flow.append((up, " "))
+                flow.append((self.parent[node], " "))
             if name == "a" and (href := re.search(r"href\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", m[3], re.I)):
                 self.links.append(html.unescape(href[1] or href[2] or href[3] or ""))
             if name in RAW and not m[3].endswith("/"):
@@ -131,26 +167,60 @@ class Page:
                 flow.append((node, s[at:stop] if name == "textarea" else ""))
                 at = (s.find(">", stop) + 1 or n) if end else n
             elif name not in VOID and not (m[3].endswith("/") and name not in BLOCK and name != "a"):
-                stack.append(node)
-
-    def _is_noise(self, name: str, attributes: str, up: int) -> bool:
-        if self.noise[up] or name in NOISE:
-            return True
-        if name == "header":
-            # a page's header; an article's own header holds its title
-            x = up
-            while x:
-                if self.tag[x] in ("article", "main"):
-                    return False
-                x = self.parent[x]
-            return True
-        if not attributes or name in ("body", "html", "article", "main"):
-            return False
-        for m in _NAMES.finditer(attributes):
-            value = (m[1] or m[2] or m[3] or "").lower()
-            if value in NOISE_ROLES or any(w in NOISE_WORDS for w in _SPLIT.split(value)):
-                return True
-        return False
+                open_.push(node, name)
+
+    def _add(self, name: str, attributes: str, up: int) -> int:
+        self.tag.append(name)
+        self.parent.append(up)
+        # a page's header; an article's own header holds its title
+        noise = self.noise[up] or name in NOISE or (name == "header" and not self._framed[up])
+        named = 0
+        if attributes and not noise and name not in ("body", "html", "article", "main"):
+            for m in _NAMES.finditer(attributes):
+                value = (m[1] or m[2] or m[3] or "").lower()
+                noise = noise or value in NOISE_ROLES
+                for one in value.split():
+                    words = _SPLIT.split(one)
+                    if words[0] not in MODIFIERS:
+                        named |= any(w in NOISE_WORDS for w in words) | 2 * any(w in COMMENT_WORDS for w in words)
+        self.noise.append(noise)
+        self.named.append(int(named))
+        self._framed.append(self._framed[up] or name in ("article", "main"))
+        return len(self.tag) - 1
+
+    def _cut(self) -> list[bool]:
+        """What is not the article: by element and role, and by name unless the
+        element is a frame around the article. A frame holds at least half of
+        the text that is no comment, and an article, main or top heading
+        element if the page has any; one named after comments holds such a heading."""
+        n = len(self.tag)
+        chars, heading, anchor, talk = [0] * n, [False] * n, [False] * n, [False] * n
+        for i in range(1, n):
+            talk[i] = talk[self.parent[i]] or self.named[i] & 2 > 0
+            if not self.noise[i]:
+                heading[i] = self.tag[i] == "h1"
+                anchor[i] = heading[i] or self.tag[i] in ("article", "main")
+        whole = 0
+        for node, text in self.flow:
+            if text and not self.noise[node]:
+                c = len(text) if not text.isspace() else 0
+                chars[node] += c
+                whole += 0 if talk[node] else c
+        for i in range(n - 1, 0, -1):
+            if not self.noise[i]:
+                up = self.parent[i]
+                chars[up] += chars[i]
+                heading[up] |= heading[i]
+                anchor[up] |= anchor[i]
+        out = list(self.noise)
+        for i in range(1, n):
+            if out[self.parent[i]]:
+                out[i] = True
+            elif self.named[i] & 2:
+                out[i] = not heading[i]
+            elif self.named[i]:
+                out[i] = 2 * chars[i] < whole or anchor[0] > anchor[i]
+        return out
 
     def visible(self) -> str:
         """All text but scripts, styles and the head, by blocks."""
@@ -180,7 +250,7 @@ class Page:
 
     def _content(self) -> list[bool]:
         n = len(self.tag)
-        tag, parent, noise = self.tag, self.parent, self.noise
+        tag, parent, noise = self.tag, self.parent, self._cut()
         chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
         link = [False] * n
         for i in range(1, n):
@@ -252,8 +322,13 @@ def main_text(source: str | None) -> str:
 
 def extract_main_text(pages: DataFrame, *, source: str = "html", to: str = "text") -> DataFrame:
     """``pages`` with ``to``, the main text of ``source`` (never null), and
-    ``n_chars``, its code points; columns of these names are replaced. Rows
-    are kept one to one."""
+    ``n_chars``, its code points; columns of these names are replaced, all
+    others stay.
+
+    Null and empty pages give an empty text, and so do pages without any; very
+    long pages are read whole, in time that grows with their length, however
+    their tags are left open. Rows are kept one to one, repeated ones too; an
+    empty table gives an empty one."""
 
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
