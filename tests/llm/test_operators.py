@@ -369,6 +369,79 @@ def test_spans_are_base_and_more(spark, data):
         assert got.loc[i, "n_email"] == sum(b.startswith("email") for b in base)
 
 
+DISGUISED = [
+    ("write to jan.doe [at] mail7.example.com today", "email", "jan.doe [at] mail7.example.com"),
+    ("or zoe.9(at)mail3.example.org please", "email", "zoe.9(at)mail3.example.org"),
+    ("host 10[.]20[.]30[.]40 is up", "ip", "10[.]20[.]30[.]40"),
+    ("from 2001:db8:85a3:0:0:8a2e:370:7334 again", "ip", "2001:db8:85a3:0:0:8a2e:370:7334"),
+    ("card 4111.1111.1111.1111 expired", "card", "4111.1111.1111.1111"),
+    ("call me at (509) 555-1234 soon", "phone", "(509) 555-1234"),
+    ('here password = "a81bc81bdead4e5dabff90865d1e13b1" ends', "secret", "a81bc81bdead4e5dabff90865d1e13b1"),
+]
+
+
+def pii_corpus():
+    """Base spans, disguised ones, and clean texts with numbers and hashes in them."""
+    card = lambda i: next(f"4{i:014d}{c}" for c in range(10) if luhn_ok(f"4{i:014d}{c}"))
+    base = [f"call me at +1 (509) 555-{1000 + i} or mail me{i}@mail{i % 9}.example.com from 10.0.{i}.{i + 1} with card {card(i * 7919)} soon" for i in range(150)]
+    secrets = [f'token = "{hashlib.sha1(str(i).encode()).hexdigest()}" is set' for i in range(60)]
+    clean = [f"order {i * 7919 % 9999999:07d} of {1900 + i % 120} has id {i * 104729 % 10**9:09d} and part {hashlib.md5(str(i).encode()).hexdigest()} in stock" for i in range(200)]
+    return base, secrets, clean
+
+
+def luhn_ok(digits):
+    return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(digits))) % 10 == 0
+
+
+def test_proposals_are_the_generators_matches(spark, data):
+    import regex
+
+    texts = [t for t, _, _ in DISGUISED] + [t for t in ADVERSE if t and len(t) < 20_000] + sum(pii_corpus(), [])[::7]
+    docs = docs_of(spark, texts).select("text").unionByName(spark.read.parquet(f"{data}/documents.parquet").select("text"))
+    for r in docs.select("text", pii.proposals(F.col("text")).alias("p")).collect():
+        want = [(k, m.start(), m.end()) for k, pattern in pii.GENERATORS for m in regex.finditer(pattern, r["text"])]
+        assert [(x["kind"], x["start"], x["end"]) for x in r["p"]] == want
+
+
+def test_disguised_data_is_found_and_clean_texts_stay(spark):
+    base, secrets, clean = pii_corpus()
+    docs = docs_of(spark, [*base, *secrets, *clean, *[t for t, _, _ in DISGUISED]])
+    found = pii.with_candidates(docs)
+    model = pii.fit(found)
+    rows = {r["doc_id"]: [tuple(x) for x in r["spans"]] for r in pii.select_spans(found, model).collect()}
+    n = len(base) + len(secrets)
+    for i, (text, kind, value) in enumerate(DISGUISED, n + len(clean)):
+        assert (kind, text.index(value), text.index(value) + len(value)) in rows[i], (value, rows[i])
+    assert all(rows[len(base) + i][0][0] == "secret" for i in range(len(secrets)))
+    assert sum(bool(rows[i]) for i in range(n, n + len(clean))) == 0
+
+
+def test_selection_against_brute_force(spark):
+    """Base spans stay; of proposals that meet no base span those of higher score go first."""
+    base, secrets, clean = pii_corpus()
+    mixed = [f"{a} {b} {c}" for a, b, (c, _, _) in zip(base[:21], clean, DISGUISED * 3)]
+    found = pii.with_candidates(docs_of(spark, [*base, *secrets, *clean, *mixed]))
+    model = pii.fit(found)
+    names = list(pii.LEVELS)
+    for r in pii.select_spans(found, model).collect():
+        meets = lambda x, y: x["start"] < y["end"] and x["end"] > y["start"]
+        free = [p for p in r["proposed"] if not any(meets(b, p) for b in r["base"])]
+        score = model.trees.probability(np.array([[p[n] for n in names] for p in free])) if free else []
+        ranked = sorted((-s, p["start"], -p["end"], p["kind"]) for s, p in zip(score, free) if s >= model.limits.get(p["kind"], 1.1))
+        alone = [x for i, x in enumerate(ranked) if not any(y[1] < -x[2] and -y[2] > x[1] for y in ranked[:i])]
+        want = [tuple(b) for b in r["base"]] + [(k, a, -b) for _, a, b, k in alone]
+        assert sorted(want, key=lambda x: (pii.ALL_KINDS.index(x[0]), x[1])) == [tuple(x) for x in r["spans"]]
+
+
+def test_op7_finds_the_planted_tokens(spark, data):
+    folder = data.replace("0.001", "0.01")
+    got = queries.op7_pii(spark, folder).toPandas().set_index("doc_id")["spans"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").toPandas().set_index("doc_id")["text"]
+    planted = docs[docs.str.contains('token = "', regex=False)]
+    assert len(planted) > 5 and got[planted.index].str.contains("secret:").all()
+    assert not got.drop(planted.index).str.contains("secret:").any()
+
+
 def test_redaction(spark):
     texts = [*[f"call me at +1 (509) 555-{1000 + i} or mail me{i}@x.org or 10.0.0.{i} soon {i} {i}{i}" for i in range(60)], *ADVERSE]
     docs = docs_of(spark, texts)
@@ -546,6 +619,24 @@ def test_broken_pages(source):
     assert isinstance(html_text.main_text(source), str)
 
 
+@pytest.mark.parametrize("name", ["layout has-sidebar", "page-with-sidebar", "sidebar-wrapper", "no-comments", "js-widget"])
+def test_frames_around_the_article_stay(name):
+    article = "<article><h1>T</h1><p>" + "word " * 50 + "</p></article>"
+    page = f"<body><div class='{name}'>{article}<div class='sidebar'>beside</div><div class='comments'><p>{'said ' * 300}</p></div></div></body>"
+    text = html_text.main_text(page)
+    assert text.startswith("T\nword") and "beside" not in text and "said" not in text
+
+
+@pytest.mark.parametrize("make", [lambda n: "<b>" * n + "</i>" * n, lambda n: "<b>" * n + "<hr>" * n, lambda n: "<center>" * n + "<li></li>" * n, lambda n: "<b><div>" + "<i>" * n + "</b>" * n, lambda n: "<div>" * n + "<header></header>" * n, lambda n: "<table>" + "<td>" * n])
+def test_open_tags_cost_linear_time(make):
+    import time
+
+    page = make(120_000) + "x"
+    began = time.process_time()
+    html_text.main_text(page)
+    assert len(page) > 480_000 and time.process_time() - began < 3
+
+
 def test_pages_match_their_articles(spark, data):
     import html
 
@@ -612,6 +703,80 @@ def test_warc_odd_rows(spark):
     assert warc.derive(broken).count() == 4
 
 
+def response(body, *http, **warc_headers):
+    block = ("HTTP/1.1 200 OK\r\n" + "".join(f"{h}\r\n" for h in http) + "\r\n").encode() + body
+    named = {"WARC-Type": "response", "WARC-Record-ID": "<urn:uuid:1>", "WARC-Target-URI": "http://x/", "WARC-Date": "2024-01-01T00:00:00Z", **warc_headers, "Content-Length": len(block)}
+    return ("WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in named.items()) + "\r\n").encode() + block + b"\r\n\r\n"
+
+
+def test_source_headers_and_digests_go_on(spark, tmp_path):
+    headers = {"WARC-Payload-Digest": "sha1:STATED", "WARC-Concurrent-To": "<urn:uuid:2>", "WARC-Warcinfo-ID": "<urn:uuid:3>", "X-Own": "kept"}
+    (tmp_path / "a.warc").write_bytes(response(b"<p>hi", "Content-Type: text/html", **headers))
+    made = warc.serialize(warc.derive(warc.read_responses(spark.read.format("binaryFile").load(str(tmp_path))))).collect()
+    for r in made:
+        assert r["refers_to_payload_digest"] == "sha1:STATED" and r["source_headers"]["X-Own"] == "kept"
+        ((h, block),) = warc.parse(bytes(r["record"]))
+        assert h["WARC-Concurrent-To"] == "<urn:uuid:2>" and h["WARC-Warcinfo-ID"] == "<urn:uuid:3>" and h["WARC-Refers-To-Date"] == "2024-01-01T00:00:00Z"
+        if h["WARC-Type"] == "metadata":
+            assert all(x in block.decode() for x in ("source-warc-x-own: kept", "source-payload-digest: sha1:STATED", "source-header-content-type: text/html", "source-record-id: <urn:uuid:1>"))
+
+
+def test_transfer_and_content_codings():
+    import gzip
+    import zlib
+
+    body = b"<title>t</title><p>" + b"hello " * 500
+    chunked = lambda x, n: b"".join(b"%x;e=1\r\n%s\r\n" % (len(x[i : i + n]), x[i : i + n]) for i in range(0, len(x), n)) + b"0\r\n\r\n"
+    raw = zlib.compressobj(wbits=-15)
+    deflated = raw.compress(body) + raw.flush()
+    for sent, http in [
+        (chunked(body, 100), ["Transfer-Encoding: chunked"]),
+        (chunked(gzip.compress(body), 64), ["Transfer-Encoding: chunked", "Content-Encoding: gzip"]),
+        (zlib.compress(body), ["Content-Encoding: deflate"]),
+        (deflated, ["Content-Encoding: deflate"]),
+        (zlib.compress(gzip.compress(body)), ["Content-Encoding: gzip, deflate"]),
+        (body, ["Transfer-Encoding: chunked"]),
+        (body, []),
+    ]:
+        block = ("HTTP/1.1 200 OK\r\n" + "".join(f"{h}\r\n" for h in http) + "\r\n").encode() + sent
+        _, (_, _, text, _) = warc.derived_records("i", block, {})
+        assert text.decode() == ("hello " * 500).strip(), http
+    bomb = gzip.compress(bytes(10_000_000))
+    assert warc.decoded(bomb, "gzip", limit=1_000_000) == bomb and warc.decoded(b"no gzip", "gzip") == b"no gzip" and warc.decoded(b"x", "br") == b"x"
+
+
+@pytest.mark.parametrize("how", ["plain", "by record", "whole"])
+def test_long_files_are_read_in_linear_time(how):
+    import gzip
+    import time
+
+    one = response(b"y" * 20_000)
+    data = {"plain": lambda: one * 2_000, "by record": lambda: gzip.compress(one, 1) * 2_000, "whole": lambda: gzip.compress(one * 2_000, 1)}[how]()
+    began = time.process_time()
+    assert sum(len(b) for _, b in warc.parse(data)) > 40_000_000
+    assert time.process_time() - began < 4
+
+
+def test_damaged_files(spark, tmp_path):
+    import gzip
+
+    one = gzip.compress(response(b"<p>one"))
+    broken = one[:40] + b"\xff" * 20 + one[60:]
+    assert [h["WARC-Type"] for h, _ in warc.parse(one + broken + one)][0] == "response"
+    assert list(warc.parse(b"")) == [] and len(list(warc.parse(response(b"x" * 100)[:150]))) <= 1
+    assert len(list(warc.parse(one[:-10]))) == 1
+
+
+def test_kept_columns_with_names_of_the_output(spark):
+    pages = spark.createDataFrame([(1, "u", "<p>" + "long " * 200_000)], "page_id long, url string, html string")
+    source = warc.responses(pages).withColumns({"Content_Type": F.lit("mine"), "date2": F.lit("2020-01-01T00:00:00Z")})
+    made = warc.derive(source, keep=("page_id", "Content_Type"))
+    assert made.columns[:2] == ["page_id", "Content_Type_"] and len(set(map(str.lower, made.columns))) == len(made.columns)
+    rows = made.collect()
+    assert {r["Content_Type_"] for r in rows} == {"mine"} and max(len(r["block"]) for r in rows) == 5 * 200_000 - 1
+    assert {r["date"] for r in warc.responses(pages, date=F.lit("2020-01-01T00:00:00Z")).collect()} == {"2020-01-01T00:00:00Z"}
+
+
 def test_digest_is_base32_sha1():
     assert warc.digest(b"") == "sha1:3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ"
     assert not math.isnan(len(pd.DataFrame()))
