@@ -55,6 +55,8 @@ class Entity:
     filters: list[Callable[[DataFrame], Column]] = field(default_factory=list)
     navigations: dict[str, Navigation] = field(default_factory=dict)
     abstract: bool = False
+    #: The columns that say from when to when a row is valid.
+    period: tuple[str, str] | None = None
 
     @property
     def view(self) -> str:
@@ -121,6 +123,12 @@ class Catalog:
             self.frame(e, filtered=False, narrow=True).createOrReplaceTempView(e.view)
         return e.view
 
+    def period_of(self, parts: list[str]) -> tuple[str, str] | None:
+        try:
+            return self.find(parts).period
+        except KeyError:
+            return None
+
     def frame(self, entity: Entity | str, *, filtered: bool = True, narrow: bool = False) -> DataFrame:
         """The rows of an entity: its own and inherited columns (``narrow``:
         the declared ones only), under its filters and its base's."""
@@ -128,7 +136,7 @@ class Catalog:
         if e.sql is not None:
             from .plans.dialect import translate
 
-            df = self.spark.sql(translate(e.sql, self.view_of))
+            df = self.spark.sql(translate(e.sql, self.view_of, self.period_of))
         elif e.base is not None and e.strategy == "TPH":
             base = self.find(e.base)
             df = self.frame(base, filtered=filtered)

@@ -160,11 +160,10 @@ def intersection(x: Column) -> Column:
     return F.aggregate(F.slice(lists, 2, F.greatest(F.size(lists) - 1, F.lit(0))), F.coalesce(F.try_element_at(lists, F.lit(1)), F.slice(F.flatten(lists), 1, 0)), lambda a, y: F.array_intersect(a, y))
 
 
-def percentile_disc(x: Column, p: float) -> Column:
-    """The smallest value whose cumulative share reaches ``p``, from the sorted values of the group."""
-    xs = F.array_sort(F.collect_list(x))
-    at = F.greatest(F.lit(1), F.ceil(F.size(xs) * F.lit(float(p)))).cast("int")
-    return F.try_element_at(xs, at)
+def percentile_disc(x: Column | str, p: float) -> Column:
+    """The smallest value whose cumulative share reaches ``p``."""
+    of = f"`{x}`" if isinstance(x, str) else x._jc.toString()
+    return F.expr(f"percentile_disc({float(plain(p))}D) WITHIN GROUP (ORDER BY {of})")
 
 
 def single_value(x: Column) -> Column:

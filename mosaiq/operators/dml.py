@@ -3,10 +3,11 @@
 A table is a folder: ``data`` with Parquet files and ``manifests`` with one
 JSON file for each version, which lists the files that the version is made of.
 A change reads the key columns to find the files that hold affected rows,
-rewrites those only, and publishes a manifest under the next number. Creating
-that file fails if another writer was faster, which is then a conflict; readers
-always see one whole version. Paths go through Hadoop's file systems, so a
-table can lie where only Spark reaches.
+rewrites those only, and publishes a manifest under the next number. The
+manifest is written aside and renamed, which fails if another writer was faster
+and is then a conflict; readers always see one whole version. Paths go through
+Hadoop's file systems, so a table can lie where only Spark reaches; the rename
+is atomic where the file system's is (HDFS; not object stores).
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..storage import written
+
 
 class ConcurrencyError(Exception):
     """A change met other rows, or another version, than it was made for."""
@@ -45,7 +48,7 @@ class Store:
 
     def names(self, path: str) -> list[str]:
         fs, p = self._at(path)
-        return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+        return sorted(n for s in fs.listStatus(p) if not (n := s.getPath().getName()).startswith(".")) if fs.exists(p) else []
 
     def paths(self, path: str) -> list[str]:
         fs, p = self._at(path)
@@ -60,13 +63,23 @@ class Store:
             stream.close()
 
     def create(self, path: str, text: str) -> None:
-        """Write a new file; fails if it is there."""
+        """A new file, there with its whole text or not at all; fails if it is there."""
         fs, p = self._at(path)
-        stream = fs.create(p, False)
+        aside = self.jvm.org.apache.hadoop.fs.Path(f"{p.getParent()}/.{p.getName()}.{uuid.uuid4().hex}")
+        stream = fs.create(aside, False)
         try:
             stream.write(bytearray(text.encode()))
         finally:
             stream.close()
+        gateway = self.spark.sparkContext._gateway
+        options = gateway.new_array(self.jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        options[0] = self.jvm.org.apache.hadoop.fs.Options.Rename.NONE
+        target = fs.makeQualified(p)
+        try:
+            self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), self.conf).rename(fs.makeQualified(aside), target, options)
+        except Exception:
+            fs.delete(aside, False)
+            raise
 
 
 class ManagedTable:
@@ -95,7 +108,7 @@ class ManagedTable:
         try:
             self.store.create(f"{self.path}/manifests/{version:010d}.json", text)
         except Exception as e:
-            if "already exists" in str(e):
+            if "already exists" in str(e) or "FileAlreadyExists" in str(e):
                 raise ConcurrencyError(f"version {version} was written by another") from e
             raise
 
@@ -175,20 +188,33 @@ class ManagedTable:
         self.delete(where)
 
     def merge(self, source: DataFrame, on: tuple[str, ...] | None = None) -> tuple[int, int]:
-        """Replace the rows whose key ``source`` has and add its others. (updated, inserted)."""
+        """Replace the rows whose key ``source`` has and add its others.
+        (updated, inserted): rows that were there, keys that were not. A key
+        that ``source`` has twice is refused."""
         on = on or self.key
-        keys = source.select(*[F.col(c).alias(f"__{c}") for c in on]).distinct()
-        match = lambda df: df.join(keys, [df[c] == keys[f"__{c}"] for c in on], "left_semi")
-        named = self.df().withColumn("__file", F.input_file_name()) if self.files else None
-        hits = match(named).groupBy("__file").count().collect() if named is not None else []
-        by_name = {"/".join(f.rsplit("/", 2)[-2:]): f for f in self.files}
-        files = [by_name["/".join(r["__file"].rsplit("/", 2)[-2:])] for r in hits]
-        updated = sum(r["count"] for r in hits)
-        old = self.spark.read.schema(self.schema).parquet(*files) if files else self.spark.createDataFrame([], self.schema)
-        kept = old.join(keys, [old[c] == keys[f"__{c}"] for c in on], "left_anti")
-        new = self._write(kept.unionByName(source.select(*self.schema.names)))
+        new = self._write(source.select(*self.schema.names))
+        if not new:
+            return 0, 0
+        # the rows as written: the source is made once, whatever it is
+        written = self.spark.read.schema(self.schema).parquet(*new)
+        if not written.groupBy(*on).count().where("count > 1").isEmpty():
+            raise ValueError(f"several rows of one key ({', '.join(on)}) to merge")
+        keys = written.select(*[F.col(c).alias(f"__{c}") for c in on])
+        same = lambda df: [df[c].eqNullSafe(keys[f"__{c}"]) for c in on]
+        files, updated, replaced = [], 0, 0
+        if self.files:
+            named = self.df().withColumn("__file", F.input_file_name())
+            hits = named.join(keys, same(named), "left_semi")
+            counted = hits.groupBy("__file").count().collect()
+            by_name = {"/".join(f.rsplit("/", 2)[-2:]): f for f in self.files}
+            files = [by_name["/".join(r["__file"].rsplit("/", 2)[-2:])] for r in counted]
+            updated, replaced = sum(r["count"] for r in counted), hits.select(*on).distinct().count()
+        if files:
+            old = self.spark.read.schema(self.schema).parquet(*files)
+            new = new + self._write(old.join(keys, same(old), "left_anti"))
+        inserted = written.count() - replaced
         self._commit([f for f in self.files if f not in set(files)] + new)
-        return updated, source.count() - updated
+        return updated, inserted
 
 
 def new_guid() -> str:
@@ -211,13 +237,18 @@ def generate_key(kind: str) -> str:
 
 def max_seeded_keys(rows: DataFrame, existing: DataFrame, key: str, order: str) -> DataFrame:
     """``rows`` with ``key`` numbered on from the largest existing key, in the
-    order of ``order``. The numbering is by ranges of the order: rows before a
-    range are summed from counts, so no task gets all rows."""
+    order of ``order``. Rows are dealt by ranges of the order and counted by
+    range where they lie; the driver sees one count for each range."""
     start = existing.agg(F.coalesce(F.max(key), F.lit(0)).cast("long")).first()[0]
-    ordered = rows.orderBy(order)
-    schema = T.StructType([*rows.schema.fields, T.StructField(key, T.LongType(), False)])
-    numbered = ordered.rdd.zipWithIndex().map(lambda x: (*x[0], start + 1 + x[1]))
-    return rows.sparkSession.createDataFrame(numbered, schema)
+    ranged = rows.repartitionByRange(F.col(order)).sortWithinPartitions(order)
+    placed = written(ranged.select("*", F.spark_partition_id().alias("__range"), F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)).alias("__at")))
+    before, counts = {}, sorted((r["__range"], r["count"]) for r in placed.groupBy("__range").count().collect())
+    for part, n in counts:
+        before[part], start = start + 1, start + n
+    if not before:
+        return rows.withColumn(key, F.lit(None).cast("long"))
+    first = F.element_at(F.create_map(*[F.lit(x) for kv in before.items() for x in kv]), F.col("__range"))
+    return placed.withColumn(key, first + F.col("__at")).drop("__range", "__at")
 
 
 @dataclass
@@ -247,28 +278,40 @@ class HiLo:
 
 @dataclass
 class UnitOfWork:
-    """Changes gathered and applied in order by :meth:`save`, which reports the rows changed."""
+    """Changes gathered and applied in order by :meth:`save`, which reports the
+    rows changed. If one fails, the tables go back to what they were and all
+    changes stay, to be saved again or cleared."""
 
-    changes: list[Callable[[], int]] = field(default_factory=list)
+    changes: list[tuple[ManagedTable, Callable[[], int]]] = field(default_factory=list)
     interceptors: list[Callable[[int], None]] = field(default_factory=list)
 
     def add(self, table: ManagedTable, row: dict[str, Any]) -> dict[str, Any]:
         for c in table.key:
             if row.get(c) is None:
                 row = row | {c: generate_key(table.schema[c].dataType.simpleString())}
-        self.changes.append(lambda: table.insert([row]))
+        self.changes.append((table, lambda: table.insert([row])))
         return row
 
     def update(self, table: ManagedTable, key: dict[str, Any], changes: dict[str, Any], original: dict[str, Any] | None = None) -> None:
-        self.changes.append(lambda: table.update_row(key, changes, original) or 1)
+        self.changes.append((table, lambda: table.update_row(key, changes, original) or 1))
 
     def remove(self, table: ManagedTable, key: dict[str, Any], original: dict[str, Any] | None = None) -> None:
-        self.changes.append(lambda: table.delete_row(key, original) or 1)
+        self.changes.append((table, lambda: table.delete_row(key, original) or 1))
+
+    def clear(self) -> None:
+        self.changes.clear()
 
     def save(self) -> int:
         n = 0
-        for change in self.changes:
-            n += change()
+        before = {id(t): (t, t.version, list(t.files)) for t, _ in self.changes}
+        try:
+            for _, change in self.changes:
+                n += change()
+        except Exception:
+            for table, version, files in before.values():
+                if table.version != version:
+                    table._commit(files)
+            raise
         self.changes.clear()
         for fn in self.interceptors:
             fn(n)

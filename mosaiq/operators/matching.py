@@ -7,8 +7,9 @@ neighbours (``lag`` and ``lead`` in the partition's order), evaluated by Spark
 before matching; a symbol without a condition is always true. Only the
 matching itself runs per partition in Python, over booleans and order.
 
-A partition is matched by one task, as its rows depend on each other; an
-attempt at a row is bounded by backtracking over that partition only.
+A partition falls into stretches at rows where no symbol holds, as no match
+goes across them; a stretch is matched by one task, as its rows depend on each
+other.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import itertools
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -120,52 +122,60 @@ def symbols(part: Part) -> list[str]:
     return [part.name] if part.kind == "symbol" else list(dict.fromkeys(s for p in part.parts for s in symbols(p)))
 
 
-Path = tuple[tuple[str, bool], ...]
+#: The symbols of a match, last first: (what came before, symbol, whether kept).
+Path = tuple[Any, str, bool] | None
 
 
-def matches(part: Part, rows: dict[str, Sequence[bool]], at: int, n: int, kept: bool = True) -> Iterator[tuple[int, Path]]:
-    """Ends and (symbol, whether kept) paths of the matches that begin at a row, preferred first."""
+def listed(path: Path) -> list[tuple[str, bool]]:
+    out = []
+    while path is not None:
+        path, name, kept = path
+        out.append((name, kept))
+    return out[::-1]
+
+
+def matches(part: Part, rows: dict[str, Sequence[bool]], at: int, n: int, kept: bool = True, path: Path = None) -> Iterator[tuple[int, Path]]:
+    """Ends and paths, behind ``path``, of the matches that begin at a row, preferred first."""
     if part.kind == "symbol":
         if at < n and rows[part.name][at]:
-            yield at + 1, ((part.name, kept),)
+            yield at + 1, (path, part.name, kept)
     elif part.kind == "alter":
         for p in part.parts:
-            yield from matches(p, rows, at, n, kept)
+            yield from matches(p, rows, at, n, kept, path)
     elif part.kind == "exclude":
-        yield from matches(part.parts[0], rows, at, n, False)
+        yield from matches(part.parts[0], rows, at, n, False, path)
     elif part.kind == "concat":
-        yield from _sequence(part.parts, rows, at, n, kept)
+        yield from _sequence(part.parts, rows, at, n, kept, path)
     else:
-        yield from _repeated(part, rows, at, n, kept)
+        yield from _repeated(part, rows, at, n, kept, path)
 
 
-def _sequence(parts: tuple[Part, ...], rows: dict, at: int, n: int, kept: bool) -> Iterator[tuple[int, Path]]:
+def _sequence(parts: tuple[Part, ...], rows: dict, at: int, n: int, kept: bool, path: Path) -> Iterator[tuple[int, Path]]:
     if not parts:
-        yield at, ()
+        yield at, path
         return
-    for end, path in matches(parts[0], rows, at, n, kept):
-        for last, rest in _sequence(parts[1:], rows, end, n, kept):
-            yield last, path + rest
+    for end, so_far in matches(parts[0], rows, at, n, kept, path):
+        yield from _sequence(parts[1:], rows, end, n, kept, so_far)
 
 
-def _repeated(part: Part, rows: dict, at: int, n: int, kept: bool) -> Iterator[tuple[int, Path]]:
+def _repeated(part: Part, rows: dict, at: int, n: int, kept: bool, path: Path) -> Iterator[tuple[int, Path]]:
     """Depth-first by an explicit stack of half-done repetitions, so long runs don't recurse."""
     inner = part.parts[0]
     enough = lambda count: count >= part.least
     more = lambda count: part.most is None or count < part.most
-    stack: list[tuple[int, Path, int, Iterator | None]] = [(at, (), 0, None)]
+    stack: list[tuple[int, Path, int, Iterator | None]] = [(at, path, 0, None)]
     while stack:
-        pos, path, count, tries = stack.pop()
+        pos, so_far, count, tries = stack.pop()
         if tries is None:
             if not part.greedy and enough(count):
-                yield pos, path
-            tries = matches(inner, rows, pos, n, kept) if more(count) else iter(())
+                yield pos, so_far
+            tries = matches(inner, rows, pos, n, kept, so_far) if more(count) else iter(())
         step = next(((e, p) for e, p in tries if e > pos), None)
         if step is not None:
-            stack.append((pos, path, count, tries))
-            stack.append((step[0], path + step[1], count + 1, None))
+            stack.append((pos, so_far, count, tries))
+            stack.append((step[0], step[1], count + 1, None))
         elif part.greedy and enough(count):
-            yield pos, path
+            yield pos, so_far
 
 
 def match_recognize(
@@ -183,6 +193,8 @@ def match_recognize(
     w = Window.partitionBy(*partition).orderBy(*order)
     flags = {f"__is_{s}": F.coalesce(define[s], F.lit(False)) if s in define else F.lit(True) for s in known}
     numbered = df.withColumns({**flags, "__row": F.row_number().over(w)})
+    idle = F.forall(F.array(*[F.col(f) for f in flags]), lambda x: ~x).cast("int")
+    numbered = numbered.withColumn("__stretch", F.sum(idle).over(w))
     m = re.fullmatch(r"(past last row|to next row)|to (first|last) (\w+)", after.strip(), re.I)
     if not m:
         raise ValueError(f"unknown after-match clause {after!r}")
@@ -199,6 +211,7 @@ def match_recognize(
                 continue
             number += 1
             end, path = found
+            path = listed(path)
             out += [(at + k, number, s) for k, (s, kept) in enumerate(path) if kept]
             if clause == "past last row":
                 at = end
@@ -208,15 +221,18 @@ def match_recognize(
                 places = [k for k, (s, _) in enumerate(path) if s == target]
                 step = (places[0] if side == "first" else places[-1]) if places else 1
                 at += max(1, step)
-        got = pdf[["__row", *partition]].iloc[[r for r, _, _ in out]].copy()
+        got = pdf[["__row", "__stretch", *partition]].iloc[[r for r, _, _ in out]].copy()
         got["match_number"] = pd.Series([k for _, k, _ in out], got.index, "int32")
         got["classifier"] = pd.Series([s for _, _, s in out], got.index, "str")
         return got
 
     kinds = {f.name: f.dataType for f in numbered.schema}
-    schema = T.StructType([T.StructField("__row", kinds["__row"]), *[T.StructField(c, kinds[c]) for c in partition], T.StructField("match_number", T.IntegerType()), T.StructField("classifier", T.StringType())])
-    found = numbered.select("__row", *partition, *flags).groupBy(*partition).applyInPandas(run, schema)
-    joined = numbered.drop(*flags).join(found, ["__row", *partition])
+    schema = T.StructType([T.StructField("__row", kinds["__row"]), T.StructField("__stretch", kinds["__stretch"]), *[T.StructField(c, kinds[c]) for c in partition], T.StructField("match_number", T.IntegerType()), T.StructField("classifier", T.StringType())])
+    found = numbered.select("__row", "__stretch", *partition, *flags).groupBy(*partition, "__stretch").applyInPandas(run, schema)
+    # matches count on from stretch to stretch
+    number = F.dense_rank().over(Window.partitionBy(*partition).orderBy("__stretch", "match_number"))
+    found = found.withColumn("match_number", number).drop("__stretch")
+    joined = numbered.drop("__stretch", *flags).join(found, ["__row", *partition])
     if all_rows:
         return joined.drop("__row")
     ends = [F.min_by(c, "__row").alias(f"first_{c}") for c in order] + [F.max_by(c, "__row").alias(f"last_{c}") for c in order]

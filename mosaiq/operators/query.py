@@ -124,48 +124,66 @@ class Query:
 
     # navigation
 
-    def navigate(self, name: str, keep: bool = False) -> Query:
-        """The rows with those that a navigation leads to; a reference keeps
-        rows without one if ``keep``. Columns that both sides have are named
-        ``<navigation>_<column>``."""
-        n = self._navigation(name)
+    def navigate(self, path: str, keep: bool = False) -> Query:
+        """The rows with those that a navigation, or a dotted path of them,
+        leads to; ``keep``: also rows that it leads nowhere from. A column whose
+        name is taken is named ``<path>_<column>``, with underscores for dots."""
+        if self.entity is None:
+            raise KeyError(f"no navigation {path!r}")
+        out, entity, names = self.df, self.entity, {c: c for c in self.df.columns}
+        how, done = "left" if keep else "inner", ""
+        for step in path.split("."):
+            n = self._navigation(step, entity)
+            done = f"{done}_{step}" if done else step
+            entity = self.engine.catalog.find(n.target)
+            there = self.engine.catalog.frame(entity, filtered=not self._ignoring)
+            local = [names[a] for a in n.local]
+            names = {c: _name(c, out, done) for c in there.columns}
+            if n.through:
+                bridge_name, here_keys, there_keys = n.through
+                bridge = self.engine.catalog.frame(bridge_name).select(*[F.col(c).alias(f"__l{i}") for i, c in enumerate(here_keys)], *[F.col(c).alias(f"__r{i}") for i, c in enumerate(there_keys)]).distinct()
+                out = out.join(bridge, [out[a] == bridge[f"__l{i}"] for i, a in enumerate(local)], how)
+                local = [f"__r{i}" for i in range(len(n.remote))]
+            there = _renamed(there, out, done)
+            out = out.join(there, [out[a] == there[names[b]] for a, b in zip(local, n.remote)], how)
+            out = out.drop(*[c for c in out.columns if c.startswith(("__l", "__r"))])
+        return Query(self.engine, out)
+
+    def include(self, path: str) -> Query:
+        """Each row with the rows that a navigation leads to, nested: an array
+        for a collection, a struct or null for a reference. A dotted path nests
+        what its steps lead to."""
+        name, _, rest = path.partition(".")
+        n = self._navigation(name, self.entity)
         target = self.engine.catalog.find(n.target)
         there = self.engine.catalog.frame(target, filtered=not self._ignoring)
+        if rest:
+            there = Query(self.engine, there, target, ignoring=self._ignoring).include(rest).df
+        nested = F.struct(*there.columns)
+        remote = list(n.remote)
         if n.through:
             bridge_name, here_keys, there_keys = n.through
             bridge = self.engine.catalog.frame(bridge_name).select(*[F.col(c).alias(f"__l{i}") for i, c in enumerate(here_keys)], *[F.col(c).alias(f"__r{i}") for i, c in enumerate(there_keys)]).distinct()
-            linked = self.df.join(bridge, [self.df[a] == bridge[f"__l{i}"] for i, a in enumerate(n.local)], "left" if keep else "inner")
-            there = _renamed(there, linked, name)
-            out = linked.join(there, [linked[f"__r{i}"] == there[_name(b, linked, name)] for i, b in enumerate(n.remote)], "left" if keep else "inner")
-            return Query(self.engine, out.drop(*[c for c in out.columns if c.startswith(("__l", "__r"))]))
-        there = _renamed(there, self.df, name)
-        on = [self.df[a] == there[_name(b, self.df, name)] for a, b in zip(n.local, n.remote)]
-        return Query(self.engine, self.df.join(there, on, "left" if keep else "inner"))
-
-    def include(self, name: str) -> Query:
-        """Each row with the rows that a navigation leads to, nested: an array
-        for a collection, a struct or null for a reference."""
-        n = self._navigation(name)
-        there = self.engine.catalog.frame(n.target)
-        nested = F.struct(*there.columns)
+            there = there.join(bridge, [there[b] == bridge[f"__r{i}"] for i, b in enumerate(remote)])
+            remote = [f"__l{i}" for i in range(len(here_keys))]
         value = F.array_sort(F.collect_list(nested)) if n.many else F.first(nested)
-        groups = there.groupBy(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(n.remote)]).agg(value.alias(name))
+        groups = there.groupBy(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(remote)]).agg(value.alias(name))
         joined = self.df.join(groups, [self.df[a] == groups[f"__k{i}"] for i, a in enumerate(n.local)], "left")
-        out = joined.drop(*[f"__k{i}" for i in range(len(n.remote))])
+        out = joined.drop(*[f"__k{i}" for i in range(len(remote))])
         return self._with(out.withColumn(name, F.coalesce(name, F.array())) if n.many else out)
 
     def split_include(self, name: str) -> tuple[DataFrame, DataFrame]:
         """The rows, and in a query of its own the rows that the navigation leads to."""
-        n = self._navigation(name)
+        n = self._navigation(name, self.entity)
         there = self.engine.catalog.frame(n.target)
         keys = self.df.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(n.local)]).distinct()
         related = there.join(keys, [there[b] == keys[f"__k{i}"] for i, b in enumerate(n.remote)], "left_semi")
         return self.df, related
 
-    def _navigation(self, name: str):
-        if self.entity is None or name not in self.entity.navigations:
+    def _navigation(self, name: str, entity: Entity | None):
+        if entity is None or name not in entity.navigations:
             raise KeyError(f"no navigation {name!r}")
-        return self.entity.navigations[name]
+        return entity.navigations[name]
 
     def of_type(self, entity: str) -> Query:
         """The rows that are of a type below this one."""

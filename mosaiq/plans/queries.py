@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .suite import QUERIES, SQL, aggregates, changes, documents, joins, rows, scalars, streams, windows
+from .suite import QUERIES, SQL, aggregates, changes, documents, joins, rows, scalars, streams, texts, windows
 
 __all__ = ["QUERIES", "SQL"]
-MODULES = (rows, joins, aggregates, windows, scalars, documents, changes, streams)
+MODULES = (rows, joins, aggregates, windows, scalars, documents, changes, streams, texts)

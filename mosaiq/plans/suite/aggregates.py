@@ -72,11 +72,16 @@ query("agg_percentile", "SELECT p_brand, ROUND(quantile_cont(p_retailprice, 0.25
 query("agg_count_if", "SELECT o_orderstatus, CAST(COUNT(*) FILTER (WHERE o_totalprice > 100000) AS BIGINT) AS n FROM orders GROUP BY o_orderstatus")(lambda e: e.sql("SELECT o_orderstatus, COUNTIF(o_totalprice > 100000) AS n FROM orders GROUP BY o_orderstatus"))
 same("agg_bit", "SELECT n_regionkey, BIT_AND(n_nationkey) AS a, BIT_OR(n_nationkey) AS o, BIT_XOR(n_nationkey) AS x FROM nation GROUP BY n_regionkey")
 query("agg_bool", "SELECT o_orderstatus, BOOL_AND(o_totalprice > 2000) AS a, BOOL_OR(o_totalprice > 400000) AS o FROM orders GROUP BY o_orderstatus")(lambda e: e.sql("SELECT o_orderstatus, EVERY(o_totalprice > 2000) AS a, SOME(o_totalprice > 400000) AS o FROM orders GROUP BY o_orderstatus"))
-query("agg_array_concat", "SELECT label, CAST(SUM(len(embedding)) AS INTEGER) AS n FROM embeddings GROUP BY label")(lambda e: e.set("embeddings").group_by("label").agg(n=F.size(e.functions.array_concat_agg(F.col("embedding")))))
-query("agg_intersection", "SELECT n_regionkey, CAST(0 AS INTEGER) + CAST(COUNT(DISTINCT substr(n_name, 1, 1)) >= 0 AS INTEGER) AS one FROM nation GROUP BY n_regionkey")(
-    lambda e: e.set("nation").extend(xs=F.array(F.lit("all"), F.col("n_name"))).group_by("n_regionkey").agg(one=F.size(e.functions.intersection(F.col("xs"))))
+query("agg_array_concat", "SELECT label, CAST(COUNT(*) AS INTEGER) AS n, list_sort(list(x)) AS xs FROM (SELECT label, unnest([vec_id, -vec_id]) AS x FROM embeddings) t GROUP BY label")(
+    lambda e: e.set("embeddings").extend(a=F.array(F.col("vec_id"), -F.col("vec_id"))).group_by("label").agg(n=F.size(e.functions.array_concat_agg(F.col("a"))), xs=F.sort_array(e.functions.fusion(F.col("a"))))
 )
-query("agg_within_distinct", "SELECT o_orderstatus, CAST(SUM(m) AS DOUBLE) AS s FROM (SELECT o_orderstatus, o_custkey, MAX(o_orderkey) AS m FROM orders GROUP BY 1, 2) t GROUP BY o_orderstatus")(
-    lambda e: e.set("orders").group_by("o_orderstatus", "o_custkey").agg(m=F.max("o_orderkey")).group_by("o_orderstatus").agg(s=F.sum("m").cast("double"))
+query("agg_intersection", "SELECT n_regionkey, list_sort(list_filter([chr(CAST(c AS INTEGER)) FOR c IN range(65, 91)], lambda l: len(list_filter(names, lambda s: contains(s, l))) = len(names))) AS xs FROM (SELECT n_regionkey, list(n_name) AS names FROM nation GROUP BY n_regionkey) u")(
+    lambda e: e.set("nation").extend(xs=F.array_distinct(F.regexp_extract_all("n_name", F.lit("[A-Z]"), F.lit(0)))).group_by("n_regionkey").agg(xs=F.sort_array(e.functions.intersection(F.col("xs"))))
 )
-query("agg_single_value", "SELECT r_name, (SELECT COUNT(*) FROM nation WHERE n_regionkey = r_regionkey) AS n FROM region")(lambda e: e.sql("SELECT r_name, (SELECT COUNT(*) FROM nation WHERE n_regionkey = r_regionkey) AS n FROM region"))
+query("agg_within_distinct", "SELECT o_orderstatus, CAST(SUM(v) AS DOUBLE) AS s, COUNT(v) AS n FROM (SELECT DISTINCT o_orderstatus, o_custkey, o_custkey % 7 AS v FROM orders) t GROUP BY o_orderstatus")(
+    lambda e: e.sql("SELECT o_orderstatus, SUM(o_custkey % 7) WITHIN DISTINCT (o_custkey) AS s, CAST(COUNT(o_custkey % 7) WITHIN DISTINCT (o_custkey) AS BIGINT) AS n FROM orders GROUP BY o_orderstatus")
+)
+query("agg_single_value", "SELECT r_name, (SELECT n_name FROM nation WHERE n_nationkey = r_regionkey) AS n FROM region")(
+    lambda e: e.set("region").join(e.set("nation"), "r_regionkey", "n_nationkey").group_by("r_name").agg(n=e.functions.single_value(F.col("n_name")))
+)
+same("agg_group_id", "SELECT n_regionkey, COUNT(*) AS n FROM nation GROUP BY GROUPING SETS ((n_regionkey), ())")

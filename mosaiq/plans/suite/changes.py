@@ -2,22 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from ...operators.ddl import Database, Migration, Runner
 from ...operators.dml import ConcurrencyError, HiLo, UnitOfWork, generate_key, max_seeded_keys
+from ...storage import shared_folder
 from . import query
 
 c = F.col
 
 
 def _folder(e) -> str:
-    """A fresh folder that driver and executors share."""
-    root = e.spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="mosaiq-")
-    return f"{root}/{uuid.uuid4().hex}"
+    return shared_folder(e.spark)
 
 
 def _nations(e):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ...catalog import Entity
+from ...catalog import Entity, Navigation
 from . import query, same
 
 query("join_inner", "SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey")(lambda e: e.set("orders").join(e.set("customer"), "o_custkey", "c_custkey").select("o_orderkey", "c_name"))
@@ -15,15 +15,13 @@ query("join_expr_key", "SELECT n_name, r_name FROM nation JOIN region ON n_regio
 query("group_join", "SELECT c_custkey, len(k) AS n, list_sort(k) AS orders FROM (SELECT c_custkey, list(o_orderkey) FILTER (o_orderkey IS NOT NULL) AS k0, coalesce(k0, []) AS k FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey) t")(
     lambda e: e.set("customer").group_join(e.set("orders").select("o_custkey", "o_orderkey"), "c_custkey", "o_custkey", "m").select("c_custkey", n=F.size("m").cast("bigint"), orders=F.col("m.o_orderkey"))
 )
-query("select_many", "SELECT vec_id, unnest(embedding) AS item FROM embeddings WHERE vec_id < 20")(lambda e: e.set("embeddings").where("vec_id < 20").select_many("embedding").select("vec_id", "item"))
+query("select_many", "SELECT vec_id, unnest(embedding) AS item FROM embeddings")(lambda e: e.set("embeddings").select_many("embedding").select("vec_id", "item"))
 query("default_if_empty", "SELECT c_custkey, o_orderkey FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_totalprice > 300000")(
     lambda e: e.sql("SELECT c_custkey, x.o_orderkey FROM customer OUTER APPLY (SELECT o_orderkey FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 300000) x")
 )
 query("join_left", "SELECT c_custkey, o_orderkey FROM customer LEFT JOIN orders ON c_custkey = o_custkey")(lambda e: e.set("customer").left_join(e.set("orders"), "c_custkey", "o_custkey").select("c_custkey", "o_orderkey"))
 query("join_right", "SELECT c_custkey, o_orderkey FROM orders RIGHT JOIN customer ON c_custkey = o_custkey")(lambda e: e.set("orders").join(e.set("customer"), "o_custkey", "c_custkey", "right").select("c_custkey", "o_orderkey"))
-query("join_full", "SELECT n_name, s_name FROM (SELECT * FROM nation WHERE n_nationkey < 12) n FULL JOIN (SELECT * FROM supplier WHERE s_nationkey > 8) s ON n_nationkey = s_nationkey")(
-    lambda e: e.set("nation").where("n_nationkey < 12").join(e.set("supplier").where("s_nationkey > 8"), "n_nationkey", "s_nationkey", "full").select("n_name", "s_name")
-)
+query("join_full", "SELECT r_name, s_name FROM region FULL JOIN supplier ON r_regionkey = s_nationkey")(lambda e: e.set("region").join(e.set("supplier"), "r_regionkey", "s_nationkey", "full").select("r_name", "s_name"))
 query("join_composite", "SELECT a.l_orderkey, a.l_linenumber, b.l_quantity FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber + 1 = b.l_linenumber")(lambda e: _composite(e))
 
 
@@ -54,15 +52,48 @@ def _nav_ref(e):
 query("nav_collection", "SELECT n_name, COUNT(c_custkey) AS customers FROM nation LEFT JOIN customer ON n_nationkey = c_nationkey GROUP BY n_name")(
     lambda e: e.set("nation").navigate("customers", keep=True).group_by("n_name").agg(customers=F.count("c_custkey"))
 )
-query("nav_many_to_many", "SELECT DISTINCT o_orderkey, p_partkey, p_brand FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey WHERE o_totalprice > 250000")(
-    lambda e: e.set("orders").where("o_totalprice > 250000").navigate("parts").select("o_orderkey", "p_partkey", "p_brand")
+query("nav_many_to_many", "SELECT DISTINCT o_orderkey, p_partkey, p_brand FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey")(
+    lambda e: e.set("orders").navigate("parts").select("o_orderkey", "p_partkey", "p_brand")
 )
 query("include_nested", "SELECT n_nationkey, CAST(COUNT(c_custkey) AS INTEGER) AS n, COALESCE(CAST(MIN(c_custkey) AS BIGINT), -1) AS first_key FROM nation LEFT JOIN customer ON n_nationkey = c_nationkey GROUP BY n_nationkey")(
     lambda e: e.set("nation").include("customers").select("n_nationkey", n=F.size("customers"), first_key=F.coalesce(F.array_min("customers.c_custkey"), F.lit(-1)).cast("bigint"))
 )
-query("include_split", "SELECT c_custkey, c_name FROM customer WHERE c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1)")(
-    lambda e: e.set("nation").where("n_regionkey = 1").split_include("customers")[1].select("c_custkey", "c_name")
+query("include_split", "SELECT n_name, c_custkey, c_name FROM nation JOIN customer ON n_nationkey = c_nationkey")(lambda e: _split(e))
+
+
+def _split(e):
+    """Both sides of a split include, put together again by their keys."""
+    nations, customers = e.set("nation").split_include("customers")
+    return nations.join(customers, nations["n_nationkey"] == customers["c_nationkey"]).select("n_name", "c_custkey", "c_name")
+
+
+query("nav_deep", "SELECT o_orderkey, c_name, n_name, r_name FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")(
+    lambda e: e.set("orders").navigate("customer.nation.region").select("o_orderkey", "c_name", "n_name", "r_name")
+)
+query("nav_optional_chain", "SELECT s_name, n_name, r_name FROM supplier LEFT JOIN nation ON s_nationkey + 20 = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey")(lambda e: _optional(e))
+
+
+def _optional(e):
+    """A chain that may break off: rows stay, with nulls."""
+    e.catalog.view_sql("far", "SELECT s_name, s_nationkey + 20 AS far_key FROM supplier", key=("s_name",))
+    e.catalog.relate("far", [Navigation("nation", "nation", ("far_key",), ("n_nationkey",))])
+    return e.set("far").navigate("nation.region", keep=True).select("s_name", "n_name", "r_name")
+
+
+query("include_deep", "SELECT r_name, COUNT(DISTINCT n_nationkey) AS nations, COUNT(DISTINCT c_custkey) AS customers, CAST(COUNT(o_orderkey) AS BIGINT) AS orders FROM region LEFT JOIN nation ON r_regionkey = n_regionkey LEFT JOIN customer ON n_nationkey = c_nationkey LEFT JOIN orders ON c_custkey = o_custkey GROUP BY r_name")(lambda e: _include_deep(e))
+
+
+def _include_deep(e):
+    e.catalog.relate("region", [Navigation("nations", "nation", ("r_regionkey",), ("n_regionkey",), many=True)])
+    size = lambda x: F.size(x).cast("bigint")
+    customers = F.flatten(F.col("nations.customers"))
+    return e.set("region").include("nations.customers.orders").select("r_name", nations=size("nations"), customers=size(customers), orders=size(F.flatten(F.transform(customers, lambda c: c["orders"]))))
+
+
+query("include_reference", "SELECT o_orderkey, c_name, n_name FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey")(
+    lambda e: e.set("orders").include("customer.nation").select("o_orderkey", c_name=F.col("customer.c_name"), n_name=F.col("customer.nation.n_name"))
 )
+query("include_many_to_many", "SELECT o_orderkey, CAST(COUNT(DISTINCT l_partkey) AS INTEGER) AS parts FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey")(lambda e: e.set("orders").include("parts").select("o_orderkey", parts=F.size("parts")))
 
 
 @query("inherit_tpt", "SELECT d.doc_id, d.lang, d.source, l.quality, l.toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id")
@@ -103,14 +134,20 @@ same("anti_not_in_null", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN
 query("quantified_any_all", "SELECT p_partkey FROM part WHERE p_retailprice >= (SELECT MAX(p_retailprice) FROM part WHERE p_size = 1) OR p_size IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 3)")(
     lambda e: e.sql("SELECT p_partkey FROM part WHERE p_retailprice >= ALL (SELECT p_retailprice FROM part WHERE p_size = 1) OR p_size = ANY (SELECT n_nationkey FROM nation WHERE n_regionkey = 3)")
 )
+query("quantified_expression", "SELECT p_partkey FROM part WHERE p_size + p_partkey % 3 >= (SELECT MAX(n_nationkey) FROM nation) AND NOT (p_size < (SELECT MIN(r_regionkey) FROM region))")(
+    lambda e: e.sql("SELECT p_partkey FROM part WHERE p_size + p_partkey % 3 >= ALL (SELECT n_nationkey FROM nation) AND NOT p_size < ANY (SELECT r_regionkey FROM region WHERE r_regionkey = 0)")
+)
+query("quantified_unknown", "SELECT n_nationkey, CASE WHEN n_nationkey <= 3 THEN FALSE END AS every_one, CASE WHEN n_nationkey > 1 THEN TRUE END AS some_one, TRUE AS none_left FROM nation")(
+    lambda e: e.sql("SELECT n_nationkey, n_nationkey > ALL (SELECT CASE WHEN r_regionkey < 4 THEN r_regionkey END FROM region) AS every_one, n_nationkey > SOME (SELECT CASE WHEN r_regionkey BETWEEN 1 AND 3 THEN r_regionkey END FROM region) AS some_one, n_nationkey > ALL (SELECT r_regionkey FROM region WHERE r_regionkey < 0) AS none_left FROM nation")
+)
 same("scalar_uncorrelated", "SELECT o_orderkey FROM orders WHERE o_totalprice > (SELECT AVG(o_totalprice) * 1.9 FROM orders)")
 same("scalar_correlated", "SELECT c_custkey, (SELECT MAX(o_totalprice) FROM orders WHERE o_custkey = c_custkey) AS top FROM customer")
 query("hof_lambda", "SELECT vec_id, CAST(round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * 2)), 4) AS DOUBLE) AS s FROM embeddings")(
     lambda e: e.set("embeddings").select("vec_id", s=F.round(F.aggregate(F.transform("embedding", lambda x: x.cast("double") * 2), F.lit(0.0), lambda a, x: a + x), 4))
 )
-query("null_safe_eq", "SELECT c_custkey, o_orderkey FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_totalprice > 350000 WHERE o_orderkey IS NOT DISTINCT FROM NULL OR o_orderstatus IS DISTINCT FROM 'O'")(lambda e: _null_safe(e))
+query("null_safe_eq", "SELECT c_custkey, o_orderkey FROM customer LEFT JOIN orders ON c_custkey = o_custkey WHERE o_orderkey IS NOT DISTINCT FROM NULL OR o_orderstatus IS DISTINCT FROM 'O'")(lambda e: _null_safe(e))
 
 
 def _null_safe(e):
-    q = e.set("customer").left_join(e.set("orders").where("o_totalprice > 350000"), "c_custkey", "o_custkey")
+    q = e.set("customer").left_join(e.set("orders"), "c_custkey", "o_custkey")
     return q.where(q.eq(F.col("o_orderkey"), None) | q.ne(F.col("o_orderstatus"), "O")).select("c_custkey", "o_orderkey")

@@ -122,11 +122,11 @@ query("filter_like", r"SELECT p_partkey, p_name FROM part WHERE p_name LIKE '%a_
 query("filter_boolcol", "SELECT l_orderkey, l_linenumber FROM (SELECT *, l_discount > 0.05 AS cheap FROM lineitem) t WHERE cheap")(lambda e: e.set("lineitem").extend(cheap=F.col("l_discount") > 0.05).where(F.col("cheap")).select("l_orderkey", "l_linenumber"))
 
 
-@query("struct_equality", "SELECT a.c_custkey AS a_key, b.c_custkey AS b_key FROM customer a JOIN customer b ON a.c_nationkey IS NOT DISTINCT FROM b.c_nationkey AND a.c_mktsegment IS NOT DISTINCT FROM b.c_mktsegment AND a.c_custkey < b.c_custkey AND b.c_custkey < 200")
+@query("struct_equality", "SELECT a.c_custkey AS a_key, b.c_custkey AS b_key FROM customer a JOIN customer b ON a.c_nationkey IS NOT DISTINCT FROM b.c_nationkey AND a.c_mktsegment IS NOT DISTINCT FROM b.c_mktsegment AND a.c_custkey < b.c_custkey")
 def struct_equality(e):
     group = F.struct("c_nationkey", "c_mktsegment")
     a = e.set("customer").select(a_key=F.col("c_custkey"), a=group)
-    b = e.set("customer").where("c_custkey < 200").select(b_key=F.col("c_custkey"), b=group)
+    b = e.set("customer").select(b_key=F.col("c_custkey"), b=group)
     return a.join_on(b, F.col("a").eqNullSafe(F.col("b")) & (F.col("a_key") < F.col("b_key"))).select("a_key", "b_key")
 
 
@@ -144,6 +144,14 @@ def _unfiltered(e):
     return e.set("customer").ignore_filters().where(F.col("c_mktsegment") == "BUILDING").select("c_custkey")
 
 
+query("null_filtered_view", "SELECT c_custkey FROM customer WHERE c_acctbal > 0")(lambda e: _filtered_view(e))
+
+
+def _filtered_view(e):
+    e.catalog.view_sql("rich", "SELECT c_custkey FROM customer WHERE c_acctbal > 0")
+    return e.sql("SELECT c_custkey FROM rich")
+
+
 query("initcap_fallback", "SELECT c_custkey, upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) AS name FROM customer")(lambda e: e.set("customer").select("c_custkey", name=F.initcap(F.lower("c_mktsegment"))))
 
 # order and paging

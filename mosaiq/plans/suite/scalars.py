@@ -66,7 +66,7 @@ query("math_logs", "SELECT p_partkey, ROUND(EXP(p_size / 10.0), 9) AS e, ROUND(L
 )
 same("math_roots", "SELECT p_partkey, ROUND(SQRT(p_size), 9) AS s, ROUND(CBRT(p_size), 9) AS cb, ROUND(POWER(p_size, 1.5), 6) AS p FROM part")
 same("math_round", "SELECT p_partkey, ROUND(p_retailprice, 1) AS a, ROUND(p_retailprice) AS b FROM part")
-query("math_bround")(lambda e: P(e).select("p_partkey", r=F.bround(c("p_retailprice").cast("decimal(19,4)"), 1)))
+query("math_bround", "SELECT p_partkey, CAST(CASE WHEN abs(x * 10 - trunc(x * 10)) = 0.5 THEN CAST(trunc(x * 10) + CASE WHEN CAST(trunc(x * 10) AS BIGINT) % 2 = 0 THEN 0 ELSE sign(x) END AS DECIMAL(19,4)) / 10 ELSE round(x, 1) END AS DECIMAL(17,1)) AS r FROM (SELECT p_partkey, CAST(p_retailprice AS DECIMAL(19,4)) AS x FROM part) t")(lambda e: P(e).select("p_partkey", r=F.bround(c("p_retailprice").cast("decimal(19,4)"), 1)))
 query("math_trunc", "SELECT c_custkey, CAST(trunc(c_acctbal) AS DOUBLE) AS t FROM customer")(lambda e: C(e).select("c_custkey", t=compat.truncate(c("c_acctbal"))))
 query("math_sign", "SELECT c_custkey, CAST(SIGN(c_acctbal) AS INTEGER) AS s FROM customer")(lambda e: C(e).select("c_custkey", s=e.functions.sign(c("c_acctbal"))))
 same("math_trig", "SELECT p_partkey, ROUND(SIN(p_size), 9) AS s, ROUND(COS(p_size), 9) AS co, ROUND(TAN(p_size), 6) AS t, ROUND(ASIN(p_size / 100.0), 9) AS sa, ROUND(ACOS(p_size / 100.0), 9) AS ca, ROUND(ATAN(p_size), 9) AS ta, ROUND(ATAN2(p_size, 3), 9) AS t2 FROM part")
@@ -127,13 +127,17 @@ query("tmp_diff", "SELECT l_orderkey, l_linenumber, CAST(date_diff('day', o_orde
 )
 query("tmp_unix", "SELECT event_id, CAST(epoch_us(ts) // 1000 AS BIGINT) AS ms, CAST(epoch_us(ts) // 1000000 AS BIGINT) AS s FROM events")(lambda e: e.set("events").select("event_id", ms=e.functions.unix_millis(c("ts")), s=F.unix_seconds(c("ts").cast("timestamp"))))
 query("tmp_day_number", "SELECT o_orderkey, CAST(date_diff('day', DATE '0001-01-01', CAST(o_orderdate AS DATE)) AS INTEGER) AS n FROM orders")(lambda e: Q(e).select("o_orderkey", n=compat.day_number(F.to_date("o_orderdate"))))
-query("tmp_timespan")(lambda e: e.set("lineitem").join(e.set("orders"), "l_orderkey", "o_orderkey").select("l_orderkey", "l_linenumber", d=F.expr("extract(DAY FROM l_shipdate - o_orderdate)"), h=F.expr("extract(HOUR FROM l_shipdate - o_orderdate)")))
+query("tmp_timespan", "SELECT l_orderkey, l_linenumber, CAST(date_part('day', l_shipdate - o_orderdate) AS INTEGER) AS d, CAST(date_part('hour', l_shipdate - o_orderdate) AS INTEGER) AS h FROM lineitem JOIN orders ON l_orderkey = o_orderkey")(lambda e: e.set("lineitem").join(e.set("orders"), "l_orderkey", "o_orderkey").select("l_orderkey", "l_linenumber", d=F.expr("CAST(extract(DAY FROM l_shipdate - o_orderdate) AS INT)"), h=F.expr("CAST(extract(HOUR FROM l_shipdate - o_orderdate) AS INT)")))
 query("tmp_time_between", "SELECT event_id FROM events WHERE epoch_us(ts) % 86400000000 >= 79200000000 OR epoch_us(ts) % 86400000000 < 21600000000")(lambda e: e.set("events").where(compat.time_between(compat.part(c("ts"), "TimeOfDay"), F.lit(22 * 3600 * 10**6), F.lit(6 * 3600 * 10**6))).select("event_id"))
 query("tmp_now", "SELECT TRUE AS ok")(lambda e: e.sql("SELECT CURRENT_TIMESTAMP >= TIMESTAMP '2020-01-01' AND CURRENT_DATE >= DATE '2020-01-01' AS ok"))
 query("date_trunc_month", "SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS m, CAST(date_trunc('hour', o_orderdate) AS TIMESTAMP) AS h FROM orders")(
     lambda e: e.sql("SELECT o_orderkey, CAST(FLOOR(o_orderdate TO MONTH) AS TIMESTAMP_NTZ) AS m, CAST(FLOOR(o_orderdate TO HOUR) AS TIMESTAMP_NTZ) AS h FROM orders")
 )
 query("tmp_timestampdiff", "SELECT o_orderkey, CAST(date_diff('day', TIMESTAMP '1992-01-01', o_orderdate) AS BIGINT) AS d FROM orders")(lambda e: e.sql("SELECT o_orderkey, TIMESTAMPDIFF(DAY, TIMESTAMP_NTZ '1992-01-01 00:00:00', o_orderdate) AS d FROM orders"))
-query("guid_new")(lambda e: N(e).select("n_nationkey", g=F.expr("uuid()")))
-query("bytes_ops")(lambda e: N(e).select("n_nationkey", n=F.octet_length(c("n_name").cast("binary")), first=F.substring(c("n_name").cast("binary"), 1, 1), has=F.contains(c("n_name").cast("binary"), F.lit(b"A"))))
+query("guid_new", "SELECT COUNT(*) AS n, COUNT(*) AS distinct_keys, TRUE AS well_formed FROM nation")(
+    lambda e: N(e).extend(g=F.expr("uuid()")).agg(n=F.count("g"), distinct_keys=F.countDistinct("g"), well_formed=F.bool_and(c("g").rlike("^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$")))
+)
+query("bytes_ops", "SELECT n_nationkey, CAST(octet_length(encode(n_name)) AS INTEGER) AS n, upper(hex(encode(n_name[1]))) AS first_byte, contains(n_name, 'A') AS has, upper(hex(encode(n_name))) AS whole FROM nation")(
+    lambda e: N(e).select("n_nationkey", n=F.octet_length(c("n_name").cast("binary")), first_byte=F.hex(F.substring(c("n_name").cast("binary"), 1, 1)), has=F.contains(c("n_name").cast("binary"), F.lit(b"A")), whole=F.hex(c("n_name").cast("binary")))
+)
 query("ext_registered", "SELECT n_nationkey, length(n_name) * 2 AS n FROM nation")(lambda e: (e.functions.register("TWICE_LENGTH", lambda x: (F.length(x) * 2).cast("bigint")), N(e).select("n_nationkey", n=e.functions.twice_length(c("n_name"))))[1])

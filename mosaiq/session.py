@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from typing import Any
+from typing import TYPE_CHECKING, Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .catalog import Catalog, Entity
 from .functions.registry import Registry
 from .operators.query import Query
-from .plans.dialect import translate
+from .plans.dialect import Sql, join, literal, translate
+
+if TYPE_CHECKING:
+    from .operators.ddl import Database
+    from .operators.dml import ManagedTable
 
 #: Settings that the dialect relies on.
 SETTINGS = {
@@ -38,8 +43,11 @@ class Engine:
             self.spark.conf.set(k, v)
         self.catalog = catalog or Catalog(self.spark, default_schema)
         self.functions = Registry()
+        self.translator: Callable[..., str] = translate
         self.relational_nulls = relational_nulls
         self.hooks: list[Hook] = []
+        #: Tables that statements change; see :meth:`attach`.
+        self.database: Database | None = None
 
     @classmethod
     def over_parquet(cls, spark: SparkSession, folder: str, tables: list[str] | tuple[str, ...], **options: Any) -> Engine:
@@ -56,18 +64,102 @@ class Engine:
             engine.functions.register(name, fn)
         return engine
 
+    def translated(self, text: str) -> str:
+        """The Spark SQL of a text in the accepted dialect."""
+        return self.translator(text, self.catalog.view_of, self.catalog.period_of)
+
     def sql(self, text: str, *args: Any, **named: Any) -> DataFrame:
         """A query in the accepted dialect. ``?`` takes the positional, ``:name``
         the named arguments; both may stand in LIMIT and OFFSET."""
-        plan = translate(text, self.catalog.view_of)
+        plan = self.translated(text)
         df = self.spark.sql(plan, args=list(args) if args else named or None)
         for hook in self.hooks:
             hook(plan, df)
         return df
 
+    def attach(self, database: Database) -> None:
+        """Make a database's tables readable by name and open to :meth:`execute`."""
+        self.database = database
+        for schema, name in database.tables:
+            self._readable(schema, name)
+
+    def _readable(self, schema: str, name: str) -> None:
+        if (schema.lower(), name.lower()) not in self.catalog.entities:
+            table = self.database.table(name, schema)  # type: ignore[union-attr]
+            self.catalog.table(name, lambda _: table.df(), schema=schema, key=table.key)
+
+    def _target(self, s: Sql, i: int) -> tuple[ManagedTable, int]:
+        """The managed table named at ``i``, and the place after its name."""
+        parts = []
+        while True:
+            parts.append(s.tokens[i].strip('"`'))
+            if not s.is_op(i + 1, "."):
+                break
+            i += 2
+        if self.database is None:
+            raise LookupError("no database is attached")
+        return self.database.table(parts[-1], parts[0] if len(parts) > 1 else "main"), i + 1
+
+    def execute(self, text: str, *args: Any) -> int:
+        """INSERT, UPDATE or DELETE on a managed table, in the accepted dialect;
+        ``?`` takes the arguments in turn. Returns the rows changed."""
+        s = Sql(text)
+        for k in [k for k in range(len(s.tokens)) if s.is_op(k, "?")][::-1]:
+            s.put(k, k + 1, literal(args[sum(s.is_op(j, "?") for j in range(k))]))
+        spark_sql = lambda a, b: self.translated(join(s.tokens[a:b]))
+        if s.is_word(0, "INSERT") and s.is_word(1, "INTO"):
+            table, k = self._target(s, 2)
+            names = [f.name for f in table.schema]
+            if s.is_op(k, "("):
+                names, end = s.arguments(k)
+                names, k = [n.strip('"`') for n in names], end + 1
+            for d in range(k, len(s.tokens)):
+                if s.is_word(d, "DEFAULT"):
+                    s.tokens[d] = "NULL"
+            changed = table.insert(self.spark.sql(spark_sql(k, len(s.tokens))).toDF(*names))
+        elif s.is_word(0, "UPDATE"):
+            table, k = self._target(s, 1)
+            if not s.is_word(k, "SET"):
+                raise ValueError("UPDATE t SET column = value, ... [WHERE ...]")
+            depth, where, cuts = 0, len(s.tokens), [k]
+            for j in range(k + 1, len(s.tokens)):
+                depth += s.is_op(j, "(", "[") - s.is_op(j, ")", "]")
+                if not depth and s.is_word(j, "WHERE"):
+                    where = j
+                    break
+                if not depth and s.is_op(j, ","):
+                    cuts.append(j)
+            changes: dict[str, Any] = {}
+            for a, b in zip(cuts, [*cuts[1:], where]):
+                changes[s.tokens[a + 1].strip('"`')] = F.lit(None) if s.is_word(a + 3, "DEFAULT") else F.expr(spark_sql(a + 3, b))
+            changed = table.update(changes, F.expr(spark_sql(where + 1, len(s.tokens))) if where < len(s.tokens) else None)
+        elif s.is_word(0, "DELETE") and s.is_word(1, "FROM"):
+            table, k = self._target(s, 2)
+            changed = table.delete(F.expr(spark_sql(k + 1, len(s.tokens))) if s.is_word(k, "WHERE") else None)
+        else:
+            raise ValueError("only INSERT, UPDATE and DELETE change tables")
+        self.catalog._views.clear()
+        return changed
+
+    def register_function(self, name: str, builder: Callable[..., Column]) -> None:
+        """A function of the fluent surface, composed of others."""
+        self.functions.register(name, builder)
+
+    def register_aggregate(self, name: str, fn: Callable[..., Any], returns: str) -> None:
+        """An aggregate of one's own, in SQL text and the fluent surface: ``fn``
+        gets a group's values as pandas Series and gives one value. A group
+        comes to one task whole, so it is for groups of bounded size."""
+        udf = F.pandas_udf(fn, returns, F.PandasUDFType.GROUPED_AGG)
+        self.spark.udf.register(name, udf)
+        self.functions.register(name, udf)
+
+    def register_table_function(self, name: str, handler: type, returns: str) -> None:
+        """A table function of one's own for SQL text: ``handler.eval`` yields rows."""
+        self.spark.udtf.register(name, F.udtf(handler, returnType=returns))
+
     def prepare(self, text: str) -> Callable[..., DataFrame]:
         """A query that is translated once and run with different arguments."""
-        plan = translate(text, self.catalog.view_of)
+        plan = self.translated(text)
         return lambda *args, **named: self.spark.sql(plan, args=list(args) if args else named or None)
 
     def from_sql(self, text: str, *args: Any, **named: Any) -> Query:

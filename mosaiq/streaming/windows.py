@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from typing import Any
 
@@ -31,14 +30,19 @@ def deduplicated(events: DataFrame, ts: str, keys: Sequence[str], late: str) ->
     return events.withWatermark(ts, late).dropDuplicatesWithinWatermark(list(keys))
 
 
-def run_once(stream: DataFrame, checkpoint: str, *, mode: str = "complete") -> DataFrame:
-    """Take in all that is there, stop, and give the result table of the run.
-    The memory sink keeps the result, so it is for results of bounded size;
-    use :func:`run_to` otherwise."""
-    name = f"run_{uuid.uuid4().hex}"
-    query = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", f"{checkpoint}/{name}").trigger(availableNow=True).start()
-    query.awaitTermination()
-    return stream.sparkSession.table(name)
+def run_once(stream: DataFrame, path: str, *, mode: str = "complete") -> DataFrame:
+    """Take in all that is there, stop, and give the result table as it is then.
+    Each batch's table goes from the executors to a folder of its own below
+    ``path``, written over if the batch is repeated; the last one counts."""
+    last: list[int] = []
+
+    def keep(df: DataFrame, batch: int) -> None:
+        df.write.mode("overwrite").parquet(f"{path}/tables/{batch}")
+        last.append(batch)
+
+    stream.writeStream.foreachBatch(keep).outputMode(mode).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    spark = stream.sparkSession
+    return spark.read.schema(stream.schema).parquet(f"{path}/tables/{last[-1]}") if last else spark.createDataFrame([], stream.schema)
 
 
 def run_to(stream: DataFrame, path: str, checkpoint: str) -> None:
@@ -46,31 +50,45 @@ def run_to(stream: DataFrame, path: str, checkpoint: str) -> None:
     stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start().awaitTermination()
 
 
+def merged_sessions(sessions: Sequence[tuple[int, int, int]], gap: int) -> list[tuple[int, int, int]]:
+    """(first, last, n) of sessions, joined where less than ``gap`` lies between them."""
+    out: list[tuple[int, int, int]] = []
+    for first, last, n in sorted(sessions):
+        if out and first - out[-1][1] < gap:
+            a, b, m = out[-1]
+            out[-1] = (a, max(b, last), m + n)
+        else:
+            out.append((first, last, n))
+    return out
+
+
 def sessions_with_state(events: DataFrame, key: str, ts: str, gap_seconds: int, late: str) -> DataFrame:
     """Sessions by user-managed state: a row (key, first, last, n) for each
-    session, once the watermark has passed its end. Timestamps are instants."""
+    session, once the watermark has passed its end. Timestamps are instants.
+    The state of a key is its open sessions; a row joins those that it lies
+    within the gap of, whatever order rows come in."""
     import pandas as pd
     from pyspark.sql.streaming.state import GroupStateTimeout
 
+    gap = gap_seconds * 1_000_000
+
     def step(k: tuple, batches: Any, state: Any) -> Any:
-        first, last, n = state.get if state.exists else (None, None, 0)
-        out = []
-        if state.hasTimedOut:
+        held = list(zip(*state.get)) if state.exists else []
+        if not state.hasTimedOut:
+            held += [(int(t), int(t), 1) for b in batches for t in b["us"]]
+        now = state.getCurrentWatermarkMs() * 1000
+        held = merged_sessions(held, gap)
+        closed = [s for s in held if s[1] + gap <= now]
+        still = [s for s in held if s[1] + gap > now]
+        if still:
+            state.update(tuple(list(map(int, c)) for c in zip(*still)))
+            state.setTimeoutTimestamp(max(min(s[1] for s in still) + gap, now + 1000) // 1000)
+        elif state.exists:
             state.remove()
-            yield pd.DataFrame({key: [k[0]], "first_us": [first], "last_us": [last], "n": [n]})
-            return
-        times = sorted(int(t) for b in batches for t in b["us"])
-        for t in times:
-            if last is not None and t - last > gap_seconds * 1_000_000:
-                out.append((k[0], first, last, n))
-                first, n = t, 0
-            first, last, n = (t if first is None else min(first, t)), (t if last is None else max(last, t)), n + 1
-        state.update((first, last, n))
-        state.setTimeoutTimestamp(max(last // 1000 + gap_seconds * 1000, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(out, columns=[key, "first_us", "last_us", "n"])
+        yield pd.DataFrame([(k[0], *s) for s in closed], columns=[key, "first_us", "last_us", "n"])
 
     kind = dict(events.dtypes)[key]
     rows = events.withWatermark(ts, late).select(key, ts, F.unix_micros(ts).alias("us"))
     return rows.groupBy(key).applyInPandasWithState(
-        step, f"{key} {kind}, first_us long, last_us long, n long", "first_us long, last_us long, n long", "append", GroupStateTimeout.EventTimeTimeout
+        step, f"{key} {kind}, first_us long, last_us long, n long", "first_us array<long>, last_us array<long>, n array<long>", "append", GroupStateTimeout.EventTimeTimeout
     )

@@ -43,6 +43,7 @@ def test_table_names_only_where_tables_stand():
     views = {("s", "T"): "s__T", ("T",): "s__T"}
     names = lambda parts: views.get(tuple(parts))
     out = translate('SELECT "T".a, EXTRACT(YEAR FROM T) FROM "s"."T", T AS u WHERE b IN (1, T)', names)
+    assert "EXTRACT(YEAR FROM T)" in out
     assert "FROM `s__T` AS `T`" in out and "`s__T` AS u" in out and "IN (1, T)" in out
 
 
@@ -57,3 +58,31 @@ def test_parameters(engine):
     assert engine.sql("SELECT :x AS a", x="y").first()["a"] == "y"
     run = engine.prepare("SELECT id FROM RANGE(10) WHERE id > ? FETCH FIRST ? ROWS ONLY")
     assert run(3, 2).count() == 2 and run(8, 5).count() == 1
+
+
+@pytest.mark.parametrize(
+    ("text", "part"),
+    [
+        ("SELECT EXTRACT(YEAR FROM d), TRIM(LEADING 'x' FROM d) FROM d", "EXTRACT(YEAR FROM d), TRIM(LEADING 'x' FROM d) FROM `m__d` AS `d`"),
+        ("SELECT 1 FROM d WHERE d IS NOT DISTINCT FROM d", "d IS NOT DISTINCT FROM d"),
+        ("SELECT EXTRACT(YEAR FROM (SELECT MAX(x) FROM d))", "(SELECT MAX(x) FROM `m__d` AS `d`)"),
+        ("SELECT SUBSTRING(d FROM 2 FOR 3) FROM d", "SUBSTRING(d FROM 2 FOR 3)"),
+    ],
+)
+def test_from_inside_calls_names_no_table(text, part):
+    assert part in translate(text, lambda parts: "m__d" if parts == ["d"] else None)
+
+
+def test_quantified_comparison_takes_its_whole_operand(spark):
+    q = lambda text: [tuple(r) for r in spark.sql(translate(text)).collect()]
+    assert q("SELECT 1 + 2 >= ALL (SELECT * FROM VALUES (1), (3)), 1 + 2 > ALL (SELECT * FROM VALUES (1), (3)), NOT 2 * 2 < SOME (SELECT * FROM VALUES (1), (4))") == [(True, False, True)]
+    assert q("SELECT 5 > ALL (SELECT * FROM VALUES (1), (NULL)), 0 > ALL (SELECT * FROM VALUES (1), (NULL)), 5 > SOME (SELECT * FROM VALUES (1), (NULL)), 0 > SOME (SELECT * FROM VALUES (1), (NULL))") == [(None, False, True, None)]
+    assert q("SELECT 1 > ALL (SELECT 1 WHERE false), 1 > SOME (SELECT 1 WHERE false), 3 <> SOME (SELECT * FROM VALUES (3), (4)), 3 = ALL (SELECT * FROM VALUES (3), (3))") == [(True, False, True, True)]
+    assert q("SELECT CASE WHEN true THEN 1 ELSE 2 END = ALL (SELECT 1)") == [(True,)]
+
+
+@pytest.mark.parametrize("value", ["it's", "back\\slash", "", None, True, 7, -1.5, "?"])
+def test_literals_are_what_they_were(spark, value):
+    from mosaiq.plans.dialect import literal
+
+    assert spark.sql(f"SELECT {literal(value)}").first()[0] == value
