@@ -19,12 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: the cluster's
     ``spark.checkpoint.dir``; only where it is unset (tests on one machine) a
-    fresh temporary one, which is then kept in the session's settings."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    fresh temporary one, which the context then keeps."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="mosaiq-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="mosaiq-"))
+        folder = context.getCheckpointDir()
+    return str(folder)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -4,10 +4,10 @@ ratios (binary features), with its fit on a bounded sample of labelled rows.
 Fit: the labelled rows with the smallest hashes, at most ``max_rows``, are
 found in ``docs`` by a join with that bounded side (the only broadcast here;
 its size is ``max_rows`` ids). Each gives the distinct hash buckets of its
-n-grams, which come to the driver partition by partition: ``max_rows`` texts'
-worth, whatever the corpus. Every bucket that occurs is a feature; its ratio
-comes from these rows, and a logistic regression is fitted to the presence of
-all of them. Scores are made for every row by one narrow pass over the whole
+n-grams, which meet in one task: ``max_rows`` texts' worth, whatever the
+corpus. Every bucket that occurs is a feature; its ratio comes from these rows,
+and a logistic regression is fitted to the presence of all of them. The driver
+gets the weights alone. Scores are made for every row by one narrow pass over the whole
 texts, without a shuffle.
 """
 
@@ -110,18 +110,25 @@ def fit(
         for batch in batches:
             yield pd.DataFrame({"key": batch["key"], "hash": batch["hash"], "label": batch["label"], "found": [packed(grams.of(t)) for t in batch["text"]]})
 
+    def learn(got: pd.DataFrame) -> pd.DataFrame:
+        got = got.sort_values(["key", "hash", "label"], kind="stable")
+        label = got["label"].to_numpy(np.float32)
+        n_pos, n_neg = float((label == 1).sum()), float((label == 0).sum())
+        if not n_neg or not n_pos:
+            p = min(max((n_pos + 1e-6) / (n_neg + n_pos + 2e-6), 1e-6), 1 - 1e-6)
+            return pd.DataFrame({"weight": [b""], "bias": [float(np.log(p / (1 - p)))]})
+        found = [np.frombuffer(x, "<i4") for x in got["found"]]
+        n = bucket_counts(found, label, 1 << bits)
+        weight, bias = logistic_on_presence(found, log_ratio(n[1], n[0], n_pos, n_neg), label)
+        return pd.DataFrame({"weight": [weight.astype("<f4").tobytes()], "bias": [bias]})
+
     source = rows.select(F.xxhash64(key).alias("key"), F.xxhash64(text).alias("hash"), "label", F.col(text).alias("text"))
-    got = [(r["key"], r["hash"], r["label"], r["found"]) for r in source.mapInPandas(seen, "key long, hash long, label int, found binary").toLocalIterator()]
-    got.sort(key=lambda r: r[:3])
-    label = np.array([r[2] for r in got], np.float32)
-    n_pos, n_neg = float((label == 1).sum()), float((label == 0).sum())
-    if not n_neg or not n_pos:
-        p = min(max((n_pos + 1e-6) / (n_neg + n_pos + 2e-6) if n_pos + n_neg else 1e-6, 1e-6), 1 - 1e-6)
-        return Linear(np.zeros(1 << bits, np.float32), float(np.log(p / (1 - p))), orders, bits, lower)
-    found = [np.frombuffer(r[3], "<i4") for r in got]
-    n = bucket_counts(found, label, 1 << bits)
-    weight, bias = logistic_on_presence(found, log_ratio(n[1], n[0], n_pos, n_neg), label)
-    return Linear(weight.astype(np.float32), bias, orders, bits, lower)
+    features = source.mapInPandas(seen, "key long, hash long, label int, found binary")
+    model = features.groupBy(F.lit("all")).applyInPandas(learn, "weight binary, bias double").first()
+    if model is None:
+        return Linear(np.zeros(1 << bits, np.float32), float(np.log(1e-6)), orders, bits, lower)
+    weight = np.frombuffer(bytes(model["weight"]), "<f4") if model["weight"] else np.zeros(1 << bits, np.float32)
+    return Linear(weight, model["bias"], orders, bits, lower)
 
 
 def score_text(docs: DataFrame, model: Linear, *, text: str = "text", to: str = "score") -> DataFrame:
