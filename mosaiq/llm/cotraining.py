@@ -100,7 +100,7 @@ def _platt(m: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def _features(rows: DataFrame, *kept: str) -> list:
-    """(kept columns, content buckets, metadata classes) of bounded ``rows``, brought to the driver by partitions."""
+    """(kept columns, content buckets, metadata classes) of ``rows``, of which there is a bounded number."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         grams = Grams(ORDERS, BITS, False)
@@ -110,7 +110,7 @@ def _features(rows: DataFrame, *kept: str) -> list:
             yield pd.DataFrame({**{c: b[c] for c in kept}, "content": a, "meta": m})
 
     schema = ", ".join(f"{c} {dict(rows.dtypes)[c]}" for c in kept)
-    return list(rows.mapInPandas(run, f"{schema}, content binary, meta binary").toLocalIterator())
+    return list(rows.mapInPandas(run, f"{schema}, content binary, meta binary").collect())
 
 
 def _unpack(found: bytes) -> np.ndarray:
@@ -158,18 +158,22 @@ def fit(
         cuts = scored.agg(*[F.percentile_approx(c, [share * (1 - prior), 1 - share * prior], 10_000) for c in ("a", "b")]).first()
         if cuts[0] is None:
             break
+        picks = []
         for me, other in ((0, 1), (1, 0)):
             m = F.col("ab"[me])
             low, high = (F.lit(float(x)) for x in cuts[me])
             # only what the view is sure of: its own side of the margin
             sure = F.when((m <= low) & (m < 0), 0).when((m >= high) & (m > 0), 1)
             chosen = scored.select("id", sure.alias("label")).where("label IS NOT NULL").distinct().orderBy(F.xxhash64("id"), "id").limit(max_taught)
-            fresh_rows = [r for r in _features(pool.join(F.broadcast(chosen), "id").dropDuplicates(["id"]), "id", "label") if r["id"] not in taught[other]]
-            fresh_rows.sort(key=lambda r: r["id"])
-            for r in fresh_rows[: max(0, max_taught - len(taught[other]))]:
-                taught[other].add(r["id"])
-                lessons[other].rows.append(_unpack(r[names[other]]))
-                lessons[other].label.append(float(r["label"]))
+            picks.append(chosen.withColumn("view", F.lit(other)))
+        chosen = materialize(picks[0].unionByName(picks[1]), "chosen")
+        got_now = _features(pool.join(F.broadcast(chosen), "id").dropDuplicates(["id", "view"]), "id", "label", "view")
+        for r in sorted(got_now, key=lambda r: (r["view"], r["id"])):
+            view = r["view"]
+            if r["id"] not in taught[view] and len(taught[view]) < max_taught:
+                taught[view].add(r["id"])
+                lessons[view].rows.append(_unpack(r[names[view]]))
+                lessons[view].label.append(float(r["label"]))
         models = [x.fitted(s) for x, s in zip(lessons, sizes)]
     y = label_of[test].astype(np.float32)
     margins = np.array([[b + float(w[_unpack(got[i][n])].sum()) for (w, b), n in zip(models, names)] for i in np.flatnonzero(test)])
