@@ -14,12 +14,18 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
+#: Tasks over which the links of a hub are dealt.
+DEALT = 16
+
+
 def _smallest(links: DataFrame) -> DataFrame:
     """(u, v) links with ``m``: the smallest of u and all its v. A hub's links
-    meet as partial minima and are joined to it, not windowed: a skewed join
-    is one that Spark can split."""
-    low = links.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
-    return links.join(low, links["u"] == low["w"]).select("u", "v", "m")
+    meet as partial minima and are dealt over ``DEALT`` tasks to be joined with it."""
+    low = links.groupBy("u").agg(F.min("v").alias("m"))
+    low = low.select(F.col("u").alias("w"), F.least("u", "m").alias("m"), F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1))).alias("seat"))
+    dealt = links.withColumn("place", F.pmod(F.xxhash64("v"), F.lit(DEALT)))
+    return dealt.join(low, (dealt["u"] == low["w"]) & (dealt["place"] == low["seat"])).select("u", "v", "m")
+
 
 
 def components(links: DataFrame) -> DataFrame:
