@@ -10,8 +10,8 @@ literal says too little, so it is keyed by its words as they are.
 Windows of documents meet the benchmark's in a hash join. On each diagonal
 (document position less item position) the slots' values must be consistent:
 over all matched windows one item value stands for one document value and the
-other way round. An item leaks into a text if consistent windows cover at
-least ``coverage`` of it.
+other way round. An item leaks into a text if at least ``coverage`` of its
+distinct windows are met on consistent diagonals, however often each is met.
 
 Scale: one narrow pass makes keys, with no shuffle of texts; only windows that
 the benchmark has go on, keyed by a hash of their text, so copies are judged
@@ -21,13 +21,16 @@ together. The benchmark's windows are broadcast if they are at most
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, materialize
+from .common import count_words, fresh, materialize
 
+#: Words of the shortest item that is looked for inside texts; of fewer words,
+#: which stand in clean texts too, it leaks only where it is the whole text.
+SHORTEST = 4
 #: Windows of the benchmark that are broadcast at most.
 BROADCAST = 500_000
 
@@ -67,9 +70,13 @@ def _words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(rf"[^{_WS}]+"), F.lit(0))
 
 
-def windows(text: Column, width: int) -> Column:
+_WINDOWS = "array<struct<pos:int,key:bigint,slots:array<string>>>"
+
+
+def windows(text: Column, width: int, narrow: Sequence[int] = ()) -> Column:
     """Array of (``pos``, ``key``, ``slots``); one window if there are fewer
-    words, null without words. ``slots`` is null where there are none."""
+    words, null without words. ``slots`` is null where there are none. Windows
+    of each ``narrow`` width follow, where the text is longer."""
     slot = rf"[{NUM}-{NAME}]"
     none = F.lit(None).cast("array<string>")
 
@@ -92,7 +99,9 @@ def windows(text: Column, width: int) -> Column:
     def made(canon: Column, words: Column) -> Column:
         def keyed(k: Column) -> Column:
             either = lambda n: F.when(canon.rlike(slot), slotted(k, words, _words(text), n)).otherwise(literal(k, n))
-            return F.when(F.size(k) > 0, let(F.least(F.size(k), F.lit(width)), either))
+            main = let(F.least(F.size(k), F.lit(width)), either)
+            more = [F.when(F.size(k) > w, either(F.lit(w))).otherwise(F.array().cast(_WINDOWS)) for w in narrow]
+            return F.when(F.size(k) > 0, F.concat(main, *more) if more else main)
 
         return let(F.transform(words, lambda w: F.xxhash64(w)), keyed)
 
@@ -103,29 +112,39 @@ def find_leaks(
     docs: DataFrame, benchmark: DataFrame, *, width: int = 8, coverage: float = 0.5, text: str = "text", item: str = "item_id", item_text: str = "text"
 ) -> DataFrame:
     """(``text_hash``, ``item``, ``windows``, ``share``, ``changed``) for each
-    distinct text of ``docs`` and each item that leaks into it. ``changed``:
-    slots whose values differ from the item's. Null and empty texts match
-    nothing; items without words are left out; repeated rows count once."""
+    distinct text of ``docs`` and each item that leaks into it. ``windows``:
+    distinct windows of the item that are met; ``changed``: slots whose values
+    differ from the item's on the diagonal that has most of them.
+
+    An item of fewer than ``width`` words is one window, looked for inside
+    texts if it has ``SHORTEST`` words at least. Null and empty texts match
+    nothing; items without words are left out; very long texts are read whole;
+    repeated rows count once; empty tables give none."""
+    short = count_words(F.col(item_text))
+    narrow = sorted(r[0] for r in benchmark.select(short.alias("n")).where(F.col("n").between(SHORTEST, width - 1)).distinct().collect())
     own = benchmark.select(F.col(item).alias("item"), F.inline(windows(F.col(item_text), width)))
     own = own.groupBy("item", "key").agg(F.min_by(F.struct("pos", "slots"), "pos").alias("w"))
     own = materialize(own.select("item", "key", F.col("w.pos").alias("item_pos"), F.col("w.slots").alias("item_slots")), "benchmark")
     sizes = own.groupBy("item").agg(F.count(F.lit(1)).alias("whole"))
     small = own.count() <= BROADCAST
     side = F.broadcast(own) if small else own
-    rows = docs.select(F.xxhash64(text).alias("text_hash"), F.inline(windows(F.col(text), width)))
+    rows = docs.select(F.xxhash64(text).alias("text_hash"), F.inline(windows(F.col(text), width, narrow)))
     hits = rows.join(side, "key").select("text_hash", "item", "item_pos", "slots", "item_slots", (F.col("pos") - F.col("item_pos")).alias("shift"))
     # windows of one key have as many slots; copies of a text give the same hits
     zipped = F.coalesce(F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b")), F.array().cast("array<struct<a:string,b:string>>"))
     hits = hits.groupBy("text_hash", "item", "shift", "item_pos").agg(F.first(zipped).alias("pairs"))
     pairs = F.array_distinct(F.flatten(F.collect_list("pairs")))
-    lines = hits.groupBy("text_hash", "item", "shift").agg(F.count(F.lit(1)).alias("n"), pairs.alias("pairs"))
+    lines = hits.groupBy("text_hash", "item", "shift").agg(F.collect_list("item_pos").alias("met"), pairs.alias("pairs"))
     one = lambda c: F.size(F.array_distinct(F.transform("pairs", lambda p: p[c])))
     lines = lines.where((one("a") == F.size("pairs")) & (one("b") == F.size("pairs")))
-    differ = F.size(F.filter("pairs", lambda p: p["a"] != p["b"]))
-    leaks = lines.groupBy("text_hash", "item").agg(F.sum("n").alias("windows"), F.sum(differ).alias("changed"))
+    same = -F.size(F.filter("pairs", lambda p: p["a"] != p["b"]))
+    # an item's window that several diagonals meet counts once
+    met = lines.select("text_hash", "item", F.struct(F.size("met").alias("n"), same.alias("same")).alias("line"), "met")
+    met = met.select("text_hash", "item", "line", F.explode("met").alias("item_pos"))
+    met = met.groupBy("text_hash", "item", "item_pos").agg(F.max("line").alias("line"))
+    leaks = met.groupBy("text_hash", "item").agg(F.count(F.lit(1)).alias("windows"), (-F.max("line")["same"]).cast("long").alias("changed"))
     leaks = leaks.join(F.broadcast(sizes) if small else sizes, "item")
-    share = F.least(F.lit(1.0), F.col("windows") / F.col("whole"))
-    return leaks.select("text_hash", "item", "windows", share.alias("share"), "changed").where(F.col("share") >= coverage)
+    return leaks.select("text_hash", "item", "windows", (F.col("windows") / F.col("whole")).alias("share"), "changed").where(F.col("share") >= coverage)
 
 
 def leak_rows(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
