@@ -1,27 +1,29 @@
 """Document fingerprints from closed syncmers (DataFrame functions only).
 
-A text is a sequence of tokens: words, runs of more than ``LONG`` characters
-taken character by character. Texts of up to ``SHORT`` characters, which have
-few words to anchor, are taken by all their characters too. A k-mer of tokens is a closed
-syncmer if the smallest hash among its inner s-mers is the first's or the
-last's. That depends on nothing outside the k-mer, so an edit moves no anchor
-that it does not touch, and equal passages have equal anchors at equal
-distances wherever they stand.
-
-The fingerprint keeps all anchors with their positions, so what two texts of
-any length share is seen and can be aligned (:func:`best_shift`). The likeness
-of two is the Jaccard similarity of their anchors' hashes: by characters if
-both are short, by words otherwise, so like is compared with like on either
-side of ``SHORT``.
+A text is a sequence of tokens: each run of characters that are no white space
+is cut into pieces of ``PIECE`` characters from its start, so most words are
+one token. A k-mer of tokens is a closed syncmer if the smallest hash among its
+inner s-mers is the first's or the last's. That depends on nothing outside the
+k-mer, so an edit moves no anchor that it does not touch, and equal passages
+have equal anchors at equal distances wherever they stand. One rule holds for
+texts of every length.
+
+The fingerprint keeps all anchors with their positions. Two fingerprints are
+compared by position: anchors of one hash meet where they stand closest, each
+meeting tells by how many tokens the texts are shifted against each other, and
+those count that agree on the shift up to ``SLACK`` tokens. The likeness is
+their number over that of all anchors of both.
 
 Scale: :func:`with_next` finds each row's successor in one shuffle by key
 ranges, each range with the first row of the following one added, so there is
-no global window. Only texts are shuffled; fingerprints are made after that,
-in one pass over each text.
+no global window; a key that many rows share is cut into ranges of its texts'
+hashes. Only texts are shuffled; fingerprints are made after that, in one pass
+over each text.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,10 +31,11 @@ from pyspark.sql import functions as F
 
 from .common import fresh
 
-LONG, SHORT = 24, 400
-#: (k, s) over words and over characters.
-WORDS, CHARACTERS = (5, 2), (9, 4)
-_TOKEN = r"[^\x20\x09-\x0D]+"
+#: Characters of a token at most, tokens of a k-mer and of an inner s-mer.
+PIECE, K, S = 8, 4, 1
+#: Tokens that shifts may differ by and still agree.
+SLACK = 64
+_TOKEN = rf"[^\x20\x09-\x0D]{{1,{PIECE}}}"
 
 
 def let(value: Column, body) -> Column:
@@ -45,109 +48,101 @@ def _smallest(h: Column, at: Column, offsets: Sequence[int]) -> Column:
     return F.least(*values) if len(values) > 1 else values[0]
 
 
-def _syncmers(tokens: Column, k: int, s: int) -> Column:
+def anchors(text: Column) -> Column:
+    """Array of numbers, one for each closed syncmer of the text: 31 bits of
+    the k-mer's hash, then 32 bits of its position in tokens. One for the whole
+    text if it has fewer tokens than a k-mer; none for null and white space."""
+    code = lambda h, pos: F.shiftleft(F.shiftrightunsigned(h, 33), 32) + pos
+
     def found(h: Column, inner: Column) -> Column:
-        closed = F.filter(
-            F.sequence(F.lit(0), F.size(h) - k),
-            lambda i: _smallest(inner, i, range(1, k - s)) >= _smallest(inner, i, (0, k - s)),
-        )
-        anchor = lambda i: F.struct(F.shiftrightunsigned(F.xxhash64(*[F.get(h, i + o) for o in range(k)]), 32).alias("hash"), i.alias("pos"))
-        return F.transform(closed, anchor)
+        ends = (0, K - S)
+        closed = F.filter(F.sequence(F.lit(0), F.size(h) - K), lambda i: _smallest(inner, i, range(1, K - S)) >= _smallest(inner, i, ends))
+        return F.transform(closed, lambda i: code(F.xxhash64(*[F.get(h, i + o) for o in range(K)]), i.cast("long")))
 
     def hashed(h: Column) -> Column:
-        mers = F.transform(F.sequence(F.lit(0), F.size(h) - s), lambda i: F.xxhash64(*[F.get(h, i + o) for o in range(s)]))
-        whole = F.array(F.struct(F.shiftrightunsigned(F.xxhash64(h), 32).alias("hash"), F.lit(0).alias("pos")))
-        return F.when(F.size(h) >= k, let(mers, lambda m: found(h, m))).when(F.size(h) > 0, whole)
-
-    return let(F.transform(tokens, lambda t: F.xxhash64(t)), hashed)
+        mers = h if S == 1 else F.transform(F.sequence(F.lit(0), F.size(h) - S), lambda i: F.xxhash64(*[F.get(h, i + o) for o in range(S)]))
+        many = found(h, h) if S == 1 else let(mers, lambda m: found(h, m))
+        return F.when(F.size(h) >= K, many).when(F.size(h) > 0, F.array(code(F.xxhash64(h), F.lit(0).cast("long"))))
 
+    tokens = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
+    return F.coalesce(let(F.transform(tokens, lambda t: F.xxhash64(t)), hashed), F.array().cast("array<bigint>"))
 
-_NONE = "array<struct<hash:bigint,pos:int>>"
 
+def as_string(found: Column) -> Column:
+    """Sixteen hex digits for each anchor, eight of its hash and eight of its position; empty without any."""
+    return F.lower(F.array_join(F.transform(found, lambda x: F.lpad(F.hex(x), 16, "0")), ""))
 
-def _anchored(text: Column, found: Column) -> Column:
-    none = F.array().cast(_NONE)
-    return F.coalesce(F.when(F.coalesce(text, F.lit("")).rlike(_TOKEN), found), none)
 
+def shifts(a: Column, b: Column) -> Column:
+    """By how many tokens ``b`` must move for its anchors to meet those of
+    ``a``: one number for each two of one hash that stand closest."""
+    place = lambda x: F.shiftright(x, 1).bitwiseAND(F.lit(0xFFFFFFFF))
+    side = lambda x: x.bitwiseAND(F.lit(1))
 
-def anchors(text: Column) -> Column:
-    """Array of (``hash``, ``pos``) of the text's closed syncmers over words,
-    positions in tokens; one for the whole text if it has fewer tokens than a
-    k-mer, none for null and texts of white space."""
-    words = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
-    split = let(
-        words,
-        lambda w: F.when(
-            F.exists(w, lambda x: F.char_length(x) > LONG),
-            F.flatten(F.transform(w, lambda x: F.when(F.char_length(x) > LONG, F.regexp_extract_all(x, F.lit(r"(?s)."), F.lit(0))).otherwise(F.array(x)))),
-        ).otherwise(w),
-    )
-    return _anchored(text, _syncmers(split, *WORDS))
+    def meet(x: Column, y: Column) -> Column:
+        same = (F.shiftright(x, 33) == F.shiftright(y, 33)) & (side(x) != side(y))
+        return F.when(same, (place(x) - place(y)) * (1 - 2 * side(x)))
 
+    def walk(t: Column) -> Column:
+        n = F.greatest(F.size(t) - 1, F.lit(0))
+        return F.array_compact(F.zip_with(F.slice(t, 1, n), F.slice(t, 2, n), meet))
 
-def character_anchors(text: Column) -> Column:
-    """As :func:`anchors`, over characters; null for texts of more than ``SHORT``."""
-    chars = F.regexp_extract_all(text, F.lit(r"(?s)."), F.lit(0))
-    return F.when(F.char_length(F.coalesce(text, F.lit(""))) <= SHORT, _anchored(text, _syncmers(chars, *CHARACTERS)))
+    both = F.concat(F.transform(a, lambda x: F.shiftleft(x, 1)), F.transform(b, lambda x: F.shiftleft(x, 1) + 1))
+    return let(F.sort_array(both), walk)
 
 
-def sketch(text: Column) -> Column:
-    """All anchors, over ``words`` and over ``characters`` (null for long texts)."""
-    return F.struct(anchors(text).alias("words"), character_anchors(text).alias("characters"))
+def _most(values: Column) -> Column:
+    """How many of the most frequent value there are."""
+    start = F.struct(F.lit(None).cast("long").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("most"))
 
+    def step(a: Column, x: Column) -> Column:
+        run = F.when(x == a["last"], a["run"] + 1).otherwise(1)
+        return F.struct(x.alias("last"), run.alias("run"), F.greatest(a["most"], run).alias("most"))
 
-def as_string(found: Column) -> Column:
-    """Sixteen hex digits for each anchor, eight of its hash and eight of its
-    position; of short texts those over characters follow after a slash. Empty
-    without any."""
-    digits = lambda v: F.lower(F.lpad(F.hex(v), 8, "0"))
-    line = lambda of: F.array_join(F.transform(of, lambda x: F.concat(digits(x["hash"]), digits(x["pos"]))), "")
-    return F.concat(line(found["words"]), F.when(F.size(found["characters"]) > 0, F.concat(F.lit("/"), line(found["characters"]))).otherwise(F.lit("")))
+    return F.aggregate(F.sort_array(values), start, step, lambda a: a["most"])
 
 
-def _jaccard(a: Column, b: Column) -> Column:
-    a, b = (F.transform(x, lambda y: y["hash"]) for x in (a, b))
-    shared = lambda x, y: F.size(F.array_intersect(x, y)) / F.size(F.array_union(x, y))
-    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(let(F.struct(a.alias("a"), b.alias("b")), lambda p: shared(p["a"], p["b"])))
+def agreeing(found: Column) -> Column:
+    """How many shifts lie in the fullest stretch of ``SLACK`` tokens, of the
+    stretches around whole multiples and those between."""
+    stretch = lambda by: F.transform(found, lambda x: F.floor((x + by) / SLACK))
+    return F.greatest(_most(stretch(SLACK // 2)), _most(stretch(0)))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Of two sketches, 0 to 1; two empty ones are alike."""
-    short = a["characters"].isNotNull() & b["characters"].isNotNull()
-    return _jaccard(F.when(short, a["characters"]).otherwise(a["words"]), F.when(short, b["characters"]).otherwise(b["words"]))
-
-
-def best_shift(a: Column, b: Column) -> Column:
-    """(``shift``, ``anchors``): by how many tokens ``b`` must move for most of
-    its anchors to meet those of ``a`` (arrays of :func:`anchors`), and how many do."""
-    places = F.map_from_entries(F.transform(F.array_distinct(F.transform(b, lambda y: y["hash"])), lambda h: F.struct(h, F.filter(b, lambda y: y["hash"] == h)["pos"])))
-    shifts = let(places, lambda m: F.flatten(F.transform(F.filter(a, lambda x: F.map_contains_key(m, x["hash"])), lambda x: F.transform(m[x["hash"]], lambda p: x["pos"] - p))))
-    counted = let(shifts, lambda s: F.transform(F.array_distinct(s), lambda d: F.struct(F.size(F.filter(s, lambda x: x == d)).alias("anchors"), (-F.abs(d)).alias("near"), d.alias("shift"))))
-    best = F.array_max(counted)
-    return F.struct(best["shift"].alias("shift"), best["anchors"].alias("anchors"))
+    """Of two arrays of anchors, 0 to 1; two empty ones are alike."""
+    least, all_ = F.least(F.size(a), F.size(b)), F.size(a) + F.size(b)
+    met = let(shifts(a, b), lambda s: F.when(F.size(s) > 0, F.least(agreeing(s), least)).otherwise(0))
+    return F.when(all_ == 0, F.lit(1.0)).otherwise(let(met, lambda m: m / (all_ - m)))
 
 
 def with_next(df: DataFrame, key: str, carried: Sequence[str], tie: str, made: dict[str, Column] | None = None) -> DataFrame:
     """``df`` with ``next_<c>`` for each carried column: its value in the row of
-    the next key, after the last the first. Equal keys are ordered by ``tie``,
-    null keys come last. The key is an integer. ``made``: columns that are added
-    after the shuffle; they can be carried."""
+    the next key, after the last the first. Equal keys are ordered by ``tie``, a
+    64-bit hash; null keys come last. The key is an integer. ``made``: columns
+    that are added after the shuffle; they can be carried."""
     made = made or {}
-    last = 2**63 - 1
+    last, least = 2**63 - 1, -(2**63)
     at = F.coalesce(F.col(key).cast("long"), F.lit(last))
     shards = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     low, cuts = df.select(at.alias("k")).agg(F.min("k"), F.percentile_approx("k", [i / shards for i in range(1, shards)], 10_000)).first()
     if low is None:
         return df.withColumns(made).withColumns({f"next_{c}": F.col(c) for c in carried})
-    # each cut is a key that exists: the first of its shard
-    cuts = sorted({c for c in cuts if c > low})
-    limits = F.array(*[F.lit(c) for c in cuts]).cast("array<bigint>")
+    # where a range begins: at a key that exists, and inside a key of many rows at hashes
+    parts = Counter(cuts)
+    parts[low] = max(1, parts[low])
+    begins = [(c, least + j * 2**64 // n) for c, n in sorted(parts.items()) for j in range(n)]
     k, shard, added = fresh(df, "k", "shard", "added")
-    rows = df.withColumns({k: at, shard: F.size(F.filter(limits, lambda x: x <= at)), added: F.lit(False)})
-    firsts = [*cuts, low]
-    first = df.where(F.col(key).isin([c for c in firsts if c != last]) | (F.col(key).isNull() if last in firsts else F.lit(False)))
-    one = first.withColumn(k, at).groupBy(k).agg(F.min_by(F.struct(*df.columns), F.col(tie)).alias("r")).select("r.*", k)
-    before = F.element_at(F.create_map(*[x for i, c in enumerate(firsts) for x in (F.lit(c), F.lit(i))]), F.col(k))
+    limits = F.array(*[F.struct(F.lit(c).cast("long").alias("k"), F.lit(t).cast("long").alias("t")) for c, t in begins])
+    own = F.struct(at.alias("k"), F.col(tie).alias("t"))
+    rows = df.withColumns({k: at, shard: F.size(F.filter(limits, lambda x: x <= own)) - 1, added: F.lit(False)})
+    first = rows.where(F.col(key).isin([c for c in parts if c != last]) | (F.col(key).isNull() if last in parts else F.lit(False)))
+    if max(parts.values()) > 1:
+        there = sorted(r[0] for r in first.select(shard).distinct().collect())
+    else:
+        there = list(range(len(begins)))
+    one = first.groupBy(shard).agg(F.min_by(F.struct(*df.columns, k), F.struct(k, tie)).alias("r")).select("r.*", shard)
+    before = F.element_at(F.create_map(*[F.lit(x) for i, s in enumerate(there) for x in (s, there[i - 1])]), F.col(shard))
     ends = one.withColumns({shard: before, added: F.lit(True)})
     order = Window.partitionBy(shard).orderBy(added, k, tie)
     both = rows.unionByName(ends)
@@ -159,16 +154,21 @@ def with_next(df: DataFrame, key: str, carried: Sequence[str], tie: str, made: d
 def compare_edited(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(``key``, ``n_chars``, ``edited_sha256``, ``fingerprint``,
     ``edited_fingerprint``, ``near_edited``, ``near_next``) for every row: the
-    fingerprint of its text (null: empty), of the text whose last quarter is
-    replaced by the start of the next row's, and their likeness."""
+    fingerprint of its text, of the text whose last quarter is replaced by the
+    start of the next row's, and their likeness.
+
+    Null texts count as empty; empty texts have empty fingerprints, alike;
+    very long ones are taken whole. Rows of one key follow each other by the
+    hash of their texts, null keys come last, repeated rows stay; a single row
+    is its own next; an empty table gives an empty one; other columns are not read."""
     whole = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     whole = whole.withColumn("tie", F.xxhash64("text"))
-    rows = with_next(whole, "key", ["text", "own"], "tie", {"own": sketch(F.col("text"))})
+    rows = with_next(whole, "key", ["text", "own"], "tie", {"own": anchors(F.col("text"))})
     n = F.char_length("text")
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - quarter), F.substring("next_text", F.lit(1), quarter))
     rows = rows.select("key", n.cast("long").alias("n_chars"), "own", "next_own", edited.alias("edited"))
-    rows = rows.select("key", "n_chars", "own", "next_own", F.sha2("edited", 256).alias("edited_sha256"), sketch(F.col("edited")).alias("changed"))
+    rows = rows.select("key", "n_chars", "own", "next_own", F.sha2("edited", 256).alias("edited_sha256"), anchors(F.col("edited")).alias("changed"))
     return rows.select(
         F.col("key").alias(key),
         "n_chars",

@@ -248,6 +248,69 @@ def test_leaks_odd_items(spark):
     assert leaks(spark, [], items) == {} and leaks(spark, texts, []) == {}
 
 
+def brute_leaks(text, items, known, width=8, coverage=0.5):
+    """By definition, over keys themselves instead of hashes; ``known`` keeps the items' windows."""
+    import regex
+
+    ws = r"\x20\x09-\x0D"
+
+    def windows(t, narrow=()):
+        canon = regex.sub(rf"\p{{Lu}}(?<=[\p{{Ll}},;:][{ws}]\p{{Lu}})[\p{{L}}\p{{M}}'’-]*+", decontaminate.NAME, t)
+        canon = regex.sub(r"[0-9]++(?:[.,:/][0-9]++)*+", decontaminate.NUM, canon)
+        canon = regex.sub(rf"(?i)(?<={decontaminate.NUM}|{decontaminate.NUM}[{ws}])(?:{decontaminate.UNITS})(?!\p{{L}})", decontaminate.UNIT, canon)
+        p = decontaminate._PUNCT
+        canon = regex.sub(rf"[{p}]++(?=[^{ws}{p}])|[{p}](?<=[^{ws}{p}][{p}])[{p}]*+", "", canon).lower()
+        words, raw = regex.findall(rf"[^{ws}]+", canon), regex.findall(rf"[^{ws}]+", t)
+        for n in ([min(width, len(words))] if words else []) + [w for w in narrow if len(words) > w]:
+            for i in range(len(words) - n + 1):
+                slots = [r for w, r in zip(words[i : i + n], raw[i : i + n]) if regex.search(f"[{decontaminate.NUM}-{decontaminate.NAME}]", w)]
+                yield i, (tuple(words[i : i + n]), False) if 2 * len(slots) <= n else (tuple(w.lower() for w in raw[i : i + n]), True), slots
+
+    found = {}
+    narrow = sorted({n for _, t in items if t and 4 <= (n := len(WORD.findall(t))) < width})
+    own_windows = list(windows(text or "", narrow))
+    for item, t in items:
+        first = {}
+        for i, key, slots in known.setdefault(item, list(windows(t or "")) if item not in known else ()):
+            first.setdefault(key, (i, slots))
+        lines = {}
+        for i, key, slots in own_windows:
+            if key in first:
+                at, own = first[key]
+                lines.setdefault(i - at, {})[at] = list(zip(own, slots))
+        met = set()
+        for line in lines.values():
+            pairs = {p for ps in line.values() for p in ps}
+            if len({a for a, _ in pairs}) == len({b for _, b in pairs}) == len(pairs):
+                met |= set(line)
+        if first and len(met) / len(first) >= coverage:
+            found[item] = (len(met), len(met) / len(first))
+    return found
+
+
+def test_leaks_against_brute_force(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").toPandas()
+    bench = spark.read.parquet(f"{data}/benchmark.parquet").toPandas()
+    items = [*zip(bench["item_id"].tolist(), bench["text"]), (900, ITEM), (901, "only four little words"), (902, "7 8 9 10 11 12 13 14 15 16 17 18")]
+    changed = [t.replace("Tom", "Bob").replace("12", "31") for t in (ITEM, ITEM.replace("5 kg", "9 g"))]
+    ours = [ITEM, *changed, "before " + ITEM + " after " + ITEM, " ".join([" ".join(ITEM.split()[:8])] * 6), "And only four little words, in it.", "7 8 9 10 11 12 13 14 15 16 17 18 " * 3, ITEM.replace("Tom has", "Bob has")]
+    texts = [*docs["text"], *ours]
+    got = {}
+    for (i, item), r in leaks(spark, texts, items).items():
+        got.setdefault(i, {})[item] = (r["windows"], r["share"])
+    known = {}
+    for i, t in enumerate(texts):
+        assert got.get(i, {}) == brute_leaks(t, items, known), t[:100]
+
+
+def test_repeated_windows_count_once(spark):
+    """A text that repeats one window of a nine-window item is no leak of it."""
+    item = " ".join(f"w{i}" for i in range(16))
+    one = " ".join(f"w{i}" for i in range(8))
+    assert leaks(spark, [" x ".join([one] * 6)], [(1, item)]) == {}
+    assert leaks(spark, [one], [(1, item)], coverage=0.1)[0, 1]["windows"] == 1
+
+
 def test_every_planted_passage_is_found(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet").toPandas()
     bench = spark.read.parquet(f"{data}/benchmark.parquet").toPandas()
@@ -282,24 +345,84 @@ def test_syncmers_odd_rows(spark):
     assert one["edited_sha256"] == hashlib.sha256(b"abcdefab").hexdigest()
 
 
+def parts_of(anchors):
+    return [(a >> 32, a & 0xFFFFFFFF) for a in anchors]
+
+
+def pieces(text):
+    return re.findall(rf"[^\x20\x09-\x0D]{{1,{syncmers.PIECE}}}", text or "")
+
+
 def test_anchors_are_closed_syncmers(spark):
     """By definition: the smallest inner hash is the first or the last."""
-    text = " ".join(f"w{i * 7919 % 911}" for i in range(300)) + " long enough to be taken by its words"
-    df = spark.createDataFrame([(text,)], "t string")
-    tokens = WORD.findall(text)
-    k, s = syncmers.WORDS
-    mers = [tuple(tokens[i : i + s]) for i in range(len(tokens) - s + 1)]
-    hashed = spark.createDataFrame([(i, list(m)) for i, m in enumerate(mers)], "i int, m array<string>")
-    inner = {r["i"]: r["h"] for r in hashed.select("i", F.xxhash64(*[F.xxhash64(F.col("m")[j]) for j in range(s)]).alias("h")).collect()}
-    want = [i for i in range(len(tokens) - k + 1) if min(inner[i + j] for j in range(k - s + 1)) in (inner[i], inner[i + k - s])]
-    assert [a["pos"] for a in df.select(syncmers.anchors(F.col("t"))).first()[0]] == want
+    texts = [" ".join(f"w{i * 7919 % 911}" for i in range(300)), "x" * 100 + " short and longer-words-than-pieces", "中文没有空格，" * 9, "a b c d", "a b c", "", " \n"]
+    k, s = syncmers.K, syncmers.S
+    got = [r[0] for r in spark.createDataFrame(list(enumerate(texts)), "i int, t string").orderBy("i").select(syncmers.anchors(F.col("t"))).collect()]
+    for text, found in zip(texts, got):
+        tokens = pieces(text)
+        hashed = spark.createDataFrame([(i, t) for i, t in enumerate(tokens)] or [(-1, "")], "i int, t string")
+        inner = {r["i"]: r["h"] for r in hashed.select("i", F.xxhash64("t").alias("h")).collect()}
+        want = [i for i in range(len(tokens) - k + 1) if min(inner[i + j] for j in range(k - s + 1)) in (inner[i], inner[i + k - s])]
+        assert [p for _, p in parts_of(found)] == (want if len(tokens) >= k else [0] * bool(tokens))
+
+
+def brute_likeness(a, b):
+    """Closest meetings of one hash, walked in order; those that agree on the shift."""
+    line = sorted([(h, p, 0) for h, p in a] + [(h, p, 1) for h, p in b])
+    moved = [(x[1] - y[1]) * (1 - 2 * x[2]) for x, y in zip(line, line[1:]) if x[0] == y[0] and x[2] != y[2]]
+    best = 0
+    for by in (0, syncmers.SLACK // 2):
+        counts = pd.Series([(m + by) // syncmers.SLACK for m in moved], dtype=float).value_counts()
+        best = max(best, counts.max() if len(counts) else 0)
+    met = min(best, len(a), len(b))
+    return 1.0 if not a and not b else met / (len(a) + len(b) - met)
+
+
+def test_likeness_against_brute_force(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet").toPandas().sort_values("doc_id")
+    got = queries.op5_syncmers(spark, data).toPandas().set_index("doc_id").loc[docs["doc_id"]]
+    split = lambda f: [(int(f[i : i + 8], 16), int(f[i + 8 : i + 16], 16)) for i in range(0, len(f), 16)]
+    own = [split(f) for f in got["fingerprint"]]
+    direct = {r["doc_id"]: parts_of(r["a"]) for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", syncmers.anchors(F.col("text")).alias("a")).collect()}
+    assert [direct[i] for i in docs["doc_id"]] == own
+    for i, (a, e) in enumerate(zip(own, got["edited_fingerprint"])):
+        assert got["near_edited"].iloc[i] == pytest.approx(brute_likeness(a, split(e)))
+        assert got["near_next"].iloc[i] == pytest.approx(brute_likeness(a, own[(i + 1) % len(own)]))
 
 
 def test_positions_align(spark):
     body = " ".join(f"t{i * 31 % 997}" for i in range(200))
     df = spark.createDataFrame([("one two three " + body, body)], "a string, b string")
-    shift = df.select(syncmers.best_shift(syncmers.anchors(F.col("a")), syncmers.anchors(F.col("b"))).alias("s")).first()["s"]
-    assert shift["shift"] == 3 and shift["anchors"] > 50
+    moved = df.select(syncmers.shifts(syncmers.anchors(F.col("a")), syncmers.anchors(F.col("b")))).first()[0]
+    assert len(moved) > 50 and set(moved) == {3}
+
+
+def test_likeness_counts_only_what_aligns(spark):
+    """The same passages in another order are less alike than in order."""
+    part = [" ".join(f"{c}{i}" for i in range(200)) for c in "abcd"]
+    rows = [(1, " ".join(part)), (2, " ".join(reversed(part)))]
+    got = {r["doc_id"]: r["near_next"] for r in syncmers.compare_edited(docs_of(spark, [*rows, (3, "x " * 50 + rows[1][1]), (4, "end")])).collect()}
+    assert got[1] < 0.3 and got[2] > 0.85
+
+
+def test_likeness_across_lengths(spark):
+    """One rule for all lengths: texts on either side of any limit are compared alike."""
+    words = [f"{i * 7919 % 9973:04d}x" for i in range(400)]
+    for n in (10, 30, 69, 70, 120, 400):
+        text = " ".join(words[:n])
+        near = {r["doc_id"]: r["near_edited"] for r in syncmers.compare_edited(docs_of(spark, [(1, text), (2, "tiny")])).collect()}
+        assert (0.3 if n == 10 else 0.5) < near[1] < 0.8, (n, near)
+    solid = syncmers.compare_edited(docs_of(spark, [(1, "".join(words)), (2, "tiny")])).collect()
+    assert max(r["near_edited"] for r in solid if r["n_chars"] > 100) > 0.6
+
+
+def test_next_of_a_key_that_most_rows_share(spark):
+    docs = docs_of(spark, [(7, f"text number {i}") for i in range(300)] + [(None, f"none {i}") for i in range(100)] + [(i, f"own {i}") for i in range(40) if i != 7] + [(7, "same")] * 50)
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
+    got = syncmers.with_next(rows, "doc_id", ["text"], "tie").collect()
+    order = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["tie"], r["text"]) for r in rows.collect())
+    want = sorted((a[3], b[3]) for a, b in zip(order, order[1:] + order[:1]))
+    assert sorted((r["text"], r["next_text"]) for r in got) == want
 
 
 def test_likeness_across_the_short_limit(spark):
