@@ -31,6 +31,27 @@ query("sql_cast_time", "SELECT n_nationkey, '0' || (n_nationkey % 10) || ':15:00
 )
 
 
+query("sql_match_recognize", SQL["match_pattern"].replace("repeat('UP', CAST(length AS INTEGER)) AS classifiers", "'UP' AS last_classifier"))(
+    lambda e: e.sql("""
+    SELECT * FROM orders MATCH_RECOGNIZE (
+      PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
+      MEASURES FIRST(UP.o_orderkey) AS first_o_orderkey, LAST(UP.o_orderkey) AS last_o_orderkey, COUNT(*) AS length, MATCH_NUMBER() AS match_number, CLASSIFIER() AS last_classifier
+      ONE ROW PER MATCH AFTER MATCH SKIP PAST LAST ROW
+      PATTERN (UP{2,}) DEFINE UP AS UP.o_totalprice > PREV(UP.o_totalprice))""")
+)
+query("sql_match_running", """
+WITH m AS (SELECT *, LAG(o_totalprice) OVER w AS before, ROW_NUMBER() OVER w AS n FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)),
+f AS (SELECT *, coalesce(o_totalprice > before, FALSE) AS up FROM m), g AS (SELECT *, n - ROW_NUMBER() OVER (PARTITION BY o_custkey, up ORDER BY n) AS r FROM f),
+k AS (SELECT *, MIN(n) OVER (PARTITION BY o_custkey, r) AS b, MAX(n) OVER (PARTITION BY o_custkey, r) AS z FROM g WHERE up)
+SELECT o_orderkey, COUNT(*) OVER (PARTITION BY o_custkey, r ORDER BY n) AS so_far, z - b + 1 AS in_all, FIRST_VALUE(o_orderkey) OVER (PARTITION BY o_custkey, r ORDER BY n) AS began FROM k""")(
+    lambda e: e.sql("""
+    SELECT o_orderkey, so_far, in_all, began FROM orders MATCH_RECOGNIZE (
+      PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
+      MEASURES RUNNING COUNT(UP.*) AS so_far, FINAL COUNT(*) AS in_all, FIRST(o_orderkey) AS began
+      ALL ROWS PER MATCH AFTER MATCH SKIP PAST LAST ROW PATTERN (UP+) DEFINE UP AS o_totalprice > PREV(o_totalprice)) AS runs""")
+)
+
+
 @query("sql_system_time", SQL["snapshot_rows"])
 def sql_system_time(e):
     """The rows of a table with periods as they were at a time."""

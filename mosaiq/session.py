@@ -12,6 +12,7 @@ from .catalog import Catalog, Entity
 from .functions.registry import Registry
 from .operators.query import Query
 from .plans.dialect import Sql, join, literal, translate
+from .plans.patterns import expand
 
 if TYPE_CHECKING:
     from .operators.ddl import Database
@@ -71,7 +72,7 @@ class Engine:
     def sql(self, text: str, *args: Any, **named: Any) -> DataFrame:
         """A query in the accepted dialect. ``?`` takes the positional, ``:name``
         the named arguments; both may stand in LIMIT and OFFSET."""
-        plan = self.translated(text)
+        plan = self.translated(expand(self, text))
         df = self.spark.sql(plan, args=list(args) if args else named or None)
         for hook in self.hooks:
             hook(plan, df)
