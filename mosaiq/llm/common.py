@@ -34,7 +34,19 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path  # type: ignore[attr-defined]
+    return out
+
+
+def discard(df: DataFrame | None) -> None:
+    """Delete what :func:`materialize` wrote, once nothing will read it again;
+    other DataFrames are left alone."""
+    path = getattr(df, "_written_to", None)
+    if path is not None:
+        spark = df.sparkSession
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
 def ascii_lower(col: Column) -> Column:

@@ -10,9 +10,10 @@ which is fitted again with these. Margins of both are calibrated on labelled
 rows that no fit has used, and combined by a small logistic model.
 
 Bounds: a fit takes ``max_labelled`` labelled rows and of the pseudo-labelled
-ones ``max_taught`` for each view, those of the smallest hashes; their features
-come to the driver, their ids are the only broadcast. Scores, quantiles and
-the choice of confident rows cover every document, in one pass for each round.
+ones ``max_taught`` a round for each view, those of the smallest hashes; a view
+is fitted in one task, and the driver gets its weights. The ids of these rows
+are the only broadcast. Scores, quantiles and the choice of confident rows
+cover every document, in one pass for each round.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, materialize
+from .common import discard, fresh, materialize
 from .nbsvm import bucket_counts, labelled_sample, log_ratio, logistic
 from .ngrams import Grams, logistic_on_presence, packed
 
@@ -35,6 +36,8 @@ ORDERS, BITS = (1, 2, 3), 18
 _CLASSES = {"chars": 40, "words": 40, "word_length": 64, "line_length": 64, "words_by_line": 64, "lang": 64, "source": 256}
 _BEGIN = dict(zip(_CLASSES, np.concatenate([[0], np.cumsum(list(_CLASSES.values()))[:-1]]).tolist()))
 META = sum(_CLASSES.values())
+#: Buckets of the content view, classes of the metadata view.
+SIZES = (1 << BITS, META)
 
 
 def metadata(text: str | None, lang: object, source: object) -> np.ndarray:
@@ -74,21 +77,6 @@ class Views:
         return _sigmoid(np.column_stack([z, z @ self.both[:2] + self.both[2]]))
 
 
-@dataclass
-class Lessons:
-    """What a view learns from: rows of buckets with labels."""
-
-    rows: list[np.ndarray]
-    label: list[float]
-
-    def fitted(self, size: int) -> tuple[np.ndarray, float]:
-        y = np.array(self.label, np.float32)
-        n = bucket_counts(self.rows, y, size)
-        ratio = log_ratio(n[1], n[0], float((y == 1).sum()), float((y == 0).sum()))
-        w, b = logistic_on_presence(self.rows, ratio, y)
-        return w.astype(np.float32), b
-
-
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
@@ -99,8 +87,8 @@ def _platt(m: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(0.0, float(w[0])) / scale, b
 
 
-def _features(rows: DataFrame, *kept: str) -> list:
-    """(kept columns, content buckets, metadata classes) of ``rows``, of which there is a bounded number."""
+def _features(rows: DataFrame, *kept: str) -> DataFrame:
+    """The kept columns, with the content buckets and metadata classes of each row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         grams = Grams(ORDERS, BITS, False)
@@ -110,13 +98,35 @@ def _features(rows: DataFrame, *kept: str) -> list:
             yield pd.DataFrame({**{c: b[c] for c in kept}, "content": a, "meta": m})
 
     schema = ", ".join(f"{c} {dict(rows.dtypes)[c]}" for c in kept)
-    return list(rows.mapInPandas(run, f"{schema}, content binary, meta binary").collect())
+    return rows.mapInPandas(run, f"{schema}, content binary, meta binary")
 
 
 def _unpack(found: bytes) -> np.ndarray:
     return np.frombuffer(found, "<i4")
 
 
+def _learn(lesson: pd.DataFrame) -> pd.DataFrame:
+    """The weights of a view from its rows (``view``, ``id``, ``label``, ``found``)."""
+    lesson = lesson.sort_values(["id", "label"], kind="stable")
+    view = int(lesson["view"].iat[0])
+    rows, y = [_unpack(x) for x in lesson["found"]], lesson["label"].to_numpy(np.float32)
+    n = bucket_counts(rows, y, SIZES[view])
+    ratio = log_ratio(n[1], n[0], float((y == 1).sum()), float((y == 0).sum()))
+    w, b = logistic_on_presence(rows, ratio, y)
+    return pd.DataFrame({"view": [view], "weight": [w.astype("<f4").tobytes()], "bias": [b]})
+
+
+def _fitted(lessons: DataFrame) -> list[tuple[np.ndarray, float]]:
+    got = lessons.groupBy("view").applyInPandas(_learn, "view int, weight binary, bias double").collect()
+    return [(np.frombuffer(bytes(r["weight"]), "<f4"), r["bias"]) for r in sorted(got, key=lambda r: r["view"])]
+
+
+def _views(rows: DataFrame) -> DataFrame:
+    """A row for each view of rows that have both."""
+    both = F.array(*[F.struct(F.lit(v).alias("view"), F.col(n).alias("found")) for v, n in enumerate(("content", "meta"))])
+    return rows.select("id", "label", F.inline(both)).select("view", "id", F.col("label").cast("int").alias("label"), "found")
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -127,7 +137,7 @@ def fit(
     rounds: int = 3,
     share: float = 0.03,
     max_labelled: int = 6_000,
-    max_taught: int = 6_000,
+    max_taught: int = 4_000,
 ) -> Views:
     """Co-train on labels that ``train`` admits; ``share`` of all unlabelled
     rows is labelled by either view in each round. Without both labels among
@@ -136,23 +146,23 @@ def fit(
     known = materialize(labelled_sample(labels, label, train, max_labelled, key), "known")
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(key, "text").alias("id"), "text", "lang", "source")
     side = F.broadcast(known.select(F.col(key).alias("key"), "label"))
-    got = _features(rows.join(side, "key"), "id", "label")
-    got.sort(key=lambda r: (r["id"], r["label"]))
-    label_of = np.array([r["label"] for r in got], int)
-    if len(set(label_of)) < 2:
-        p = (label_of.sum() + 1) / (len(label_of) + 2)
-        nothing = (np.zeros(1 << BITS, np.float32), 0.0), (np.zeros(META, np.float32), 0.0)
+    held = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(4)) == 0
+    got = materialize(_features(rows.join(side, "key"), "id", "label").withColumn("held", held), "labelled")
+    count = {(r["held"], r["label"]): r["count"] for r in got.groupBy("held", "label").count().collect()}
+    seen = {v: count.get((True, v), 0) + count.get((False, v), 0) for v in (0, 1)}
+    if not seen[0] or not seen[1]:
+        p = (seen[1] + 1) / (seen[0] + seen[1] + 2)
+        nothing = (np.zeros(SIZES[0], np.float32), 0.0), (np.zeros(SIZES[1], np.float32), 0.0)
         return Views(*nothing, np.array([[1.0, 1.0], [0.0, 0.0]]), np.array([0.0, 0.0, np.log(p / (1 - p))]))
-    test = np.arange(len(got)) % 4 == 0
-    if len(set(label_of[test])) < 2 or len(set(label_of[~test])) < 2:
-        test = np.ones(len(got), bool)
-    first = ~test if not test.all() else test
-    names, sizes = ("content", "meta"), (1 << BITS, META)
-    lessons = [Lessons([_unpack(got[i][n]) for i in np.flatnonzero(first)], label_of[first].astype(float).tolist()) for n in names]
-    prior = float(np.clip(label_of[first].mean(), 0.05, 0.95))
+    # too few labels to hold any back: all are learnt from and calibrated on
+    apart = all(count.get((h, v)) for h in (True, False) for v in (0, 1))
+    first, test = (got.where(~F.col("held")), got.where("held")) if apart else (got, got)
+    positive = count[False, 1] / (count[False, 0] + count[False, 1]) if apart else seen[1] / (seen[0] + seen[1])
+    prior = float(np.clip(positive, 0.05, 0.95))
+    lessons = _views(first)
     pool = rows.join(side, "key", "left_anti")
-    models = [x.fitted(s) for x, s in zip(lessons, sizes)]
-    taught: list[set[int]] = [set(), set()]
+    models = _fitted(lessons)
+    taught = None
     for _ in range(rounds):
         scored = materialize(_margins(pool, models), "margins")
         cuts = scored.agg(*[F.percentile_approx(c, [share * (1 - prior), 1 - share * prior], 10_000) for c in ("a", "b")]).first()
@@ -164,24 +174,37 @@ def fit(
             low, high = (F.lit(float(x)) for x in cuts[me])
             # only what the view is sure of: its own side of the margin
             sure = F.when((m <= low) & (m < 0), 0).when((m >= high) & (m > 0), 1)
-            chosen = scored.select("id", sure.alias("label")).where("label IS NOT NULL").distinct().orderBy(F.xxhash64("id"), "id").limit(max_taught)
-            picks.append(chosen.withColumn("view", F.lit(other)))
+            chosen = scored.select("id", sure.alias("label"), F.lit(other).alias("view")).where("label IS NOT NULL").distinct()
+            if taught is not None:
+                chosen = chosen.join(F.broadcast(taught.select("view", "id")), ["view", "id"], "left_anti")
+            picks.append(chosen.select("id", "label", "view").orderBy(F.xxhash64("id"), "id").limit(max_taught))
         chosen = materialize(picks[0].unionByName(picks[1]), "chosen")
-        got_now = _features(pool.join(F.broadcast(chosen), "id").dropDuplicates(["id", "view"]), "id", "label", "view")
-        for r in sorted(got_now, key=lambda r: (r["view"], r["id"])):
-            view = r["view"]
-            if r["id"] not in taught[view] and len(taught[view]) < max_taught:
-                taught[view].add(r["id"])
-                lessons[view].rows.append(_unpack(r[names[view]]))
-                lessons[view].label.append(float(r["label"]))
-        models = [x.fitted(s) for x, s in zip(lessons, sizes)]
-    y = label_of[test].astype(np.float32)
-    margins = np.array([[b + float(w[_unpack(got[i][n])].sum()) for (w, b), n in zip(models, names)] for i in np.flatnonzero(test)])
+        new = _features(pool.join(F.broadcast(chosen), "id").dropDuplicates(["id", "view"]), "id", "label", "view")
+        own = new.select("view", "id", "label", F.when(F.col("view") == 0, F.col("content")).otherwise(F.col("meta")).alias("found"))
+        before, taught = taught, materialize(own if taught is None else taught.unionByName(own), "taught")
+        models = _fitted(lessons.unionByName(taught))
+        for done in (scored, chosen, before):
+            discard(done)
+    margins, y = _tested(test, models)
     scale = np.array([_platt(margins[:, k], y) for k in (0, 1)]).T
     w, c = logistic((margins * scale[0] + scale[1]).astype(np.float32), y, l2=1e-2)
     return Views(*models, scale, np.array([*np.maximum(w, 0), c], float))
 
 
+def _tested(rows: DataFrame, models: list[tuple[np.ndarray, float]]) -> tuple[np.ndarray, np.ndarray]:
+    """Margins and labels of bounded rows of features."""
+    shared = rows.sparkSession.sparkContext.broadcast(models)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            m = [[bias + float(w[_unpack(x)].sum()) for x in b[n]] for (w, bias), n in zip(shared.value, ("content", "meta"))]
+            yield pd.DataFrame({"id": b["id"], "label": b["label"], "a": m[0], "b": m[1]})
+
+    got = rows.select("id", F.col("label").cast("int").alias("label"), "content", "meta").mapInPandas(run, "id long, label int, a double, b double").collect()
+    got.sort(key=lambda r: (r["id"], r["label"], r["a"]))
+    return np.array([(r["a"], r["b"]) for r in got]), np.array([r["label"] for r in got], np.float32)
+
+
 def _margins(rows: DataFrame, models: list[tuple[np.ndarray, float]]) -> DataFrame:
     """(``id``, ``a``, ``b``): the margins of both views of every row."""
     shared = rows.sparkSession.sparkContext.broadcast(Views(*models, np.zeros((2, 2)), np.zeros(3)))
