@@ -98,8 +98,11 @@ def mix(
     position (0..1), its number and its words. Rows that the mix does not
     take have empty ``positions``. ``schedules`` are dealt to the sources in
     code point order, null last, again and again. ``cap`` bounds the copies.
-    Columns of these names are replaced. Repeated rows are rows of their own;
-    null keys are allowed. ``size`` and ``digest`` (a hash of the text, for the
+    Columns of these names are replaced, others stay whatever their names.
+    Repeated rows are rows of their own; null keys, texts and sources are
+    allowed (null sources are one source); empty texts have no words and are
+    never taken; very long ones are counted whole, and the last copy that a
+    source's target reaches is cut; an empty table gives an empty one. ``size`` and ``digest`` (a hash of the text, for the
     random order) may be given where they are known; they come from ``text``
     otherwise.
     """
@@ -146,6 +149,13 @@ def mix(
     return docs.drop(u, sized_source, sized_u, bucket, before, start, rank)
 
 
+def by_position(mixed: DataFrame) -> DataFrame:
+    """``mixed`` range-sorted by the training position of each row's first copy;
+    rows that the mix does not take come last."""
+    first = F.coalesce(F.get("positions", F.lit(0))["position"], F.lit(2.0))
+    return mixed.repartitionByRange(first).sortWithinPartitions(first)
+
+
 def training_order(mixed: DataFrame) -> DataFrame:
     """The training sequence: a row for each copy, range-sorted by position
     (each output file holds one stretch of training time, in order)."""

@@ -58,7 +58,7 @@ CURRICULUM = (
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     sized = materialize(docs.select("doc_id", "source", count_words(F.col("text")).alias("size"), F.xxhash64("text").alias("digest")), "sized")
-    mixed = mixing.mix(sized, schedules=CURRICULUM, size=F.col("size"), digest=F.col("digest"))
+    mixed = mixing.by_position(mixing.mix(sized, schedules=CURRICULUM, size=F.col("size"), digest=F.col("digest")))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", F.col("positions.position").alias("positions"))
 
 
