@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 #: Tasks over which the links of a hub are dealt.
 DEALT = 16
@@ -41,7 +41,8 @@ def components(links: DataFrame) -> DataFrame:
         large = _smallest(both).where("v > u AND v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         small = _smallest(large)
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
-        links = materialize(small.where("u <> v").distinct(), "links")
+        last, links = links, materialize(small.where("u <> v").distinct(), "links")
+        discard(last)
         now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if now == before:
             break

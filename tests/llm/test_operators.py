@@ -166,6 +166,21 @@ def test_url_filter(spark, rules):
     assert url_filter.judge_urls(pages.limit(0), spark.createDataFrame([], "host string, path string, action string")).count() == 0
 
 
+def test_many_nested_rules(spark):
+    """Rules by the hundreds, nested at random, in many shards."""
+    rng = np.random.default_rng(5)
+    hosts = ["com", "net", *[f"{a}.com" for a in "abc"], *[f"{a}.{b}.com" for a in "xyz" for b in "abc"]]
+    paths = ["", "/", "/a", "/a/", "/a/b", "/ab", "/a/b/c", "/z"]
+    rules = sorted({(hosts[rng.integers(len(hosts))], paths[rng.integers(len(paths))], ("allow", "block")[rng.integers(2)]) for _ in range(60)})
+    rules = list({(h, p): (h, p, a) for h, p, a in rules}.values())
+    urls = [f"http://{'w.' * int(rng.integers(3))}{hosts[rng.integers(len(hosts))]}{paths[rng.integers(len(paths))]}{'x' * int(rng.integers(3))}" for _ in range(400)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+    got = url_filter.judge_urls(pages, spark.createDataFrame(rules, "host string, path string, action string")).collect()
+    assert len(got) == len(urls)
+    for r in got:
+        assert (r["host"], r["path"], r["rule"], r["verdict"]) == brute_judge(r["url"], rules), r["url"]
+
+
 def test_op2_sql(spark, data):
     assert_same(queries.op2_url_filter(spark, data), connect(data), queries.OP2_SQL)
 
@@ -192,6 +207,8 @@ def test_mixing(spark, data):
         want = 2 * sizes[s] if s in capped else level * weight[s]
         assert part["target"].iloc[0] == pytest.approx(want) and abs(part["taken"].sum() - want) <= 1
     assert (got["taken"] <= 2 * got["size"]).all()
+    first = [p[0] if len(p) else 2.0 for p in got["positions"]]
+    assert len(got) == len(docs) and first == sorted(first)
     again = queries.op3_mixing(spark, data).toPandas().sort_values("doc_id")
     assert again["taken"].tolist() == got.sort_values("doc_id")["taken"].tolist()
 
