@@ -35,7 +35,9 @@ SHORTEST = 4
 BROADCAST = 500_000
 
 NUM, UNIT, NAME = "\ue000", "\ue001", "\ue002"
-_WS = r"\x20\x09-\x0D"
+#: Inside a character class. Characters below 256 are listed one by one, as the
+#: regex engine looks these up in a table and tries ranges in turn.
+_WS = r"\x20\x09\x0A\x0B\x0C\x0D"
 #: Units of measure and currency that may follow a number.
 UNITS = (
     "mm|cm|m|km|in|inch|inches|ft|foot|feet|yd|yard|yards|mi|mile|miles|mg|g|kg|gram|grams|kilogram|kilograms|t|ton|tons|oz|lb|lbs|pound|pounds|"
@@ -50,8 +52,9 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-#: ASCII and general punctuation and symbols, inside a character class.
-_PUNCT = r"!-/:-@\[-`{-~\u00a1-\u00a9\u00ab-\u00b1\u00b4\u00b6-\u00b8\u00bb\u00bf\u2010-\u2027\u2030-\u205e\u3001-\u3003\u3008-\u3011"
+#: ASCII and Latin punctuation and symbols, then ranges of general ones.
+_MARKS = [*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F), *range(0xA1, 0xAA), *range(0xAB, 0xB2), 0xB4, *range(0xB6, 0xB9), 0xBB, 0xBF]
+_PUNCT = "".join(rf"\x{c:02X}" for c in _MARKS) + r"\u2010-\u2027\u2030-\u205e\u3001-\u3003\u3008-\u3011"
 
 
 def canonical(text: Column) -> Column:
@@ -70,6 +73,20 @@ def _words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(rf"[^{_WS}]+"), F.lit(0))
 
 
+def _rolled(h: Column, width: int) -> Column:
+    """A hash of every ``width`` neighbours of ``h``, made of hashes of halves."""
+    if width == 1:
+        return h
+    half = width // 2
+
+    def joined(a: Column) -> Column:
+        n = F.size(h) - width + 1
+        pairs = F.zip_with(F.slice(a, 1, n), F.slice(a, half + 1, n), lambda x, y: F.xxhash64(x, y))
+        return F.zip_with(pairs, F.slice(h, width, n), lambda x, y: F.xxhash64(x, y)) if width % 2 else pairs
+
+    return let(_rolled(h, half), joined)
+
+
 _WINDOWS = "array<struct<pos:int,key:bigint,slots:array<string>>>"
 
 
@@ -80,28 +97,44 @@ def windows(text: Column, width: int, narrow: Sequence[int] = ()) -> Column:
     slot = rf"[{NUM}-{NAME}]"
     none = F.lit(None).cast("array<string>")
 
-    def positions(keys: Column, n: Column) -> Column:
-        return F.sequence(F.lit(1), F.size(keys) - n + 1)
+    def short(keys: Column, n: Column) -> Column:
+        """Keys of windows of fewer than ``width`` words."""
+        return F.transform(F.sequence(F.lit(1), F.size(keys) - n + 1), lambda i: F.xxhash64(F.slice(keys, i, n)))
 
-    def literal(k: Column, n: Column) -> Column:
-        return F.transform(positions(k, n), lambda i: F.struct(i.alias("pos"), F.xxhash64(F.slice(k, i, n)).alias("key"), none.alias("slots")))
+    def placed(keys: Column, slots: Callable[[Column], Column] | None, n: Column | int) -> Column:
+        def window(key: Column, i: Column) -> Column:
+            if slots is None:
+                return F.struct((i + 1).alias("pos"), key.alias("key"), none.alias("slots"))
+            return let(slots(i), lambda s: F.struct((i + 1).alias("pos"), key.alias("key"), F.when(F.size(s) > 0, s).alias("slots")))
 
-    def slotted(k: Column, words: Column, raw: Column, n: Column) -> Column:
+        return F.transform(keys, window)
+
+    def of_width(k: Column, n: Column | int, whole: bool) -> Column:
+        return _rolled(k, width) if whole else short(k, F.lit(n) if isinstance(n, int) else n)
+
+    def slotted(k: Column, words: Column, raw: Column, n: Column | int, whole: bool) -> Column:
         plain = F.transform(raw, lambda w: F.xxhash64(F.lower(w)))
         values = F.zip_with(words, raw, lambda w, r: F.when(w.rlike(slot), r))
+        length = F.lit(n) if isinstance(n, int) else n
 
-        def window(i: Column, p: Column, v: Column) -> Column:
-            key = lambda s: F.when(F.size(s) * 2 <= n, F.xxhash64(F.slice(k, i, n))).otherwise(F.xxhash64(F.slice(p, i, n), F.lit(1)))
-            return let(F.array_compact(F.slice(v, i, n)), lambda s: F.struct(i.alias("pos"), key(s).alias("key"), F.when(F.size(s) > 0, s).alias("slots")))
+        def both(a: Column, p: Column, v: Column) -> Column:
+            held = lambda i: F.array_compact(F.slice(v, i + 1, length))
+            literal_key = lambda x, i: F.when(F.size(held(i)) * 2 <= length, x).otherwise(F.xxhash64(F.get(p, i), F.lit(1)))
+            return placed(F.transform(a, literal_key), held, n)
 
-        return let(plain, lambda p: let(values, lambda v: F.transform(positions(k, n), lambda i: window(i, p, v))))
+        keys, plains = of_width(k, n, whole), let(plain, lambda p: of_width(p, n, whole))
+        return let(keys, lambda a: let(plains, lambda p: let(values, lambda v: both(a, p, v))))
 
     def made(canon: Column, words: Column) -> Column:
         def keyed(k: Column) -> Column:
-            either = lambda n: F.when(canon.rlike(slot), slotted(k, words, _words(text), n)).otherwise(literal(k, n))
-            main = let(F.least(F.size(k), F.lit(width)), either)
-            more = [F.when(F.size(k) > w, either(F.lit(w))).otherwise(F.array().cast(_WINDOWS)) for w in narrow]
-            return F.when(F.size(k) > 0, F.concat(main, *more) if more else main)
+            has_slots = canon.rlike(slot)
+
+            def either(n: Column | int, whole: bool) -> Column:
+                return F.when(has_slots, slotted(k, words, _words(text), n, whole)).otherwise(placed(of_width(k, n, whole), None, n))
+
+            main = F.when(F.size(k) >= width, either(width, True)).when(F.size(k) > 0, let(F.size(k), lambda n: either(n, False)))
+            more = [F.when(F.size(k) > w, either(w, False)).otherwise(F.array().cast(_WINDOWS)) for w in narrow]
+            return F.concat(main, *more) if more else main
 
         return let(F.transform(words, lambda w: F.xxhash64(w)), keyed)
 
