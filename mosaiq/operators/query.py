@@ -30,6 +30,8 @@ class Query:
     def __init__(self, engine: Engine, df: DataFrame, entity: Entity | None = None, order: tuple[Column, ...] = (), flipped: tuple[Column, ...] = (), ignoring: bool = False) -> None:
         self.engine, self.df, self.entity = engine, df, entity
         self._order, self._flipped, self._ignoring = order, flipped, ignoring
+        #: Of a left join to rows that a key tells apart: the left side alone.
+        self._left_side: DataFrame | None = None
 
     def _with(self, df: DataFrame, *, entity: bool = True, order: bool = True) -> Query:
         return Query(self.engine, df, self.entity if entity else None, self._order if order else (), self._flipped if order else (), self._ignoring)
@@ -63,6 +65,10 @@ class Query:
     # projection
 
     def select(self, *columns: str | Column, **named: Column) -> Query:
+        """The given columns. A left join whose right side they leave out, and
+        which cannot repeat rows, is not made."""
+        if self._left_side is not None and not named and all(isinstance(c, str) for c in columns):
+            return self._with(rewrites.drop_unused_join(self.df, self._left_side, list(columns), True), entity=False)
         return self._with(self.df.select(*columns, *[c.alias(n) for n, c in named.items()]), entity=False)
 
     def extend(self, **named: Column) -> Query:
@@ -99,7 +105,10 @@ class Query:
         rights = [b[k] if isinstance(k, str) else k for k in ([right] if isinstance(right, (str, Column)) else right)]
         if len(lefts) != len(rights):
             raise ValueError("as many keys on either side, please")
-        return self._with(self.df.join(b, [x == y for x, y in zip(lefts, rights)], how), entity=False, order=False)
+        out = self._with(self.df.join(b, [x == y for x, y in zip(lefts, rights)], how), entity=False, order=False)
+        if how == "left" and isinstance(other, Query) and other.entity is not None and tuple(_listed(right)) == other.entity.key:
+            out._left_side = self.df
+        return out
 
     def left_join(self, other: Query | DataFrame, left: Keys, right: Keys) -> Query:
         return self.join(other, left, right, "left")

@@ -20,6 +20,7 @@ query("default_if_empty", "SELECT c_custkey, o_orderkey FROM customer LEFT JOIN
     lambda e: e.sql("SELECT c_custkey, x.o_orderkey FROM customer OUTER APPLY (SELECT o_orderkey FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 300000) x")
 )
 query("join_left", "SELECT c_custkey, o_orderkey FROM customer LEFT JOIN orders ON c_custkey = o_custkey")(lambda e: e.set("customer").left_join(e.set("orders"), "c_custkey", "o_custkey").select("c_custkey", "o_orderkey"))
+query("join_eliminated", "SELECT o_orderkey, o_custkey FROM orders LEFT JOIN customer ON o_custkey = c_custkey")(lambda e: e.set("orders").left_join(e.set("customer"), "o_custkey", "c_custkey").select("o_orderkey", "o_custkey"))
 query("join_right", "SELECT c_custkey, o_orderkey FROM orders RIGHT JOIN customer ON c_custkey = o_custkey")(lambda e: e.set("orders").join(e.set("customer"), "o_custkey", "c_custkey", "right").select("c_custkey", "o_orderkey"))
 query("join_full", "SELECT r_name, s_name FROM region FULL JOIN supplier ON r_regionkey = s_nationkey")(lambda e: e.set("region").join(e.set("supplier"), "r_regionkey", "s_nationkey", "full").select("r_name", "s_name"))
 query("join_composite", "SELECT a.l_orderkey, a.l_linenumber, b.l_quantity FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber + 1 = b.l_linenumber")(lambda e: _composite(e))

@@ -424,3 +424,33 @@ def test_entry_without_the_training_data_package(monkeypatch):
     monkeypatch.setitem(sys.modules, "mosaiq.llm.queries", None)
     monkeypatch.setitem(sys.modules, "mosaiq.llm", None)
     assert "flagship" in entry.queries() and not any(q.startswith("op") for q in entry.queries())
+
+
+def test_retries_end_and_pass_on_what_stays():
+    import pytest
+
+    from mosaiq.operators.retry import Strategy
+
+    calls = []
+
+    def flaky():
+        calls.append(1)
+        if len(calls) < 3:
+            raise OSError("Connection reset by peer")
+        return "done"
+
+    waits = []
+    assert Strategy(sleep=waits.append).run(flaky) == "done" and len(calls) == 3 and waits[1] > waits[0]
+    with pytest.raises(ValueError):
+        Strategy(sleep=waits.append).run(lambda: (_ for _ in ()).throw(ValueError("no")))
+    with pytest.raises(TimeoutError):
+        Strategy(retries=2, sleep=waits.append).run(lambda: (_ for _ in ()).throw(TimeoutError()))
+
+
+def test_unused_left_join_is_not_made(spark, data):
+    from mosaiq.plans.suite import engine
+
+    e = engine(spark, data)
+    joined = e.set("orders").left_join(e.set("customer"), "o_custkey", "c_custkey")
+    assert "Join" not in e.explain(joined.select("o_orderkey").df) and "Join" in e.explain(joined.select("o_orderkey", "c_name").df)
+    assert "Join" in e.explain(e.set("customer").left_join(e.set("orders"), "c_custkey", "o_custkey").select("c_name").df)
