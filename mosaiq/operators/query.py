@@ -62,6 +62,10 @@ class Query:
             raise ValueError("only an entity has filters")
         return Query(self.engine, self.engine.catalog.frame(self.entity, filtered=False), self.entity, ignoring=True)
 
+    def tag_with(self, tag: str) -> Query:
+        """The same rows; the plan says ``tag``, so a query is found in explanations and in the cluster's listing."""
+        return self._with(self.df.alias(tag))
+
     # projection
 
     def select(self, *columns: str | Column, **named: Column) -> Query:

@@ -454,3 +454,33 @@ def test_unused_left_join_is_not_made(spark, data):
     joined = e.set("orders").left_join(e.set("customer"), "o_custkey", "c_custkey")
     assert "Join" not in e.explain(joined.select("o_orderkey").df) and "Join" in e.explain(joined.select("o_orderkey", "c_name").df)
     assert "Join" in e.explain(e.set("customer").left_join(e.set("orders"), "c_custkey", "o_custkey").select("c_name").df)
+
+
+def test_tags_stand_in_the_plan(spark, data):
+    from mosaiq.plans.suite import engine
+
+    e = engine(spark, data)
+    tagged = e.set("nation").where("n_regionkey = 1").tag_with("nations of one region").order_by("n_nationkey")
+    assert "nations of one region" in e.explain(tagged.df) and [r["n_nationkey"] for r in tagged.rows()] == [1, 6, 11, 16, 21]
+
+
+def test_changes_by_text_and_their_faults(spark, tmp_path):
+    import pytest
+
+    from mosaiq.operators.ddl import Database
+    from mosaiq.session import Engine
+
+    e = Engine(spark)
+    with pytest.raises(LookupError):
+        e.execute("DELETE FROM t")
+    db = Database(e.spark, f"file://{tmp_path}/db")
+    db.create_table("t", [("k", "INTEGER", False), ("v", "VARCHAR")], key=["k"])
+    e.attach(db)
+    assert e.execute("INSERT INTO t VALUES (1, 'a,b (c)'), (2, DEFAULT)") == 2
+    assert e.execute("INSERT INTO main.t (v, k) VALUES (?, ?)", "x?", 3) == 1
+    assert e.execute("UPDATE t SET v = CONCAT(v, ', ', ?), k = k + 10 WHERE v IS NOT NULL AND k < (1 + 1)", "y") == 1
+    assert sorted(map(tuple, e.sql("SELECT k, v FROM t").collect())) == [(2, None), (3, "x?"), (11, "a,b (c), y")]
+    assert e.execute("UPDATE t SET v = DEFAULT") == 3 and e.execute("DELETE FROM t WHERE k = 2") == 1 and e.execute("DELETE FROM t WHERE k = 2") == 0
+    for bad in ("DROP TABLE t", "UPDATE t v = 1", "DELETE FROM none"):
+        with pytest.raises((ValueError, LookupError)):
+            e.execute(bad)
