@@ -49,6 +49,22 @@ def discard(df: DataFrame | None) -> None:
         at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
+def numbered(df: DataFrame, order: Column, to: str) -> DataFrame:
+    """``df`` with ``to``: each row's number, from 0, in an order without ties.
+    Rows are dealt by ranges and numbered where they lie; the driver sees one
+    count for each range."""
+    part, at = fresh(df, "part", "at")
+    ranged = df.repartitionByRange(order).sortWithinPartitions(order)
+    placed = ranged.select("*", F.spark_partition_id().alias(part), F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)).alias(at))
+    placed = materialize(placed, "numbered")
+    done, before = 0, []
+    for r in sorted(placed.groupBy(part).count().collect(), key=lambda r: r[part]):
+        before += [F.lit(r[part]), F.lit(done).cast("long")]
+        done += r["count"]
+    first = F.element_at(F.create_map(*before), F.col(part)) if before else F.lit(0).cast("long")
+    return placed.withColumn(to, first + F.col(at)).drop(part, at)
+
+
 def ascii_lower(col: Column) -> Column:
     """A-Z to a-z, every other character untouched."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -23,9 +23,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import count_words, fresh, materialize, unit_hash
+from .common import count_words, fresh, materialize, numbered, unit_hash
 
 #: Documents that one hash range of a source holds, about.
 RANGE = 4_000
@@ -116,9 +115,7 @@ def mix(
 
     # one row for each source and its rank, by a distributed sort
     by_source = docs.groupBy(F.col(source).alias("source")).agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
-    schema = T.StructType([*by_source.schema.fields, T.StructField("rank", T.LongType())])
-    ranked = materialize(by_source, "sizes").orderBy(F.col("source").asc_nulls_last()).rdd.zipWithIndex().map(lambda x: (*x[0], x[1]))
-    sources = source_targets(spark.createDataFrame(ranked, schema), total_share, cap, weights)
+    sources = source_targets(numbered(by_source, F.col("source").asc_nulls_last(), "rank"), total_share, cap, weights)
     sources = sources.withColumn("ranges", F.ceil(F.col("n") / F.lit(RANGE)).cast("long"))
     # a few ten thousand sources fit a broadcast; Spark decides by the written table's size
     sources = materialize(sources, "targets")
