@@ -668,6 +668,84 @@ def test_drop_toxic_keeps_clashing_columns(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == list(range(0, 100, 2))
 
 
+def brute_buckets(text, orders, bits, lower):
+    """Distinct buckets of all n-grams, in plain integers."""
+    mask, prime, mix = 2**32 - 1, 16777619, 2654435761
+    whole = f" {text or ''} "
+    whole = whole.lower() if lower else whole
+    out = set()
+    for n in orders:
+        for i in range(len(whole) - n + 1):
+            h = 0
+            for k, c in enumerate(whole[i : i + n], 1):
+                h = (h * prime + ((ord(c) + k) & mask) * mix) & mask
+            out.add((((h ^ (h >> 15)) * mix) & mask) >> (32 - bits))
+    return out
+
+
+def test_toxicity_against_brute_force(spark):
+    """Ratios, the fit and the scores by their formulas, row by row."""
+    words = "you are a stupid idiot today my kind friend and neighbour é 中文".split()
+    rng = np.random.default_rng(11)
+    rows = [(i, " ".join(rng.choice(words, int(rng.integers(1, 9)))) + (" moron" if i % 3 == 0 else "")) for i in range(90)]
+    docs = docs_of(spark, [*rows, (1000, None), (1001, "")])
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.fit_toxicity(docs, labels)
+    train = [r["doc_id"] for r in labels.where(~toxicity.held_out(F.col("doc_id"))).collect()]
+    text = dict(rows)
+    sets = {i: brute_buckets(text.get(i), model.orders, model.bits, model.lower) for i in [*text, 1000, 1001]}
+    order = [r["doc_id"] for r in docs.where(F.col("doc_id").isin(train)).orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).collect()]
+    y = [int(i % 3 == 0) for i in order]
+    n_pos, n_neg = sum(y), len(y) - sum(y)
+    seen = {}
+    for i, v in zip(order, y):
+        for b in sets[i]:
+            seen.setdefault(b, [0, 0])[v] += 1
+    ratio = {}
+    for b, (neg, pos) in seen.items():
+        r = math.log(((pos + 1) / (n_pos + 2)) / ((neg + 1) / (n_neg + 2)))
+        z4 = (r / math.sqrt(1 / (pos + 1) + 1 / (neg + 1))) ** 4
+        ratio[b] = r * z4 / (z4 + 81)
+    w, total, later, epochs, batch, rate = dict.fromkeys(ratio, 0.0), dict.fromkeys(ratio, 0.0), 0, 5, 32, 0.5
+    bias, bias_total = math.log(n_pos / n_neg), 0.0
+    norm = [sum(ratio[b] ** 2 for b in sets[i]) + 1 for i in order]
+    at = np.random.default_rng(42).permutation(len(order))
+    for epoch in range(epochs):
+        for a in range(0, len(order), batch):
+            part = at[a : a + batch]
+            err = [1 / (1 + math.exp(-(bias + sum(w[b] * ratio[b] for b in sets[order[k]])))) - y[k] for k in part]
+            for k, e in zip(part, err):
+                for b in sets[order[k]]:
+                    w[b] -= 4 * rate / norm[k] * e * ratio[b]
+            bias -= 0.1 * rate * sum(err) / len(err)
+        if epoch >= epochs // 2:
+            later, bias_total = later + 1, bias_total + bias
+            for b in w:
+                total[b] += w[b]
+    want = {i: 1 / (1 + math.exp(-(bias_total / later + sum(total[b] / later * ratio[b] for b in found if b in ratio)))) for i, found in sets.items()}
+    got = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(docs, model).collect()}
+    assert set(got) == set(want) and all(got[i] == pytest.approx(want[i], abs=2e-3) for i in want)
+
+
+def test_quality_scores_against_brute_force(spark):
+    """Both views' margins, their calibration and their sum by definition."""
+    docs = docs_of(spark, [*[(i, f"{'good calm words' if i % 2 else 'BAD!! LOUD!!'} {i * 7919 % 101}\nline") for i in range(80)], *[(i + 100, t) for i, (_, t) in enumerate(ODD[:5])]])
+    model = cotraining.fit(docs, spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int"), F.lit(True), rounds=2, share=0.2)
+    got = {r["doc_id"]: r for r in cotraining.score_quality(docs, model).collect()}
+    sigmoid = lambda x: 1 / (1 + math.exp(-x))
+    for r in docs.collect():
+        content = model.content[1] + sum(float(model.content[0][b]) for b in brute_buckets(r["text"], cotraining.ORDERS, cotraining.BITS, False))
+        meta = model.meta[1] + sum(float(model.meta[0][k]) for k in cotraining.metadata(r["text"], r["lang"], r["source"]))
+        z = [m * model.scale[0][k] + model.scale[1][k] for k, m in enumerate((content, meta))]
+        want = [sigmoid(z[0]), sigmoid(z[1]), sigmoid(z[0] * model.both[0] + z[1] * model.both[1] + model.both[2])]
+        assert [got[r["doc_id"]][k] for k in ("content_score", "metadata_score", "score")] == pytest.approx(want, abs=1e-4)
+
+
+def test_metadata_knows_no_characters():
+    a, b = cotraining.metadata("abc de\nfgh", "en", "s"), cotraining.metadata("XY! 4?\n中文字", "en", "s")
+    assert a.tolist() == b.tolist() and len(set(a.tolist())) == 7 and cotraining.metadata(None, None, None).max() < cotraining.META
+
+
 def test_logistic_separates():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(400, 3)).astype(np.float32)
@@ -915,6 +993,36 @@ def test_kept_columns_with_names_of_the_output(spark):
     assert {r["date"] for r in warc.responses(pages, date=F.lit("2020-01-01T00:00:00Z")).collect()} == {"2020-01-01T00:00:00Z"}
 
 
+def test_derivatives_against_other_code(spark, data):
+    """Records read by gzip and string splitting alone; text and links by patterns."""
+    import base64
+    import gzip
+    import html
+
+    blocks = "html|body|nav|ul|li|div|article|h1|p|footer|header|title|head|section"
+    pages = spark.read.parquet(f"{data}/pages.parquet")
+    made = warc.serialize(warc.derive(warc.responses(pages), keep=("page_id",))).collect()
+    source = {r["page_id"]: r for r in pages.collect()}
+    assert len(made) == 2 * len(source)
+    for r in made:
+        page = source[r["page_id"]]["html"]
+        head, _, rest = gzip.decompress(bytes(r["record"])).partition(b"\r\n\r\n")
+        lines = head.decode().split("\r\n")
+        fields = dict(x.split(": ", 1) for x in lines[1:])
+        block = rest[: int(fields["Content-Length"])]
+        sha1 = lambda x: "sha1:" + base64.b32encode(hashlib.sha1(x).digest()).decode()
+        assert lines[0] == "WARC/1.1" and rest[len(block) :] == b"\r\n\r\n" and fields["WARC-Block-Digest"] == sha1(block)
+        assert fields["WARC-Refers-To-Payload-Digest"] == sha1(page.encode()) and fields["WARC-Target-URI"] == source[r["page_id"]]["url"]
+        if fields["WARC-Type"] == "conversion":
+            body = re.sub(r"(?s)<!--.*?-->|<(script|style|head)\b.*?</\1>", "", page)
+            parts = re.split(rf"</?(?:{blocks})\b[^>]*>", re.sub(r"<br>", " ", body))
+            text = [re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]*>", "", x))).strip() for x in parts]
+            assert block.decode() == "\n".join(x for x in text if x)
+        else:
+            links = [html.unescape(x) for x in re.findall(r'<a [^>]*href="([^"]*)"', page)]
+            assert re.findall(r"(?m)^outlink: (.*)\r$", block.decode()) == links
+
+
 def test_digest_is_base32_sha1():
     assert warc.digest(b"") == "sha1:3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ"
     assert not math.isnan(len(pd.DataFrame()))
