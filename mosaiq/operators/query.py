@@ -288,17 +288,17 @@ class Query:
         return self.any(self.eq(self.df[column], value))
 
     def first(self) -> Any:
-        rows = self.df.limit(1).collect()
+        rows = self.take(1).rows()
         if not rows:
             raise LookupError("no rows")
         return rows[0]
 
     def first_or_default(self) -> Any:
-        rows = self.df.limit(1).collect()
+        rows = self.take(1).rows()
         return rows[0] if rows else None
 
     def single(self) -> Any:
-        rows = self.df.limit(2).collect()
+        rows = self.take(2).rows()
         if len(rows) != 1:
             raise LookupError("no rows" if not rows else "more than one row")
         return rows[0]
@@ -310,11 +310,11 @@ class Query:
         return self.skip(n).first()
 
     def rows(self) -> list:
-        return self.df.collect()
+        return [self.engine.materialized(r) for r in self.df.collect()]
 
     def stream(self):
         """Rows one partition at a time."""
-        return self.df.toLocalIterator()
+        return (self.engine.materialized(r) for r in self.df.toLocalIterator())
 
 
 def _listed(keys: Keys) -> list:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .suite import QUERIES, SQL, aggregates, changes, documents, joins, kinds, rows, scalars, streams, texts, windows
+from .suite import QUERIES, SQL, aggregates, changes, documents, joins, kinds, rows, scalars, services, streams, texts, windows
 
 __all__ = ["QUERIES", "SQL"]
-MODULES = (rows, joins, aggregates, windows, scalars, documents, changes, streams, texts, kinds)
+MODULES = (rows, joins, aggregates, windows, scalars, documents, changes, streams, texts, kinds, services)

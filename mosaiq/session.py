@@ -31,6 +31,21 @@ INHERITED = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled", "spar
 Hook = Callable[[str, DataFrame], None]
 
 
+class Interceptor:
+    """What users may see and change on the way; each method as it is changes nothing."""
+
+    def command(self, plan: str) -> str:
+        """Spark SQL before it runs."""
+        return plan
+
+    def changed(self, text: str, rows: int) -> None:
+        """A statement that changed a table."""
+
+    def materialized(self, row: Any) -> Any:
+        """A row on its way to the caller."""
+        return row
+
+
 class Engine:
     """Works in a session of its own (same cluster, views and settings apart),
     so that it changes nothing for others."""
@@ -47,6 +62,7 @@ class Engine:
         self.translator: Callable[..., str] = translate
         self.relational_nulls = relational_nulls
         self.hooks: list[Hook] = []
+        self.interceptors: list[Interceptor] = []
         #: Tables that statements change; see :meth:`attach`.
         self.database: Database | None = None
 
@@ -73,6 +89,8 @@ class Engine:
         """A query in the accepted dialect. ``?`` takes the positional, ``:name``
         the named arguments; both may stand in LIMIT and OFFSET."""
         plan = self.translated(expand(self, text))
+        for x in self.interceptors:
+            plan = x.command(plan)
         df = self.spark.sql(plan, args=list(args) if args else named or None)
         for hook in self.hooks:
             hook(plan, df)
@@ -140,8 +158,15 @@ class Engine:
         else:
             raise ValueError("only INSERT, UPDATE and DELETE change tables")
         self.catalog._views.clear()
+        for x in self.interceptors:
+            x.changed(text, changed)
         return changed
 
+    def materialized(self, row: Any) -> Any:
+        for x in self.interceptors:
+            row = x.materialized(row)
+        return row
+
     def register_function(self, name: str, builder: Callable[..., Column]) -> None:
         """A function of the fluent surface, composed of others."""
         self.functions.register(name, builder)
