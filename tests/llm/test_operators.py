@@ -741,6 +741,13 @@ def test_quality_scores_against_brute_force(spark):
         assert [got[r["doc_id"]][k] for k in ("content_score", "metadata_score", "score")] == pytest.approx(want, abs=1e-4)
 
 
+@pytest.mark.parametrize("text", ["", " ", "a", " a b\tc\n", "é\xa0ü x", "ab cd " * 50])
+def test_words_are_counted_by_pieces(text, monkeypatch):
+    for piece in (1, 2, 3, 1 << 18):
+        monkeypatch.setattr(cotraining, "PIECE", piece)
+        assert cotraining._count_words(text) == len(WORD.findall(text))
+
+
 def test_metadata_knows_no_characters():
     a, b = cotraining.metadata("abc de\nfgh", "en", "s"), cotraining.metadata("XY! 4?\n中文字", "en", "s")
     assert a.tolist() == b.tolist() and len(set(a.tolist())) == 7 and cotraining.metadata(None, None, None).max() < cotraining.META
