@@ -47,28 +47,44 @@ DEAL = 50_000
 #: Share of points asking both sides beyond which a split is not worth it.
 BOTH = 0.95
 
-_WORDS = re.compile(rb"[^\x20\x09-\x0d]+")
+_BLANKS = re.compile(rb"[\x20\x09-\x0d]+")
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+#: Shingles whose places are held as Python numbers at once.
+_RUN = 1 << 16
+
+
+def word_shingles(text: str | None, shingle: int) -> tuple[int, Iterator[bytes]]:
+    """How many word shingles a text has (ASCII letters in lower case, words
+    joined by one space), and these: one of all words if there are fewer, none
+    without words. Takes memory for a few numbers a word, however long the text."""
+    line = _BLANKS.sub(b" ", text.encode("utf-8", "replace").translate(_LOWER)).strip(b" ") if text else b""
+    if not line:
+        return 0, iter(())
+    gaps = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
+    if len(gaps) < shingle:
+        return 1, iter((line,))
+    begins = np.concatenate(([0], gaps + 1))[: len(gaps) + 2 - shingle]
+    ends = np.concatenate((gaps, [len(line)]))[shingle - 1 :]
+
+    def run() -> Iterator[bytes]:
+        for i in range(0, len(begins), _RUN):
+            for a, b in zip(begins[i : i + _RUN].tolist(), ends[i : i + _RUN].tolist()):
+                yield line[a:b]
+
+    return len(begins), run()
 
 
 def fingerprint(text: str | None, shingle: int, seeds: tuple[int, ...]) -> list[int]:
     """A 64-bit SimHash of word shingles for each seed; 0 without words."""
-    words = _WORDS.findall(text.encode("utf-8", "replace").translate(_LOWER)) if text else []
-    if not words:
-        return [0] * len(seeds)
-    line = b" ".join(words)
-    if len(words) <= shingle:
-        parts = [line]
-    else:
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-        begins = np.concatenate(([0], ends[:-shingle])).tolist()
-        parts = [line[a:b] for a, b in zip(begins, (ends[shingle - 1 :] - 1).tolist())]
     out = []
     for seed in seeds:
-        h = np.fromiter((xxhash.xxh64_intdigest(p, seed) for p in parts), np.uint64, len(parts))
+        n, parts = word_shingles(text, shingle)
+        if not n:
+            return [0] * len(seeds)
+        h = np.fromiter((xxhash.xxh64_intdigest(p, seed) for p in parts), np.uint64, n)
         octets = h.view(np.uint8).reshape(-1, 8)
         bits = np.concatenate([np.bincount(octets[:, i], minlength=256) @ _BITS for i in range(8)])
-        out.append(int(np.packbits(bits * 2 > len(parts), bitorder="little").view(np.uint64)[0]))
+        out.append(int(np.packbits(bits * 2 > n, bitorder="little").view(np.uint64)[0]))
     return out
 
 

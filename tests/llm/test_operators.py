@@ -58,6 +58,16 @@ def brute_components(prints, radius=4):
     return [find(i) for i in range(len(prints))]
 
 
+@pytest.mark.parametrize("text", [None, "", " \n", "A", "a b", " a  B\tc\n", "a b c d", "É b c d e", "x " * 9 + "y", "one\x0btwo\x0cthree\rfour five"])
+@pytest.mark.parametrize("k", [1, 4, 5])
+def test_word_shingles(text, k, monkeypatch):
+    monkeypatch.setattr(simhash, "_RUN", 2)
+    words = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    want = [" ".join(words[i : i + k]).encode() for i in range(max(1, len(words) - k + 1))] if words else []
+    n, found = simhash.word_shingles(text, k)
+    assert list(found) == want and n == len(want)
+
+
 def test_simhash_against_brute_force(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet").toPandas()
     prints = [brute_print(t) for t in docs["text"]]
