@@ -72,6 +72,23 @@ def sql_changes(e):
     return e.sql("SELECT * FROM land")
 
 
+@query("sql_sequence", "SELECT CAST(k AS BIGINT) AS k, CAST(last AS BIGINT) AS last FROM (VALUES (1, 1), (2, 2), (3, 3), (4, 4)) t(k, last)")
+def sql_sequence(e):
+    """Numbers of a sequence in changes and in queries."""
+    from ...operators.dml import HiLo
+
+    db = Database(e.spark, shared_folder(e.spark))
+    e.sequences["ids"] = HiLo(db.create_table("sequences", [("Name", "VARCHAR"), ("NextValue", "BIGINT")], key=["Name"]), "ids", block=2)
+    db.create_table("got", [("k", "BIGINT", False), ("last", "BIGINT")], key=["k"])
+    e.attach(db)
+    for _ in range(3):
+        e.execute("INSERT INTO got VALUES (NEXT VALUE FOR ids, CURRENT VALUE FOR ids)")
+    return e.sql("SELECT k, last FROM got").unionByName(e.sql("SELECT NEXT VALUE FOR ids AS k, CURRENT VALUE FOR ids AS last"))
+
+
+query("sql_collection_table", "SELECT n_nationkey, CAST(i AS BIGINT) AS i FROM nation, (SELECT unnest(range(3)) AS i) t")(lambda e: e.sql("SELECT n_nationkey, r.id AS i FROM nation CROSS JOIN TABLE(range(3)) AS r"))
+
+
 @query("ext_aggregate", "SELECT n_regionkey, CAST(MAX(n_nationkey) - MIN(n_nationkey) AS DOUBLE) AS spread FROM nation GROUP BY n_regionkey")
 def ext_aggregate(e):
     e.register_aggregate("spread", lambda x: float(x.max() - x.min()), "double")

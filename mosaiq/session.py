@@ -16,7 +16,7 @@ from .plans.patterns import expand
 
 if TYPE_CHECKING:
     from .operators.ddl import Database
-    from .operators.dml import ManagedTable
+    from .operators.dml import HiLo, ManagedTable
 
 #: Settings that the dialect relies on.
 SETTINGS = {
@@ -65,6 +65,9 @@ class Engine:
         self.interceptors: list[Interceptor] = []
         #: Tables that statements change; see :meth:`attach`.
         self.database: Database | None = None
+        #: Sequences by name; see :meth:`_numbered`.
+        self.sequences: dict[str, HiLo] = {}
+        self._current: dict[str, int] = {}
 
     @classmethod
     def over_parquet(cls, spark: SparkSession, folder: str, tables: list[str] | tuple[str, ...], **options: Any) -> Engine:
@@ -88,7 +91,7 @@ class Engine:
     def sql(self, text: str, *args: Any, **named: Any) -> DataFrame:
         """A query in the accepted dialect. ``?`` takes the positional, ``:name``
         the named arguments; both may stand in LIMIT and OFFSET."""
-        plan = self.translated(expand(self, text))
+        plan = self.translated(expand(self, self._numbered(text)))
         for x in self.interceptors:
             plan = x.command(plan)
         df = self.spark.sql(plan, args=list(args) if args else named or None)
@@ -96,6 +99,21 @@ class Engine:
             hook(plan, df)
         return df
 
+    def _numbered(self, text: str) -> str:
+        """``NEXT VALUE FOR s`` and ``CURRENT VALUE FOR s`` as the numbers that
+        the sequence hands out, one each time it is written."""
+        if not self.sequences or " VALUE " not in f" {text.upper()} ":
+            return text
+        s, i = Sql(text), 0
+        while i < len(s.tokens):
+            if s.is_word(i, "NEXT", "CURRENT") and s.is_word(i + 1, "VALUE") and s.is_word(i + 2, "FOR"):
+                name = s.tokens[i + 3].strip('"`')
+                if s.is_word(i, "NEXT"):
+                    self._current[name] = self.sequences[name].next()
+                s.put(i, i + 4, f"CAST({self._current[name]} AS BIGINT)")
+            i += 1
+        return join(s.tokens)
+
     def attach(self, database: Database) -> None:
         """Make a database's tables readable by name and open to :meth:`execute`."""
         self.database = database
@@ -122,7 +140,7 @@ class Engine:
     def execute(self, text: str, *args: Any) -> int:
         """INSERT, UPDATE or DELETE on a managed table, in the accepted dialect;
         ``?`` takes the arguments in turn. Returns the rows changed."""
-        s = Sql(text)
+        s = Sql(self._numbered(text))
         for k in [k for k in range(len(s.tokens)) if s.is_op(k, "?")][::-1]:
             s.put(k, k + 1, literal(args[sum(s.is_op(j, "?") for j in range(k))]))
         spark_sql = lambda a, b: self.translated(join(s.tokens[a:b]))

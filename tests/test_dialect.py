@@ -86,3 +86,13 @@ def test_literals_are_what_they_were(spark, value):
     from mosaiq.plans.dialect import literal
 
     assert spark.sql(f"SELECT {literal(value)}").first()[0] == value
+
+
+@pytest.mark.parametrize("before", ["SELECT", "SELECT 1,", "SELECT x FROM t WHERE", "SELECT NOT"])
+def test_period_predicates_stand_anywhere(before):
+    assert translate(f"{before} (a, b) OVERLAPS (c, d)").endswith("(a < d AND c < b)")
+    assert "f(a, b)" in translate("SELECT f(a, b) FROM t")
+
+
+def test_table_of_a_call():
+    assert translate("SELECT * FROM TABLE(range(3)) AS r") == "SELECT * FROM range(3) AS r"
