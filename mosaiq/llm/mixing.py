@@ -146,11 +146,12 @@ def mix(
     return docs.drop(u, sized_source, sized_u, bucket, before, start, rank)
 
 
-def by_position(mixed: DataFrame) -> DataFrame:
+def by_position(mixed: DataFrame, *, key: str = "doc_id") -> DataFrame:
     """``mixed`` range-sorted by the training position of each row's first copy;
-    rows that the mix does not take come last."""
+    rows that the mix does not take come last, by a hash of their keys, so that
+    they are dealt over ranges too."""
     first = F.coalesce(F.get("positions", F.lit(0))["position"], F.lit(2.0))
-    return mixed.repartitionByRange(first).sortWithinPartitions(first)
+    return mixed.repartitionByRange(first, F.xxhash64(key)).sortWithinPartitions(first, F.xxhash64(key))
 
 
 def training_order(mixed: DataFrame) -> DataFrame:
