@@ -13,10 +13,12 @@
    everything, a dense group), a shard's homes and guests are dealt by hash to
    parts, and each two parts meet in a shard of their own, so that a shard
    holds about twice ``DEAL`` points at most.
-4. In a shard, a point taken as vantage point joins all its ball at once and
-   the ball is settled: others need one link to it, and only those within
-   twice the radius can have one. A shard gives spanning links, never all
-   pairs, so a group of n copies yields n - 1 links or so from each shard.
+4. In a shard, two points within the radius agree in one of radius + 1 blocks
+   of bits at least, so only points that share a block are compared. Of many
+   that do, one taken as vantage point joins all its ball at once and the ball
+   is settled: others need one link to it, and only those within twice the
+   radius can have one. A shard gives spanning links, never all pairs, so a
+   group of n copies yields n - 1 links or so from each shard.
 5. Components of the links, by star steps over the cluster. A node is a point
    with its smallest key before it, so the smallest node of a component names
    it, and no join goes by components, of which one may hold most rows.
@@ -40,10 +42,12 @@ from .components import components
 #: Fingerprints in the sample to which the tree is fitted.
 SAMPLE = 20_000
 #: A shard is meant to hold this many points times the points' number to the
-#: power 0.4: larger shards compare more pairs, smaller ones are asked by more guests.
-SHARD = 30
+#: power 0.6: larger shards compare more pairs, smaller ones are asked by more guests.
+SHARD = 6
 #: Homes, or guests, above which those of a shard are dealt to parts.
-DEAL = 50_000
+DEAL = 250_000
+#: Points that share a block and are compared pair by pair at most.
+RUN = 64
 #: Share of points asking both sides beyond which a split is not worth it.
 BOTH = 0.95
 
@@ -139,7 +143,7 @@ def build(sample: np.ndarray, total: int, radius: int, *, shard: float | None =
     a node's sampled points is its vantage point (the sample is in hash
     order), the median distance its limit."""
     tree = Tree(radius, Node())
-    shard = SHARD * total**0.4 if shard is None else shard
+    shard = SHARD * total**0.6 if shard is None else shard
     scale = total / max(1, len(sample))
 
     def leaf(node: Node, points: np.ndarray) -> None:
@@ -226,24 +230,79 @@ def route(tree: Tree, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
     return np.concatenate(rows), np.concatenate(shards), np.concatenate(homes)
 
 
-def links_in_shard(homes: np.ndarray, guests: np.ndarray, radius: int) -> Iterator[tuple[int, int]]:
-    """Links that join what is within ``radius``: of homes with homes and with
-    guests. Indices; guests count on from the homes."""
-    points = np.concatenate([homes, guests]) if len(guests) else homes
-    ids, left = np.arange(len(points)), len(homes)
-    parent = list(range(len(points)))
+class Forest:
+    """Which points are joined already, so that only spanning links are given."""
+
+    def __init__(self, n: int) -> None:
+        self.parent = list(range(n))
 
-    def find(x: int) -> int:
+    def find(self, x: int) -> int:
+        parent = self.parent
         while parent[x] != x:
             parent[x] = parent[parent[x]]
             x = parent[x]
         return x
 
+    def join(self, x: int, y: int) -> bool:
+        a, b = self.find(x), self.find(y)
+        if a != b:
+            self.parent[max(a, b)] = min(a, b)
+        return a != b
+
+
+def links_in_shard(homes: np.ndarray, guests: np.ndarray, radius: int) -> Iterator[tuple[int, int]]:
+    """Links that join what is within ``radius``: of homes with homes and with
+    guests. Indices; guests count on from the homes."""
+    points = np.concatenate([homes, guests]) if len(guests) else homes
+    width = 64 * points.shape[1] // (radius + 1) if points.ndim == 2 else 0
+    if len(points) <= 4 * RUN or width < 8:
+        yield from _by_vantage(homes, guests, radius)
+        return
+    forest, left = Forest(len(points)), len(homes)
+    for block in range(radius + 1):
+        key = _block(points, block * 64 * points.shape[1] // (radius + 1), (block + 1) * 64 * points.shape[1] // (radius + 1))
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        begins = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        sizes = np.diff(np.append(begins, len(key)))
+        run = np.repeat(np.arange(len(begins)), sizes)
+        few = (sizes <= RUN)[run]
+        for step in range(1, RUN):
+            i = np.flatnonzero((run[step:] == run[:-step]) & few[step:])
+            if not len(i):
+                break
+            a, b = order[i], order[i + step]
+            near = np.bitwise_count(points[a] ^ points[b]).sum(1, dtype=np.int64) <= radius
+            near &= (a < left) | (b < left)
+            for x, y in zip(a[near].tolist(), b[near].tolist()):
+                if forest.join(x, y):
+                    yield x, y
+        for r in np.flatnonzero(sizes > RUN):
+            at = np.sort(order[begins[r] : begins[r] + sizes[r]])  # homes come first
+            n = int((at < left).sum())
+            for x, y in _by_vantage(points[at[:n]], points[at[n:]], radius):
+                if forest.join(int(at[x]), int(at[y])):
+                    yield int(at[x]), int(at[y])
+
+
+def _block(points: np.ndarray, low: int, high: int) -> np.ndarray:
+    """The bits from ``low`` up to ``high`` of each point, as a number."""
+    word, at, n = low // 64, low % 64, high - low
+    out = points[:, word] >> np.uint64(at)
+    if at + n > 64:
+        out = out | points[:, word + 1] << np.uint64(64 - at)
+    return out & np.uint64((1 << n) - 1)
+
+
+def _by_vantage(homes: np.ndarray, guests: np.ndarray, radius: int) -> Iterator[tuple[int, int]]:
+    """The same, by vantage points and their balls alone."""
+    points = np.concatenate([homes, guests]) if len(guests) else homes
+    ids, left = np.arange(len(points)), len(homes)
+    forest = Forest(len(points))
+
     def joined(x: int, others: np.ndarray) -> Iterator[tuple[int, int]]:
         for y in others.tolist():
-            a, b = find(x), find(y)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
+            if forest.join(x, y):
                 yield x, y
 
     gone = np.zeros(len(points), bool)  # by place; homes come first, and those before v are done

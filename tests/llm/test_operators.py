@@ -133,6 +133,29 @@ def test_tree_loses_no_link(words, radius, shard, deal):
     assert classes(links) == classes(want)
 
 
+@pytest.mark.parametrize(("words", "radius", "run"), [(1, 4, 64), (1, 4, 3), (2, 9, 5), (1, 0, 4), (2, 25, 64)])
+def test_links_by_blocks_are_those_of_all_pairs(words, radius, run, monkeypatch):
+    monkeypatch.setattr(simhash, "RUN", run)
+    rng = np.random.default_rng(9)
+    near = np.repeat(rng.integers(0, 2**63, (90, words), dtype=np.uint64), 8, 0)
+    for i in range(len(near)):
+        for b in rng.integers(0, 64 * words, rng.integers(0, radius + 3)):
+            near[i, b // 64] ^= np.uint64(1) << np.uint64(b % 64)
+    points = rng.permutation(np.unique(near, axis=0))
+    homes, guests = points[: 2 * len(points) // 3], points[2 * len(points) // 3 :]
+    d = np.bitwise_count(points[:, None] ^ points[None]).sum(2, dtype=int)
+
+    def classes(pairs):
+        forest = simhash.Forest(len(points))
+        for x, y in pairs:
+            forest.join(int(x), int(y))
+        return [forest.find(i) for i in range(len(points))]
+
+    got = list(simhash.links_in_shard(homes, guests, radius))
+    want = [(i, j) for i, j in np.argwhere(d <= radius) if i < j and i < len(homes)]
+    assert all(d[x, y] <= radius for x, y in got) and classes(got) == classes(want) and len(got) < len(points)
+
+
 def test_shard_links_stay_few_in_a_dense_group():
     base = np.uint64(0x0123456789ABCDEF)
     group = np.array([[base ^ np.uint64((1 << a) | (1 << b))] for a in range(64) for b in range(a)], np.uint64)
