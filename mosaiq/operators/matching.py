@@ -5,11 +5,13 @@ A pattern has symbols, concatenation, ``|``, groups, the quantifiers ``* + ?
 ``{- A -}``. Symbols are defined by conditions over the row and its
 neighbours (``lag`` and ``lead`` in the partition's order), evaluated by Spark
 before matching; a symbol without a condition is always true. Only the
-matching itself runs per partition in Python, over booleans and order.
+matching itself runs in Python, over booleans, in the tasks and the order in
+which Spark has sorted the partitions; the rows are shuffled once.
 
 A partition falls into stretches at rows where no symbol holds, as no match
-goes across them; a stretch is matched by one task, as its rows depend on each
-other.
+goes across them. A task holds a batch of rows and the stretch that is not
+ended yet, however many partitions it has; short stretches of the same
+booleans are matched once.
 """
 
 from __future__ import annotations
@@ -20,7 +22,8 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -178,6 +181,35 @@ def _repeated(part: Part, rows: dict, at: int, n: int, kept: bool, path: Path) -
             yield pos, so_far
 
 
+#: Rows of a stretch whose matches are remembered, and how many such stretches.
+SHORT, REMEMBERED = 64, 100_000
+
+
+def matched(part: Part, known: Sequence[str], flags: np.ndarray, clause: str, side: str, target: str | None) -> list[tuple[list[int], list[str]]]:
+    """The kept rows and their symbols of each match in a stretch, in order; a
+    match of which nothing is kept is left out. ``flags``: a column for each symbol."""
+    rows, n = dict(zip(known, flags.T.tolist())), len(flags)
+    at, out = 0, []
+    while at < n:
+        found = next(((e, p) for e, p in matches(part, rows, at, n) if e > at), None)
+        if found is None:
+            at += 1
+            continue
+        end, path = found[0], listed(found[1])
+        kept = [k for k, (_, keep) in enumerate(path) if keep]
+        if kept:
+            out.append(([at + k for k in kept], [path[k][0] for k in kept]))
+        if clause == "past last row":
+            at = end
+        elif clause:
+            at += 1
+        else:
+            places = [k for k, (s, _) in enumerate(path) if s == target]
+            step = (places[0] if side == "first" else places[-1]) if places else 1
+            at += max(1, step)
+    return out
+
+
 def match_recognize(
     df: DataFrame, *, partition: Sequence[str], order: Sequence[str], pattern: str, define: dict[str, Column], after: str = "past last row", all_rows: bool = False
 ) -> DataFrame:
@@ -187,54 +219,95 @@ def match_recognize(
     ``last_*`` of the order columns, ``length`` and ``classifiers``.
 
     ``after``: ``past last row``, ``to next row``, ``to first X`` or ``to
-    last X``. Order columns are to be unique in a partition."""
+    last X``. Order columns are to be unique in a partition; nulls of the
+    partition's columns are a partition like any other."""
     part = parse(pattern)
     known = symbols(part)
     w = Window.partitionBy(*partition).orderBy(*order)
     flags = {f"__is_{s}": F.coalesce(define[s], F.lit(False)) if s in define else F.lit(True) for s in known}
-    numbered = df.withColumns({**flags, "__row": F.row_number().over(w)})
-    idle = F.forall(F.array(*[F.col(f) for f in flags]), lambda x: ~x).cast("int")
-    numbered = numbered.withColumn("__stretch", F.sum(idle).over(w))
     m = re.fullmatch(r"(past last row|to next row)|to (first|last) (\w+)", after.strip(), re.I)
     if not m:
         raise ValueError(f"unknown after-match clause {after!r}")
     clause, side, target = (m[1] or "").lower(), (m[2] or "").lower(), m[3]
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("__row").reset_index(drop=True)
-        rows, n = {s: pdf[f"__is_{s}"].tolist() for s in known}, len(pdf)
-        at, number, out = 0, 0, []
-        while at < n:
-            found = next(((e, p) for e, p in matches(part, rows, at, n) if e > at), None)
-            if found is None:
-                at += 1
-                continue
-            number += 1
-            end, path = found
-            path = listed(path)
-            out += [(at + k, number, s) for k, (s, kept) in enumerate(path) if kept]
-            if clause == "past last row":
-                at = end
-            elif clause:
-                at += 1
+    partition, order, marks = list(partition), list(order), list(flags)
+    carried = list(dict.fromkeys([*partition, *(df.columns if all_rows else order)]))
+    numbered = df.withColumns({**flags, "__begins": F.row_number().over(w) == 1}).select(*carried, *marks, "__begins")
+
+    def found_in(stretch: np.ndarray) -> tuple:
+        """How many matches; of each of their rows, or of each of them as a whole, what goes out."""
+        found = matched(part, known, stretch, clause, side, target)
+        number = np.arange(1, len(found) + 1)
+        if all_rows:
+            return len(found), np.array([r for rows, _ in found for r in rows], np.int64), np.repeat(number, [len(rows) for rows, _ in found]), [s for _, names in found for s in names]
+        ends = np.array([(rows[0], rows[-1], len(rows)) for rows, _ in found], np.int64).reshape(-1, 3)
+        return len(found), ends, number, ["".join(names) for _, names in found]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remembered: dict[bytes, tuple] = {}
+        before = 0  # matches so far in the partition that goes on
+
+        def flush(pieces: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            nonlocal before
+            rows = pa.Table.from_batches(pieces)
+            is_ = np.column_stack([rows.column(f).to_numpy() for f in marks])
+            begins = rows.column("__begins").to_numpy()
+            live = is_.any(1)
+            cuts = np.flatnonzero(~live | begins)
+            starts = np.flatnonzero(live & (begins | ~np.concatenate(([False], live[:-1]))))
+            ends = np.append(cuts, len(live))[np.searchsorted(cuts, starts, "right")]
+            got = []
+            for a, b in zip(starts.tolist(), ends.tolist()):
+                if b - a > SHORT:
+                    got.append(found_in(is_[a:b]))
+                    continue
+                key = is_[a:b].tobytes()
+                if key not in remembered:
+                    if len(remembered) >= REMEMBERED:
+                        remembered.clear()
+                    remembered[key] = found_in(is_[a:b])
+                got.append(remembered[key])
+            place = np.cumsum(begins)  # 0: the partition that goes on
+            of, many = place[starts], np.array([g[0] for g in got], np.int64)
+            base = np.cumsum(many) - many
+            base = base - base[np.searchsorted(of, of)] + before * (of == 0) if len(got) else base
+            before = int(many[of == place[-1]].sum()) + before * int(place[-1] == 0)
+            if not many.any():
+                return
+            each = [len(g[2]) for g in got]
+            at = np.concatenate([g[1] for g in got])
+            number = pa.array(np.concatenate([g[2] for g in got]) + np.repeat(base, each), pa.int32())
+            names = pa.array([s for g in got for s in g[3]], pa.string())
+            moved = np.repeat(starts, each)
+            if all_rows:
+                taken = rows.select(carried).take(pa.array(at + moved))
+                out = pa.table([*taken.columns, number, names], [*carried, "match_number", "classifier"])
             else:
-                places = [k for k, (s, _) in enumerate(path) if s == target]
-                step = (places[0] if side == "first" else places[-1]) if places else 1
-                at += max(1, step)
-        got = pdf[["__row", "__stretch", *partition]].iloc[[r for r, _, _ in out]].copy()
-        got["match_number"] = pd.Series([k for _, k, _ in out], got.index, "int32")
-        got["classifier"] = pd.Series([s for _, _, s in out], got.index, "str")
-        return got
-
-    kinds = {f.name: f.dataType for f in numbered.schema}
-    schema = T.StructType([T.StructField("__row", kinds["__row"]), T.StructField("__stretch", kinds["__stretch"]), *[T.StructField(c, kinds[c]) for c in partition], T.StructField("match_number", T.IntegerType()), T.StructField("classifier", T.StringType())])
-    found = numbered.select("__row", "__stretch", *partition, *flags).groupBy(*partition, "__stretch").applyInPandas(run, schema)
-    # matches count on from stretch to stretch
-    number = F.dense_rank().over(Window.partitionBy(*partition).orderBy("__stretch", "match_number"))
-    found = found.withColumn("match_number", number).drop("__stretch")
-    joined = numbered.drop("__stretch", *flags).join(found, ["__row", *partition])
+                first, last = rows.select(carried).take(pa.array(at[:, 0] + moved)), rows.select(order).take(pa.array(at[:, 1] + moved))
+                out = pa.table(
+                    [*first.select(partition).columns, number, *first.select(order).columns, *last.columns, pa.array(at[:, 2]), names],
+                    [*partition, "match_number", *[f"first_{c}" for c in order], *[f"last_{c}" for c in order], "length", "classifiers"],
+                )
+            yield from out.to_batches(10_000)
+
+        pending: list[pa.RecordBatch] = []
+        for batch in batches:
+            live = np.column_stack([batch.column(f).to_numpy(zero_copy_only=False) for f in marks]).any(1)
+            cuts = np.flatnonzero(~live | batch.column("__begins").to_numpy(zero_copy_only=False))
+            if not len(cuts):
+                pending.append(batch)
+                continue
+            last = int(cuts[-1])
+            if pending or last:
+                yield from flush([*pending, batch.slice(0, last)])
+            pending = [batch.slice(last)]
+        if pending:
+            yield from flush(pending)
+
+    kinds = {f.name: f for f in numbered.schema}
+    name = T.StructField("match_number", T.IntegerType())
     if all_rows:
-        return joined.drop("__row")
-    ends = [F.min_by(c, "__row").alias(f"first_{c}") for c in order] + [F.max_by(c, "__row").alias(f"last_{c}") for c in order]
-    names = F.transform(F.array_sort(F.collect_list(F.struct("__row", "classifier"))), lambda x: x["classifier"])
-    return joined.groupBy(*partition, "match_number").agg(*ends, F.count(F.lit(1)).alias("length"), F.array_join(names, "").alias("classifiers"))
+        fields = [*[kinds[c] for c in carried], name, T.StructField("classifier", T.StringType())]
+    else:
+        ends = [T.StructField(f"{end}_{c}", kinds[c].dataType) for end in ("first", "last") for c in order]
+        fields = [*[kinds[c] for c in partition], name, *ends, T.StructField("length", T.LongType()), T.StructField("classifiers", T.StringType())]
+    return numbered.mapInArrow(run, T.StructType(fields))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import decimal
+import re
 import warnings
 
 import pytest
@@ -408,6 +409,27 @@ def test_matches_count_on_across_rows_that_no_symbol_fits(spark):
     assert [(r["match_number"], r["first_i"], r["last_i"], r["length"]) for r in got] == [(1, 0, 2, 3), (2, 4, 5, 2), (3, 8, 11, 4)]
 
 
+def test_matching_shuffles_once_whatever_the_batches(engine):
+    from mosaiq.operators.matching import match_recognize
+
+    texts = {1: "AABxABxxAAAB", 2: "", 3: "BBB", 4: "AB" * 9, None: "xAABAB", 5: "A" * 80 + "B", 6: "ABAB"}
+    df = engine.spark.createDataFrame([(k, i, x) for k, t in texts.items() for i, x in enumerate(t)], "k int, i int, x string")
+    define = {s: F.col("x") == s for s in "AB"}
+    want = [(k, n, m.start(), m.end() - 1, m[0]) for k, t in texts.items() for n, m in enumerate(re.finditer("A+B", t), 1)]
+    engine.spark.conf.set("spark.sql.shuffle.partitions", 2)
+    for batch in (1, 3, 10_000):
+        engine.spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        got = match_recognize(df, partition=["k"], order=["i"], pattern="A+ B", define=define)
+        # a group for each stretch, and joins back to the rows, take minutes on millions of partitions
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "FlatMapGroupsInPandas" not in plan
+        found = [(r["k"], r["match_number"], r["first_i"], r["last_i"], r["classifiers"]) for r in got.collect()]
+        assert sorted(found, key=str) == sorted(want, key=str)
+        rows = match_recognize(df, partition=["k"], order=["i"], pattern="A+ B", define=define, all_rows=True).collect()
+        found = [(r["k"], r["match_number"], r["i"], r["classifier"]) for r in rows]
+        assert sorted(found, key=str) == sorted(((k, n, a + j, s) for k, n, a, _, text in want for j, s in enumerate(text)), key=str)
+
+
 def test_engine_uses_the_shared_folder(spark):
     from mosaiq.session import Engine
     from mosaiq.storage import shared_folder, shared_root
