@@ -107,12 +107,9 @@ query("kind_pattern_skip", f"SELECT o_custkey, o_orderkey AS first_o_orderkey FR
 @query("src_jdbc", "SELECT CAST(n_nationkey AS INTEGER) AS n_nationkey, n_name FROM nation WHERE n_regionkey = 2")
 def src_jdbc(e):
     """A table of a JDBC store, read in parts, the filter pushed to the store."""
-    import uuid
+    from ...sources.files import derby_store, read
 
-    from ...sources.files import read
-
-    url, driver = f"jdbc:derby:memory:m{uuid.uuid4().hex};create=true", "org.apache.derby.jdbc.EmbeddedDriver"
-    e.set("nation").df.write.jdbc(url, "nation", properties={"driver": driver})
-    options = {"url": url, "driver": driver, "dbtable": "nation", "partitionColumn": "N_NATIONKEY", "lowerBound": 0, "upperBound": 25, "numPartitions": 3}
+    store = derby_store(e.set("nation").df, "nation")
+    options = {**store, "dbtable": "nation", "partitionColumn": "N_NATIONKEY", "lowerBound": 0, "upperBound": 25, "numPartitions": 3}
     rows = read(e.spark, "jdbc", options)
     return rows.toDF(*[x.lower() for x in rows.columns]).where("n_regionkey = 2").select("n_nationkey", "n_name")

@@ -16,7 +16,7 @@ from mosaiq.operators.ddl import Database, Migration, Runner
 from mosaiq.operators.dml import ConcurrencyError, KeyGenerationError, ManagedTable, UnitOfWork, generate_key
 from mosaiq.plans.rewrites import drop_unused_join
 from mosaiq.session import Engine
-from mosaiq.sources.files import typed_header, values
+from mosaiq.sources.files import derby_store, typed_header, values
 from mosaiq.types import checked, literal, logical, milliseconds, spark_type, widen
 
 PRODUCTS = [(1, "Widget", "9.99", True, 1), (2, "Gadget", "24.95", False, 1), (3, "Doohickey", "4.50", True, 2), (4, "Thingamajig", "14.99", False, 2), (5, "Whatsit", "2.99", True, 3), (6, "Gizmo", "49.99", False, None)]
@@ -430,6 +430,28 @@ def test_matching_shuffles_once_whatever_the_batches(engine):
         assert sorted(found, key=str) == sorted(((k, n, a + j, s) for k, n, a, _, text in want for j, s in enumerate(text)), key=str)
 
 
+def test_jdbc_store_is_read_by_other_processes(spark, data):
+    """An executor of a cluster has neither the driver's memory nor its Derby."""
+    import subprocess
+    import sys
+
+    from mosaiq.plans.queries import QUERIES
+
+    read = """
+from pyspark.sql import SparkSession
+import sys
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+n = spark.read.format("jdbc").options(url=sys.argv[1], driver="org.apache.derby.jdbc.EmbeddedDriver", dbtable="nation").load().count()
+print("rows", n)
+"""
+    df = QUERIES["src_jdbc"](spark, data)
+    assert "PushedFilters: [*IsNotNull(N_REGIONKEY), *EqualTo(N_REGIONKEY,2)]" in df._jdf.queryExecution().toString()
+    store = derby_store(spark.createDataFrame([(1, "a"), (None, None)], "n int, s string"), "nation")
+    out = subprocess.run([sys.executable, "-c", read, store["url"]], capture_output=True, text=True, timeout=120)
+    assert "rows 2" in out.stdout, out.stderr[-2000:]
+    assert sorted(map(str, spark.read.format("jdbc").options(**store, dbtable="nation").load().collect())) == ["Row(N=1, S='a')", "Row(N=None, S=None)"]
+
+
 def test_engine_uses_the_shared_folder(spark):
     from mosaiq.session import Engine
     from mosaiq.storage import shared_folder, shared_root
