@@ -9,9 +9,11 @@ from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .operators.paging import position
 from .sources import files
 
 Load = Callable[[SparkSession], DataFrame]
@@ -123,6 +125,21 @@ class Catalog:
             self.frame(e, filtered=False, narrow=True).createOrReplaceTempView(e.view)
         return e.view
 
+    def positioned(self, view: str) -> str | None:
+        """A view beside an entity's, with the rows' places in their files as
+        ``__at``; None for entities that are not read from files as they are."""
+        e = next((e for e in self.entities.values() if e.view.lower() == view.lower()), None)
+        if e is None:
+            return None
+        name = f"{e.view}__placed"
+        if name.lower() not in self._views:
+            try:
+                self.frame(e, filtered=False, narrow=True).withColumn("__at", position()).createOrReplaceTempView(name)
+            except AnalysisException:
+                return None
+            self._views.add(name.lower())
+        return name
+
     def period_of(self, parts: list[str]) -> tuple[str, str] | None:
         try:
             return self.find(parts).period

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Sequence
 from typing import TYPE_CHECKING, Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .catalog import Catalog, Entity
 from .functions.registry import Registry
+from .operators.paging import first_stored
 from .operators.query import Query
 from .plans.dialect import Sql, join, literal, translate
 from .plans.patterns import expand
@@ -28,6 +31,10 @@ SETTINGS = {
 #: Taken over from the session that the engine is made of.
 INHERITED = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")
 
+#: A limit at the end of Spark SQL, and words of texts whose rows are not those of one table.
+_LIMIT = re.compile(r"\bLIMIT\s+(\?|:\s*\w+|\d+)(?:\s+OFFSET\s+(\?|:\s*\w+|\d+))?\s*$", re.I)
+_SIMPLE = frozenset("DISTINCT GROUP HAVING ORDER SORT CLUSTER DISTRIBUTE JOIN LATERAL UNION INTERSECT EXCEPT MINUS TABLESAMPLE PIVOT UNPIVOT WITH VALUES QUALIFY WINDOW".split())
+
 Hook = Callable[[str, DataFrame], None]
 
 
@@ -94,11 +101,36 @@ class Engine:
         plan = self.translated(expand(self, self._numbered(text)))
         for x in self.interceptors:
             plan = x.command(plan)
-        df = self.spark.sql(plan, args=list(args) if args else named or None)
+        df = self._result(plan, args, named)
         for hook in self.hooks:
             hook(plan, df)
         return df
 
+    def _result(self, plan: str, args: Sequence[Any], named: dict[str, Any]) -> DataFrame:
+        """Spark SQL's rows. Of a table in files, a limit without an order takes
+        the rows that are stored first, so reruns and other engines agree."""
+        df = self.spark.sql(plan, args=list(args) if args else named or None)
+        m, s = _LIMIT.search(plan), Sql(plan)
+        words = [w.upper() for w, kind in zip(s.tokens, s.kinds) if kind == "word"]
+        if not m or words.count("SELECT") != 1 or words.count("FROM") != 1 or not _SIMPLE.isdisjoint(words):
+            return df
+        at = next(i for i in range(len(s.tokens)) if s.is_word(i, "FROM"))
+        view = self.catalog.positioned(s.tokens[at + 1].strip("`"))
+        if view is None or any(s.is_op(i, "(", ",") for i in range(at, at + 5)):
+            return df
+        head = Sql(plan[: m.start()])
+        head.put(at + 1, at + 2, f"`{view}`")
+        head.put(at, at, ", `__at` AS `__stored`")
+        text = join(head.tokens)
+        given = list(args)[: sum(head.is_op(i, "?") for i in range(len(head.tokens)))]
+        rest = list(args)[len(given) :]
+        take, skip = (0 if x is None else rest.pop(0) if x == "?" else named[x[1:].strip()] if x[0] == ":" else int(x) for x in m.groups())
+        try:
+            rows = self.spark.sql(text, args=given or named or None)
+        except AnalysisException:  # aggregates have no place
+            return df
+        return first_stored(rows, "__stored", take, skip).select(*df.columns)
+
     def _numbered(self, text: str) -> str:
         """``NEXT VALUE FOR s`` and ``CURRENT VALUE FOR s`` as the numbers that
         the sequence hands out, one each time it is written."""
@@ -204,7 +236,7 @@ class Engine:
     def prepare(self, text: str) -> Callable[..., DataFrame]:
         """A query that is translated once and run with different arguments."""
         plan = self.translated(text)
-        return lambda *args, **named: self.spark.sql(plan, args=list(args) if args else named or None)
+        return lambda *args, **named: self._result(plan, args, named)
 
     def from_sql(self, text: str, *args: Any, **named: Any) -> Query:
         """SQL text as a source of the fluent builder."""

@@ -452,6 +452,28 @@ print("rows", n)
     assert sorted(map(str, spark.read.format("jdbc").options(**store, dbtable="nation").load().collect())) == ["Row(N=1, S='a')", "Row(N=None, S=None)"]
 
 
+def test_limits_without_order_take_what_is_stored_first(spark, tmp_path):
+    """As in other engines, whatever the tasks and which ends first."""
+    from mosaiq.operators import paging
+
+    for part, n in (("a", 300), ("b", 70_000), ("c", 5_000)):  # the largest file is read first
+        rows = spark.range(n).select(F.lit(part).alias("part"), F.col("id").alias("i"), (F.col("id") * 7919 % 1000).alias("v"))
+        rows.repartitionByRange(1, "i").sortWithinPartitions("i").write.parquet(f"{tmp_path}/t/{part}")
+    e = Engine(spark)
+    e.spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    e.catalog.table("t", lambda s: s.read.option("recursiveFileLookup", True).parquet(f"{tmp_path}/t"))
+    stored = [(p, i) for p, n in (("a", 300), ("b", 70_000), ("c", 5_000)) for i in range(n) if i * 7919 % 1000 >= 100]
+    for take, skip in ((10, 0), (200, 200), (60_000, 0), (65_000, 1_000), (100_000, 64_000), (0, 5)):
+        got = e.sql(f"SELECT part, i FROM t WHERE v >= ? OFFSET {skip} ROWS FETCH NEXT ? ROWS ONLY", 100, take)
+        assert sorted(map(tuple, got.collect())) == stored[skip : skip + take]
+    got = e.prepare("SELECT * FROM t AS x WHERE x.v >= :least LIMIT :n")(least=100, n=500)
+    assert got.columns == ["part", "i", "v"] and sorted((r["part"], r["i"]) for r in got.collect()) == stored[:500]
+    assert e.sql("SELECT COUNT(*) AS n FROM t FETCH FIRST ROW ONLY").collect()[0]["n"] == 75_300
+    assert e.sql("SELECT DISTINCT part FROM t FETCH FIRST 2 ROWS ONLY").count() == 2
+    assert e.sql("SELECT i FROM t ORDER BY i DESC FETCH FIRST 1 ROW ONLY").collect()[0]["i"] == 69_999
+    assert paging.BLOCK < 70_000
+
+
 def test_engine_uses_the_shared_folder(spark):
     from mosaiq.session import Engine
     from mosaiq.storage import shared_folder, shared_root
