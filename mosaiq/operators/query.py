@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..plans import rewrites
 
 if TYPE_CHECKING:
-    from ..catalog import Entity
+    from ..catalog import Entity, Navigation
     from ..session import Engine
 
 Keys = str | Column | Sequence[str | Column]
@@ -165,7 +165,8 @@ class Query:
     def include(self, path: str) -> Query:
         """Each row with the rows that a navigation leads to, nested: an array
         for a collection, a struct or null for a reference. A dotted path nests
-        what its steps lead to."""
+        what its steps lead to. All that a row leads to comes to one task; where
+        only numbers of it are wanted, see :meth:`include_counts`."""
         name, _, rest = path.partition(".")
         n = self._navigation(name, self.entity)
         target = self.engine.catalog.find(n.target)
@@ -175,16 +176,52 @@ class Query:
         nested = F.struct(*there.columns)
         remote = list(n.remote)
         if n.through:
-            bridge_name, here_keys, there_keys = n.through
-            bridge = self.engine.catalog.frame(bridge_name).select(*[F.col(c).alias(f"__l{i}") for i, c in enumerate(here_keys)], *[F.col(c).alias(f"__r{i}") for i, c in enumerate(there_keys)]).distinct()
-            there = there.join(bridge, [there[b] == bridge[f"__r{i}"] for i, b in enumerate(remote)])
-            remote = [f"__l{i}" for i in range(len(here_keys))]
+            there, remote = self._bridged(n, there)
         value = F.array_sort(F.collect_list(nested)) if n.many else F.first(nested)
         groups = there.groupBy(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(remote)]).agg(value.alias(name))
         joined = self.df.join(groups, [self.df[a] == groups[f"__k{i}"] for i, a in enumerate(n.local)], "left")
         out = joined.drop(*[f"__k{i}" for i in range(len(remote))])
         return self._with(out.withColumn(name, F.coalesce(name, F.array())) if n.many else out)
 
+    def include_counts(self, path: str, **named: str) -> Query:
+        """Each row with how many rows the steps of a dotted path lead to, where
+        only the numbers of what ``include`` nests are wanted: ``named`` gives a
+        column's name to a step's part of the path. No row is nested: rows are
+        counted by key, step by step from the last, and the counts summed."""
+        steps = path.split(".")
+        wanted = {".".join(steps[: i + 1]): None for i in range(len(steps))}
+        if not set(named.values()) <= set(wanted):
+            raise KeyError(f"only {', '.join(wanted)} can be counted")
+        out = self._counted(self.entity, self.df, steps)
+        counts = {p: F.col(f"__n{i}") for i, p in enumerate(wanted)}
+        kept = out.select(*self.df.columns, *[counts[p].alias(n) for n, p in named.items()])
+        return self._with(kept)
+
+    def _counted(self, entity: Entity | None, df: DataFrame, steps: list[str], depth: int = 0) -> DataFrame:
+        """``df`` with ``__n<depth>`` and on: how many rows each of the steps leads to."""
+        n = self._navigation(steps[0], entity)
+        target = self.engine.catalog.find(n.target)
+        there = self.engine.catalog.frame(target, filtered=not self._ignoring)
+        below = [f"__n{depth + i}" for i in range(1, len(steps))]
+        if below:
+            there = self._counted(target, there, steps[1:], depth + 1)
+        remote = list(n.remote)
+        if n.through:
+            there, remote = self._bridged(n, there)
+        own = F.count(F.lit(1))
+        if not n.many:  # a reference nests one row
+            there, own = there.dropDuplicates(remote), F.lit(1).cast("bigint")
+        counts = [own.alias(f"__n{depth}"), *[F.sum(c).alias(c) for c in below]]
+        groups = there.groupBy(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(remote)]).agg(*counts)
+        joined = df.join(groups, [df[a] == groups[f"__k{i}"] for i, a in enumerate(n.local)], "left")
+        return joined.select(*df.columns, *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in (f"__n{depth}", *below)])
+
+    def _bridged(self, n: Navigation, there: DataFrame) -> tuple[DataFrame, list[str]]:
+        """A navigation's far rows by the keys of its bridge, and these."""
+        bridge_name, here_keys, there_keys = n.through
+        bridge = self.engine.catalog.frame(bridge_name).select(*[F.col(c).alias(f"__l{i}") for i, c in enumerate(here_keys)], *[F.col(c).alias(f"__r{i}") for i, c in enumerate(there_keys)]).distinct()
+        return there.join(bridge, [there[b] == bridge[f"__r{i}"] for i, b in enumerate(n.remote)]), [f"__l{i}" for i in range(len(here_keys))]
+
     def split_include(self, name: str) -> tuple[DataFrame, DataFrame]:
         """The rows, and in a query of its own the rows that the navigation leads to."""
         n = self._navigation(name, self.entity)

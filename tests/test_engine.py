@@ -474,6 +474,28 @@ def test_limits_without_order_take_what_is_stored_first(spark, tmp_path):
     assert paging.BLOCK < 70_000
 
 
+def test_includes_are_counted_without_nesting(spark, data):
+    from mosaiq.plans.queries import QUERIES
+    from mosaiq.plans.suite import engine as suite
+
+    plan = QUERIES["include_deep"](spark, data)._jdf.queryExecution().optimizedPlan().toString()
+    # arrays of all that a region leads to are as large as the tables
+    assert "collect_list" not in plan
+    e = suite(spark, data)
+    e.catalog.relate("region", [Navigation("nations", "nation", ("r_regionkey",), ("n_regionkey",), many=True)])
+    customers, size = F.flatten("nations.customers"), lambda x: F.size(x).cast("bigint")
+    nested = e.set("region").include("nations.customers.orders").select("r_name", a=size("nations"), b=size(customers), c=size(F.flatten(F.transform(customers, lambda x: x["orders"]))))
+    counted = e.set("region").include_counts("nations.customers.orders", a="nations", b="nations.customers", c="nations.customers.orders").select("r_name", "a", "b", "c")
+    assert sorted(nested.df.collect()) == sorted(counted.df.collect())
+    nested = e.set("orders").include("parts").select("o_orderkey", n=size("parts"))
+    counted = e.set("orders").include_counts("parts", n="parts").select("o_orderkey", "n")
+    assert sorted(nested.df.collect()) == sorted(counted.df.collect())
+    one = e.set("orders").include_counts("customer.orders", one="customer", n="customer.orders").df.agg(F.sum("one"), F.min("n"), F.count("*")).first()
+    assert one[0] == one[2] and one[1] >= 1
+    with pytest.raises(KeyError):
+        e.set("orders").include_counts("parts", n="customer")
+
+
 def test_engine_uses_the_shared_folder(spark):
     from mosaiq.session import Engine
     from mosaiq.storage import shared_folder, shared_root
