@@ -1,11 +1,14 @@
-"""Near-duplicates by the exact Jaccard similarity of word shingles.
+"""Near-duplicates by SimHash and min-hashes, with the exact Jaccard similarity of word shingles.
 
 1. Every whole text becomes its set of shingle hashes (one narrow pass); texts
    of one set are one point. Only a digest of the set and its min-hash bands
    go on.
-2. Points that agree in a band share a bucket. With ``BANDS`` bands of ``ROWS``
-   min-hashes a pair of similarity 0.8 shares none in about 3 of 10^6 cases.
-   Buckets of one point, and all but one of buckets with the same points, go.
+2. Texts whose SimHash fingerprints the vantage-point tree links (see
+   :mod:`simhash`; over the same shingles) share a bucket. What differs by more
+   bits than the tree can part also meets by min-hashes: points that agree in a
+   band share a bucket. With ``BANDS`` bands of ``ROWS`` min-hashes a pair of
+   similarity 0.8 shares none in about 3 of 10^6 cases. Buckets of one point,
+   and all but one of buckets with the same points, go.
 3. Only texts whose point shares a bucket are shuffled, as whole sets. Buckets
    of many or large sets are dealt to parts, and each two parts meet in a
    shard of their own.
@@ -29,9 +32,13 @@ from pyspark.sql import functions as F
 
 from .common import discard, fresh, materialize
 from .components import components
-from .simhash import word_shingles
+from .simhash import near_components, word_shingles
 
 SHINGLE, SIMILARITY = 5, 0.8
+#: Differing bits, of 64, within which the tree links fingerprints.
+RADIUS = 4
+#: What puts texts into a bucket; every bucket is compared exactly.
+SIMHASH, MINHASH = "simhash", "minhash"
 BANDS, ROWS = 32, 5
 #: Points, and shingles, that a part of a bucket holds, about.
 DEAL, DEAL_SHINGLES = 1_000, 2_000_000
@@ -104,11 +111,14 @@ def links_in_shard(sets: list[np.ndarray], similarity: float) -> Iterator[tuple[
         left = left[~np.isin(left, near)]
 
 
-def near_points(docs: DataFrame, *, shingle: int = SHINGLE, similarity: float = SIMILARITY, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_points(
+    docs: DataFrame, *, shingle: int = SHINGLE, similarity: float = SIMILARITY, key: str = "doc_id", text: str = "text", by: tuple[str, ...] = (SIMHASH, MINHASH)
+) -> DataFrame:
     """(``own``, ``best``, ``class``) for each distinct set of shingles: the
     set's digest, its row of the smallest key (nulls last; then the smallest
     text hash), and the smallest digest of its class. Sets are linked by a
-    similarity of ``similarity`` or more; a class is what links reach.
+    similarity of ``similarity`` or more; a class is what links reach. Sets
+    meet ``by`` SimHash components, bands of min-hashes, or both.
 
     Null and empty texts and texts of white space share the empty set; a text
     of fewer words than a shingle is one shingle. Very long texts are compared
@@ -149,7 +159,12 @@ def near_points(docs: DataFrame, *, shingle: int = SHINGLE, similarity: float =
     best = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "text_hash"))
     points = made.groupBy("p0", "p1").agg(best.alias("best"), F.first("size").alias("size"), F.first("bands").alias("bands"))
     points = materialize(points, "points")
-    member = points.select("p0", "p1", "size", F.explode("bands").alias("bucket"))
+    member = points.select("p0", "p1", "size", F.explode("bands" if MINHASH in by else F.array().cast("array<long>")).alias("bucket"))
+    if SIMHASH in by:
+        linked = near_components(rows.select(F.col("text_hash").alias("node"), "text"), shingle=shingle, radius=RADIUS, key="node")
+        linked = linked.groupBy("text_hash").agg(F.min("component_id").alias("bucket"))
+        same = made.where("size > 0").select("text_hash", "p0", "p1", "size").distinct().join(linked, "text_hash")
+        member = member.unionByName(same.select("p0", "p1", "size", "bucket").distinct())
     many = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("all")).where("n > 1")
     shared = materialize(member.join(many, "bucket").select("bucket", "n", "all", "p0", "p1"), "shared")
     # of buckets that hold the same points one is enough

@@ -99,3 +99,35 @@ def test_near_copies_by_shingle_similarity(spark, data):
     first = smallest_of_class(texts)
     kept = {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, data).collect()}
     assert kept == set(first.values()) and {-4, -3, -2, -1} & kept == {first[i] for i in (-4, -3, -2, -1)}
+
+
+def test_near_copies_meet_by_simhash_and_by_bands(spark, data):
+    """Each alone gives links, and what either gives holds by the exact similarity."""
+    from mosaiq.llm import jaccard, simhash
+
+    docs = spark.read.parquet(data.replace("0.001", "0.01") + "/documents.parquet").select("doc_id", "text")
+    words = [f"w{i}" for i in range(2000)]
+    # 1,996 shingles, 4 of them less or other: the fingerprints differ by a few bits at most
+    made = [(-1, words), (-2, words[:1996]), (-3, ["y", *words[1:]])]
+    docs = docs.unionByName(spark.createDataFrame([(i, " ".join(w)) for i, w in made] + [(-4, None), (-5, " "), (-6, "one two")], "doc_id long, text string"))
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+
+    def classes(by):
+        out = {}
+        for r in jaccard.near_points(docs, by=by).collect():
+            out.setdefault(tuple(r["class"]), set()).add(r["best"]["key"])
+        return {frozenset(c) for c in out.values()}
+
+    def linked(found):
+        return {(a, b) for c in found for a in c for b in c if a < b}
+
+    def bits(i):
+        return simhash.fingerprint(texts[i], jaccard.SHINGLE, (42,))[0]
+
+    tree, bands, both = (linked(classes(by)) for by in (("simhash",), ("minhash",), ("simhash", "minhash")))
+    assert {(-3, -1), (-2, -1), (-3, -2)} <= tree and tree <= both and bands <= both
+    first = smallest_of_class(texts)
+    assert all(first[a] == first[b] for a, b in both)
+    points = sorted({i for pair in both for i in pair})
+    near = {(a, b) for n, a in enumerate(points) for b in points[n + 1 :] if (bits(a) ^ bits(b)).bit_count() <= jaccard.RADIUS and (a, b) in bands}
+    assert near and near <= tree
