@@ -4,11 +4,15 @@ A pattern has symbols, concatenation, ``|``, groups, the quantifiers ``* + ?
 {n,m}`` (reluctant with ``?`` behind), ``PERMUTE(A, B)`` and exclusion
 ``{- A -}``. Symbols are defined by conditions over the row and its
 neighbours (``lag`` and ``lead`` in the partition's order), evaluated by Spark
-before matching; a symbol without a condition is always true. Only the
-matching itself runs in Python, over booleans, in the tasks and the order in
-which Spark has sorted the partitions; the rows are shuffled once.
+before matching; a symbol without a condition is always true. The rows are
+shuffled once.
 
-A partition falls into stretches at rows where no symbol holds, as no match
+Patterns of a few rows where the next match may begin at the next row are
+matched by Spark's window functions alone: ``LEAD`` sees whether one begins at
+a row. Any other pattern is matched in Python, over booleans, in the tasks and
+the order in which Spark has sorted the partitions.
+
+There, a partition falls into stretches at rows where no symbol holds, as no match
 goes across them. A task holds a batch of rows and the stretch that is not
 ended yet, however many partitions it has; short stretches of the same
 booleans are matched once.
@@ -20,6 +24,8 @@ import itertools
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 from typing import Any
 
 import numpy as np
@@ -181,6 +187,36 @@ def _repeated(part: Part, rows: dict, at: int, n: int, kept: bool, path: Path) -
             yield pos, so_far
 
 
+def longest(part: Part) -> float:
+    """The most rows that a match can take."""
+    inner = [longest(p) for p in part.parts]
+    if part.kind == "symbol":
+        return 1
+    if part.kind == "repeat":
+        return float("inf") if part.most is None else part.most * inner[0]
+    return max(inner, default=0) if part.kind == "alter" else sum(inner)
+
+
+#: A pattern is left to LEAD if a match takes no more rows than this, in no more ways.
+WIDE, WAYS = 8, 64
+
+
+def ways(part: Part) -> list[list[tuple[str, bool]]] | None:
+    """The symbols, and whether they are kept, that a match can consist of, preferred first; None if these are too many."""
+    if longest(part) > WIDE:
+        return None
+    found = list(itertools.islice(matches(part, dict.fromkeys(symbols(part), [True] * WIDE), 0, WIDE), WAYS + 1))
+    return [listed(path) for end, path in found if end] if len(found) <= WAYS else None
+
+
+def rows_on(path: list[tuple[str, bool]], clause: str, side: str, target: str | None) -> int:
+    """How many rows behind a match's first one the next match may begin."""
+    if clause:
+        return len(path) if clause == "past last row" else 1
+    places = [k for k, (s, _) in enumerate(path) if s == target]
+    return max(1, (places[0] if side == "first" else places[-1]) if places else 1)
+
+
 #: Rows of a stretch whose matches are remembered, and how many such stretches.
 SHORT, REMEMBERED = 64, 100_000
 
@@ -195,21 +231,38 @@ def matched(part: Part, known: Sequence[str], flags: np.ndarray, clause: str, si
         if found is None:
             at += 1
             continue
-        end, path = found[0], listed(found[1])
+        path = listed(found[1])
         kept = [k for k, (_, keep) in enumerate(path) if keep]
         if kept:
             out.append(([at + k for k in kept], [path[k][0] for k in kept]))
-        if clause == "past last row":
-            at = end
-        elif clause:
-            at += 1
-        else:
-            places = [k for k, (s, _) in enumerate(path) if s == target]
-            step = (places[0] if side == "first" else places[-1]) if places else 1
-            at += max(1, step)
+        at += rows_on(path, clause, side, target)
     return out
 
 
+def _by_lead(rows: DataFrame, partition: list[str], order: list[str], w: Any, taken: list[list[tuple[str, bool]]]) -> DataFrame:
+    """One row for each match, where one may begin at any row: ``taken`` are the ways, preferred first."""
+    keeps = [[k for k, (_, keep) in enumerate(way) if keep] for way in taken]
+    seen = {(f"__is_{s}", k): False for way in taken for k, (s, _) in enumerate(way)}
+    seen |= {(c, k): None for kept in keeps if kept for c in order for k in (kept[0], kept[-1])}
+    ahead = {(c, k): f"__{k}_{c}" for c, k in seen}
+    near = rows.select(*partition, *order, *[F.lead(c, k, seen[c, k]).over(w).alias(name) if k else F.col(c).alias(name) for (c, k), name in ahead.items()])
+    holds = [reduce(and_, [F.col(ahead[f"__is_{s}", k]) for k, (s, _) in enumerate(way)]) for way in taken]
+    near = near.withColumn("__way", F.coalesce(*[F.when(h, F.lit(i)) for i, h in enumerate(holds)], F.lit(-1)))
+
+    def of(value: Any) -> Column:
+        return F.coalesce(*[F.when(F.col("__way") == i, value(i)) for i, kept in enumerate(keeps) if kept])
+
+    shown = F.col("__way").isin([i for i, kept in enumerate(keeps) if kept])
+    number = F.sum(shown.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("int")
+    return near.withColumn("match_number", number).where(shown).select(
+        *partition, "match_number",
+        *[of(lambda i, c=c: F.col(ahead[c, keeps[i][0]])).alias(f"first_{c}") for c in order],
+        *[of(lambda i, c=c: F.col(ahead[c, keeps[i][-1]])).alias(f"last_{c}") for c in order],
+        of(lambda i: F.lit(len(keeps[i])).cast("long")).alias("length"),
+        of(lambda i: F.lit("".join(taken[i][k][0] for k in keeps[i]))).alias("classifiers"),
+    )
+
+
 def match_recognize(
     df: DataFrame, *, partition: Sequence[str], order: Sequence[str], pattern: str, define: dict[str, Column], after: str = "past last row", all_rows: bool = False
 ) -> DataFrame:
@@ -231,6 +284,10 @@ def match_recognize(
     clause, side, target = (m[1] or "").lower(), (m[2] or "").lower(), m[3]
     partition, order, marks = list(partition), list(order), list(flags)
     carried = list(dict.fromkeys([*partition, *(df.columns if all_rows else order)]))
+    marked = df.withColumns(flags).select(*carried, *marks)
+    taken = None if all_rows else ways(part)
+    if taken and any(keep for way in taken for _, keep in way) and clause == "to next row":
+        return _by_lead(marked, partition, order, w, taken)
     numbered = df.withColumns({**flags, "__begins": F.row_number().over(w) == 1}).select(*carried, *marks, "__begins")
 
     def found_in(stretch: np.ndarray) -> tuple:

@@ -572,3 +572,39 @@ def test_changes_by_text_and_their_faults(spark, tmp_path):
     for bad in ("DROP TABLE t", "UPDATE t v = 1", "DELETE FROM none"):
         with pytest.raises((ValueError, LookupError)):
             e.execute(bad)
+
+
+def _matched_both_ways(engine, monkeypatch, pattern, **more) -> bool:
+    """Whether Spark matches a pattern without Python; its rows are those of the matching in Python."""
+    import random
+
+    from mosaiq.operators import matching
+
+    dice = random.Random(pattern)
+    rows = [(k, i, dice.choice(["A", "B", "AB", "x", None])) for k, n in ((1, 40), (2, 0), (3, 1), (None, 30), (5, 2), (6, 40)) for i in range(n)] + [(7, i, "A") for i in range(90)]
+    df = engine.spark.createDataFrame(rows, "k int, i int, x string")
+    define = {s: F.col("x").contains(s) for s in "AB"}  # C is always true
+    run = lambda: matching.match_recognize(df, partition=["k"], order=["i"], pattern=pattern, define=define, **more)
+    got = run()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    with monkeypatch.context() as m:
+        m.setattr(matching, "WIDE", -1)
+        want = run()
+    assert "InArrow" in want._jdf.queryExecution().executedPlan().toString() and got.dtypes == want.dtypes
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert plan.count("Exchange") == 1
+    return "InArrow" not in plan
+
+
+def _plan(spark, data, name) -> str:
+    from mosaiq.plans.queries import QUERIES
+
+    return QUERIES[name](spark, data)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_short_patterns_need_no_python(engine, spark, data, monkeypatch):
+    for pattern in ("PERMUTE(A, B)", "(A | B) C?", "(A | B)?? C", "A{1,3} {- B -} A?", "{- A -} | B", "C A"):
+        assert _matched_both_ways(engine, monkeypatch, pattern, after="to next row"), pattern
+    for pattern in ("A+ B", "A{9}", "{- A -}"):
+        assert not _matched_both_ways(engine, monkeypatch, pattern, after="to next row"), pattern
+    assert "InArrow" not in _plan(spark, data, "kind_pattern_permute")
