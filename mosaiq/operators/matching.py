@@ -286,7 +286,7 @@ def match_recognize(
     carried = list(dict.fromkeys([*partition, *(df.columns if all_rows else order)]))
     marked = df.withColumns(flags).select(*carried, *marks)
     taken = None if all_rows else ways(part)
-    if taken and any(keep for way in taken for _, keep in way) and clause == "to next row":
+    if taken and any(keep for way in taken for _, keep in way) and all(rows_on(way, clause, side, target) == 1 for way in taken):
         return _by_lead(marked, partition, order, w, taken)
     numbered = df.withColumns({**flags, "__begins": F.row_number().over(w) == 1}).select(*carried, *marks, "__begins")
 

@@ -608,3 +608,11 @@ def test_short_patterns_need_no_python(engine, spark, data, monkeypatch):
     for pattern in ("A+ B", "A{9}", "{- A -}"):
         assert not _matched_both_ways(engine, monkeypatch, pattern, after="to next row"), pattern
     assert "InArrow" not in _plan(spark, data, "kind_pattern_permute")
+
+
+def test_short_patterns_that_skip_one_row_need_no_python(engine, spark, data, monkeypatch):
+    for pattern, after in (("A B", "to last B"), ("A {- B -} C", "to first B"), ("A B", "to last A"), ("A | B", "past last row")):
+        assert _matched_both_ways(engine, monkeypatch, pattern, after=after), (pattern, after)
+    for pattern, after in (("A C B", "to last B"), ("A B?", "past last row"), ("A B B", "to last B")):
+        assert not _matched_both_ways(engine, monkeypatch, pattern, after=after), (pattern, after)
+    assert "InArrow" not in _plan(spark, data, "kind_pattern_skip")
