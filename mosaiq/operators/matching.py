@@ -7,10 +7,11 @@ neighbours (``lag`` and ``lead`` in the partition's order), evaluated by Spark
 before matching; a symbol without a condition is always true. The rows are
 shuffled once.
 
-Patterns of a few rows where the next match may begin at the next row are
-matched by Spark's window functions alone: ``LEAD`` sees whether one begins at
-a row. Any other pattern is matched in Python, over booleans, in the tasks and
-the order in which Spark has sorted the partitions.
+Two kinds of patterns are matched by Spark's window functions alone: those of
+a few rows where the next match may begin at the next row (``LEAD`` sees
+whether one begins at a row), and runs of one symbol (``A{n,}``), past which
+matching goes on. Any other pattern is matched in Python, over booleans, in
+the tasks and the order in which Spark has sorted the partitions.
 
 There, a partition falls into stretches at rows where no symbol holds, as no match
 goes across them. A task holds a batch of rows and the stretch that is not
@@ -263,6 +264,24 @@ def _by_lead(rows: DataFrame, partition: list[str], order: list[str], w: Any, ta
     )
 
 
+def _by_runs(rows: DataFrame, partition: list[str], order: list[str], w: Any, symbol: str, least: int) -> DataFrame:
+    """One row for each match, where these are whole runs of a symbol, of ``least`` rows or more."""
+    so_far, is_ = w.rowsBetween(Window.unboundedPreceding, Window.currentRow), F.col(f"__is_{symbol}")
+    near = rows.withColumns({"__before": F.lag(is_, 1, False).over(w), "__row": F.row_number().over(w), **{f"__{k}": F.lead(is_, k, False).over(w) for k in range(1, max(least, 2))}})
+    begins = is_ & ~F.col("__before")
+    long = reduce(and_, [F.col(f"__{k}") for k in range(1, least)], F.lit(True))
+    near = near.withColumns({
+        "match_number": F.sum((begins & long).cast("int")).over(so_far).cast("int"),
+        "__long": F.last(F.when(begins, long), True).over(so_far),
+        "__first": F.last(F.when(begins, F.struct("__row", *order)), True).over(so_far),
+    })
+    length = F.col("__row") - F.col("__first").getField("__row") + 1
+    return near.where(is_ & ~F.col("__1") & F.col("__long")).select(
+        *partition, "match_number", *[F.col("__first").getField(c).alias(f"first_{c}") for c in order], *[F.col(c).alias(f"last_{c}") for c in order],
+        length.cast("long").alias("length"), F.repeat(F.lit(symbol), length).alias("classifiers"),
+    )
+
+
 def match_recognize(
     df: DataFrame, *, partition: Sequence[str], order: Sequence[str], pattern: str, define: dict[str, Column], after: str = "past last row", all_rows: bool = False
 ) -> DataFrame:
@@ -288,6 +307,8 @@ def match_recognize(
     taken = None if all_rows else ways(part)
     if taken and any(keep for way in taken for _, keep in way) and all(rows_on(way, clause, side, target) == 1 for way in taken):
         return _by_lead(marked, partition, order, w, taken)
+    if not all_rows and part.kind == "repeat" and part.parts[0].kind == "symbol" and part.most is None and part.greedy and part.least <= WIDE and clause == "past last row":
+        return _by_runs(marked, partition, order, w, part.parts[0].name, part.least)
     numbered = df.withColumns({**flags, "__begins": F.row_number().over(w) == 1}).select(*carried, *marks, "__begins")
 
     def found_in(stretch: np.ndarray) -> tuple:

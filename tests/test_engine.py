@@ -616,3 +616,11 @@ def test_short_patterns_that_skip_one_row_need_no_python(engine, spark, data, mo
     for pattern, after in (("A C B", "to last B"), ("A B?", "past last row"), ("A B B", "to last B")):
         assert not _matched_both_ways(engine, monkeypatch, pattern, after=after), (pattern, after)
     assert "InArrow" not in _plan(spark, data, "kind_pattern_skip")
+
+
+def test_runs_need_no_python(engine, spark, data, monkeypatch):
+    for pattern in ("A+", "A*", "B{2,}", "(A){3,}", "C+"):
+        assert _matched_both_ways(engine, monkeypatch, pattern), pattern
+    for pattern, after in (("A+?", "past last row"), ("A{2,}", "to next row"), ("A{9,}", "past last row")):
+        assert not _matched_both_ways(engine, monkeypatch, pattern, after=after), (pattern, after)
+    assert "InArrow" not in _plan(spark, data, "match_pattern")
