@@ -264,8 +264,8 @@ def _by_lead(rows: DataFrame, partition: list[str], order: list[str], w: Any, ta
     )
 
 
-def _by_runs(rows: DataFrame, partition: list[str], order: list[str], w: Any, symbol: str, least: int) -> DataFrame:
-    """One row for each match, where these are whole runs of a symbol, of ``least`` rows or more."""
+def _by_runs(rows: DataFrame, partition: list[str], order: list[str], carried: list[str], w: Any, symbol: str, least: int, all_rows: bool) -> DataFrame:
+    """Matches that are whole runs of a symbol, of ``least`` rows or more."""
     so_far, is_ = w.rowsBetween(Window.unboundedPreceding, Window.currentRow), F.col(f"__is_{symbol}")
     near = rows.withColumns({"__before": F.lag(is_, 1, False).over(w), "__row": F.row_number().over(w), **{f"__{k}": F.lead(is_, k, False).over(w) for k in range(1, max(least, 2))}})
     begins = is_ & ~F.col("__before")
@@ -275,6 +275,8 @@ def _by_runs(rows: DataFrame, partition: list[str], order: list[str], w: Any, sy
         "__long": F.last(F.when(begins, long), True).over(so_far),
         "__first": F.last(F.when(begins, F.struct("__row", *order)), True).over(so_far),
     })
+    if all_rows:
+        return near.where(is_ & F.col("__long")).select(*carried, "match_number", F.lit(symbol).alias("classifier"))
     length = F.col("__row") - F.col("__first").getField("__row") + 1
     return near.where(is_ & ~F.col("__1") & F.col("__long")).select(
         *partition, "match_number", *[F.col("__first").getField(c).alias(f"first_{c}") for c in order], *[F.col(c).alias(f"last_{c}") for c in order],
@@ -307,8 +309,8 @@ def match_recognize(
     taken = None if all_rows else ways(part)
     if taken and any(keep for way in taken for _, keep in way) and all(rows_on(way, clause, side, target) == 1 for way in taken):
         return _by_lead(marked, partition, order, w, taken)
-    if not all_rows and part.kind == "repeat" and part.parts[0].kind == "symbol" and part.most is None and part.greedy and part.least <= WIDE and clause == "past last row":
-        return _by_runs(marked, partition, order, w, part.parts[0].name, part.least)
+    if part.kind == "repeat" and part.parts[0].kind == "symbol" and part.most is None and part.greedy and part.least <= WIDE and clause == "past last row":
+        return _by_runs(marked, partition, order, carried, w, part.parts[0].name, part.least, all_rows)
     numbered = df.withColumns({**flags, "__begins": F.row_number().over(w) == 1}).select(*carried, *marks, "__begins")
 
     def found_in(stretch: np.ndarray) -> tuple:

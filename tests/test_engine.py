@@ -624,3 +624,12 @@ def test_runs_need_no_python(engine, spark, data, monkeypatch):
     for pattern, after in (("A+?", "past last row"), ("A{2,}", "to next row"), ("A{9,}", "past last row")):
         assert not _matched_both_ways(engine, monkeypatch, pattern, after=after), (pattern, after)
     assert "InArrow" not in _plan(spark, data, "match_pattern")
+
+
+def test_rows_of_runs_need_no_python(engine, spark, data, monkeypatch):
+    for pattern in ("A+", "A*", "B{2,}", "(A){3,}", "C+"):
+        assert _matched_both_ways(engine, monkeypatch, pattern, all_rows=True), pattern
+    assert not _matched_both_ways(engine, monkeypatch, "A B", all_rows=True)
+    plan = _plan(spark, data, "sql_match_recognize")
+    # one shuffle and two orders: the partition's, and each match's
+    assert "InArrow" not in plan and plan.count("Exchange") == 1 and plan.count("Sort [") == 2
