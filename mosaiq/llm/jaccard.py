@@ -162,7 +162,8 @@ def near_points(
     member = points.select("p0", "p1", "size", F.explode("bands" if MINHASH in by else F.array().cast("array<long>")).alias("bucket"))
     if SIMHASH in by:
         linked = near_components(rows.select(F.col("text_hash").alias("node"), "text"), shingle=shingle, radius=RADIUS, key="node")
-        linked = linked.groupBy("text_hash").agg(F.min("component_id").alias("bucket"))
+        # written, as what follows reads it twice
+        linked = materialize(linked.groupBy("text_hash").agg(F.min("component_id").alias("bucket")), "linked")
         same = made.where("size > 0").select("text_hash", "p0", "p1", "size").distinct().join(linked, "text_hash")
         member = member.unionByName(same.select("p0", "p1", "size", "bucket").distinct())
     many = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("all")).where("n > 1")
@@ -171,6 +172,8 @@ def near_points(
     mixed = [F.sum(F.xxhash64("p0", "p1", F.lit(i)).cast("decimal(20,0)")).alias(f"sum{i}") for i in (0, 1)]
     kept = shared.groupBy("bucket", "n", "all").agg(*mixed).groupBy("n", "all", "sum0", "sum1").agg(F.min("bucket").alias("bucket"))
     parts = F.greatest(F.ceil(F.col("n") / DEAL), F.ceil(F.col("all") / DEAL_SHINGLES)).cast("int")
+    if SIMHASH in by:
+        discard(linked)
     first, shared = shared, materialize(shared.join(kept.select("bucket"), "bucket").select("bucket", parts.alias("parts"), "p0", "p1"), "shared")
     discard(first)
     needed = points.join(shared.select("p0", "p1").distinct(), ["p0", "p1"]).select("p0", "p1", F.col("best.text_hash").alias("text_hash"))

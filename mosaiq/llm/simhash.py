@@ -395,6 +395,7 @@ def near_components(
     asked = points.mapInPandas(spread, f"shard long, home boolean, {longs('f')}, first string")
     links = asked.groupBy("shard").applyInPandas(join, f"{longs('a')}, {longs('b')}, a_first string, b_first string")
     found = components(links.select(_node("a", words, "a_first", kind).alias("a"), _node("b", words, "b_first", kind).alias("b")))
+    tree.destroy()  # the links are written
     node = _node("f", words, "first", kind)
     classes = points.select(node.alias("own")).join(found, F.col("own") == F.col("node"), "left").select("own", F.coalesce("component", "own").alias("class"))
     by_point = classes.select(*[F.col("own")[f].alias(f"p{i}") for i, f in enumerate(own)], F.col("class")["first"].alias("component_id"), "class")

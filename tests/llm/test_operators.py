@@ -170,6 +170,28 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_spend_few_plans_on_the_driver(spark, monkeypatch):
+    """No round goes to showing that the last one changed nothing, and a round's plan reads its links in four places."""
+    written = []
+    monkeypatch.setattr(components, "materialize", lambda df, label, to=components.materialize: written.append(df) or to(df, label))
+    stars = [(i, i // 10 * 10) for i in range(100) if i % 10] + [(1, 0)]
+    got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(stars, "a long, b long")).collect()}
+    assert got == {i: i // 10 * 10 for i in range(100)}
+    assert len(written) == 2  # the links, and one round
+    assert written[1]._jdf.queryExecution().optimizedPlan().collectLeaves().size() <= 4
+
+
+def test_components_of_random_links(spark):
+    rng = np.random.default_rng(7)
+    links = [(int(a), int(b)) for a, b in rng.integers(0, 400, (330, 2))] + [(399 - i, 400 + i) for i in range(60)] + [(7, 7)]
+    root = list(range(460))
+    for _ in root:
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {n: root[n] for a, b in links if a != b for n in (a, b)}
+
+
 # URL rules
 
 URLS = ["http://EXAMPLE.com/en/x?q#f", "https://www.example.com/en/", "http://sub.www.example.com/en/1", "http://badexample.com/en/", "http://a.net/es/1", "http://a.net/es", "http://net/fr/", "no scheme", None, "", "://", "http://example.com", "http://x.com?y/z", "http://a.net/es/1", "ftp://u@h:80/p", "http://..com/", "http://example.com/EN/", "http://a.com/" + "p" * 5000]
