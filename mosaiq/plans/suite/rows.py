@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ...sources.files import values
@@ -124,10 +125,21 @@ query("filter_boolcol", "SELECT l_orderkey, l_linenumber FROM (SELECT *, l_disco
 
 @query("struct_equality", "SELECT a.c_custkey AS a_key, b.c_custkey AS b_key FROM customer a JOIN customer b ON a.c_nationkey IS NOT DISTINCT FROM b.c_nationkey AND a.c_mktsegment IS NOT DISTINCT FROM b.c_mktsegment AND a.c_custkey < b.c_custkey")
 def struct_equality(e):
-    group = F.struct("c_nationkey", "c_mktsegment")
-    a = e.set("customer").select(a_key=F.col("c_custkey"), a=group)
-    b = e.set("customer").select(b_key=F.col("c_custkey"), b=group)
-    return a.join_on(b, F.col("a").eqNullSafe(F.col("b")) & (F.col("a_key") < F.col("b_key"))).select("a_key", "b_key")
+    pairs = _pairs(e.set("customer").select(key=F.col("c_custkey"), group=F.struct("c_nationkey", "c_mktsegment")).df)
+    return pairs.select(F.col("a").alias("a_key"), F.col("b").alias("b_key"))
+
+
+def _pairs(df, size=1024):
+    """``a`` and ``b``: every two keys of a group, the lesser first. Structs are
+    alike if their fields are, nulls too. Pairs grow with the square of a group, but
+    a join is dealt by groups and bytes, so few tasks would make them all. So the
+    keys of a group are cut into blocks, and each block is dealt with all keys from
+    its own on; no broadcast, as that leaves all pairs to the other side's tasks."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rank = F.row_number().over(Window.partitionBy("group").orderBy("key"))
+    blocks = df.where("key IS NOT NULL").select("group", F.col("key").alias("a"), ((rank - 1) / size).cast("long").alias("block"))
+    later = blocks.select("group", F.explode(F.sequence(F.lit(0).cast("long"), "block")).alias("block"), F.col("a").alias("b"))
+    return later.repartition(parts, "group", "block").join(blocks.hint("merge"), ["group", "block"]).where("a < b")
 
 
 @query("query_filter", "SELECT c_custkey FROM customer WHERE c_acctbal > 0 AND c_mktsegment = 'BUILDING'")
